@@ -47,10 +47,10 @@ class _Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 1 << 18)
-            self.up = np.concatenate([[1], np.full(size - 1, _BASE, np.uint64)]).astype(np.uint64).cumprod(dtype=np.uint64)
-            inverse = np.uint64(pow(_BASE, -1, 1 << 64))
-            self.down = np.concatenate([[1], np.full(size - 1, inverse, np.uint64)]).astype(np.uint64).cumprod(dtype=np.uint64)
+            self.up, self.down = (np.full(max(n, 1 << 18), base, np.uint64) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+            for powers in (self.up, self.down):
+                powers[0] = 1
+                np.cumprod(powers, out=powers)
         return self.up[:n], self.down[:n]
 
 
