@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, suffixes
+from . import byte_bpe, packing, quality, sharding, simhash, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_documents(spark, sf_dir)).select(F.col("_id").alias("doc_id"), *columns)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.exact_shards(_documents(spark, sf_dir))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
     return suffixes.without_repeats(_documents(spark, sf_dir)).select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
@@ -33,8 +38,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir)).select(F.col("_id").alias("doc_id"), simhash.hex_digits("_fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_bpe.encode(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    digest = F.sha2(F.array_join("ids", " "), 256)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality, op7_suffixes, op9_simhash)}
+    return {f.__name__: f for f in (op1_packing, op2_quality, op4_sharding, op7_suffixes, op9_simhash, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
