@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, quality, sharding, simhash, suffixes
+from . import byte_bpe, html_text, lm_scoring, neighbours, packing, quality, sharding, simhash, suffixes, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,16 +24,34 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_documents(spark, sf_dir)).select(F.col("_id").alias("doc_id"), *columns)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.exact_shards(_documents(spark, sf_dir))
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 and toxic = 0").select("doc_id")
+    return lm_scoring.cross_entropy_difference(_documents(spark, sf_dir), good)
+
+
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id % 20 = 0")
+
+
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lost = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
     return suffixes.without_repeats(_documents(spark, sf_dir)).select("doc_id", "n_bytes", lost.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir)).select(F.col("_id").alias("doc_id"), simhash.hex_digits("_fp").alias("fingerprint"), F.col("component").alias("component_id"))
 
@@ -45,8 +63,23 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality, op4_sharding, op7_suffixes, op9_simhash, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_packing, op2_quality, op3_warc, op4_sharding, op5_lm_scoring, op6_neighbours, op7_suffixes, op8_html, op9_simhash, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc": _WARC_SQL}
+
+
+#: Base32 of a SHA-1 from its hex digits: five of them are four characters.
+_WARC_SQL = """
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as h from pages),
+d as (
+  select page_id, n, h, list_reduce(list_transform(range(0, 8), lambda i: list_reduce(list_transform(range(0, 4), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * i, 5))::int >> (15 - 5 * j)::int) & 31), 1)), lambda a, b: a || b)), lambda a, b: a || b) as digest,
+    max(page_id) over (partition by h, n) as last
+  from p)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+  case when page_id = last then 'response' else 'revisit' end as record_type,
+  case when page_id = last then null else last end as refers_to
+from d
+"""
