@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from .scratch import written
 
-TABLES, THRESHOLD, WIDEN = 32, 20, 1.35
+TABLES, THRESHOLD, WIDEN = 64, 42, 1.2
 #: Verified vectors: so many times the neighbours asked for, and this share of the block.
-VERIFY, SHARE = 10, 0.03
+VERIFY, SHARE = 10, 0.2
 BLOCK, QUERIES, SEED = 8_192, 4_096, 7
 
 
@@ -35,24 +35,25 @@ class Index:
         rest = np.sqrt(np.maximum(norm * norm - np.einsum("ij,ij->i", vectors, vectors), 0))
         lines = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, TABLES))
         self.lines = lines
-        values = np.hstack([vectors, rest[:, None]]) @ lines
-        self.order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
-        self.values = np.take_along_axis(values, self.order.astype(np.int64), axis=0)
-        # the first window: about as wide as holds a hundredth of a table
-        self.width = float(np.median(self.values[-1] - self.values[0])) / 100 or 1.0
+        values = np.ascontiguousarray((np.hstack([vectors, rest[:, None]]) @ lines).T)
+        self.order = np.argsort(values, axis=1, kind="stable")
+        self.values = np.take_along_axis(values, self.order, axis=1)
+        n = len(vectors)
+        # the first window holds about an eighth of a table
+        self.width = float(np.median(self.values[:, min(n - 1, n * 9 // 16)] - self.values[:, n * 7 // 16])) / 2 or 1.0
 
     def candidates(self, query: np.ndarray, norm: float, least: int) -> np.ndarray:
         """Vectors whose collisions reach the threshold, once there are ``least`` of them."""
         n = len(self.vectors)
         centre = query * (norm / np.linalg.norm(query)) @ self.lines[:-1]  # the query's own length does not matter
-        low = np.array([np.searchsorted(self.values[:, t], centre[t]) for t in range(TABLES)])
+        low = np.array([row.searchsorted(c) for row, c in zip(self.values, centre, strict=True)])
         high, width = low.copy(), self.width
         count = np.zeros(n, np.int16)
         while True:
             fresh = []
             for t in range(TABLES):
-                a, b = np.searchsorted(self.values[:, t], (centre[t] - width, centre[t] + width))
-                fresh += [self.order[a : low[t], t], self.order[high[t] : b, t]]
+                a, b = self.values[t].searchsorted((centre[t] - width, centre[t] + width))
+                fresh += [self.order[t, a : low[t]], self.order[t, high[t] : b]]
                 low[t], high[t] = min(a, low[t]), max(b, high[t])
             count += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int16)
             found = np.flatnonzero(count >= THRESHOLD)
