@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from .scratch import written
 
 SIZE, END = 4096, 2
 #: Entries of a worker's word cache; beyond, it starts anew.
-CACHE = 400_000
+CACHE = 300_000
 #: Pieces in one bucket of the numbering.
 BUCKET = 50_000
 _ROWS = 128
@@ -44,25 +45,35 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _learn(self, chunks: set[str]) -> None:
-        tails = {}  # letters, then one mark: the mark is always a token of its own
+        """Plain words go to the tokenizer's model at once, whatever else a chunk holds through the whole tokenizer."""
+        rest = []
         for c in chunks:
-            if len(c) > 1 and c[-1] in ",.;:!?" and c[-2].isalpha() and c[-2].isascii():
-                tails[c] = (c[:-1], c[-1])
-        plain = sorted({x for c in chunks for x in tails.get(c, (c,)) if x not in self.known})
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
+            if found := _PLAIN(c):
+                word, mark = found.groups()
+                self.known[c] = self._word(word.lower()) + (self._word(mark) if mark else b"")
+            else:
+                rest.append(c)
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
             for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
                 self.known[c] = np.array(e.ids, "<u4").tobytes()
-        for c, (word, mark) in tails.items():
-            self.known[c] = self.known[word] + self.known[mark]
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            spelt = word if word.isascii() else word.encode().decode("latin-1").translate(_SPELLING)
+            found = self.words[word] = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(spelt))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [_chunks(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
+        for cache in (self.known, self.words):
+            if len(cache) > CACHE:
+                cache.clear()
         known = self.known
         known.setdefault("", b"")
         out = []
@@ -75,6 +86,12 @@ class WordIds:
         return out
 
 
+#: A run of letters that Unicode normalisation leaves alone, then at most one mark: two tokens of the pre-tokenizer.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([,.;:!?]?)").fullmatch
+#: How byte-level models spell the bytes 128 to 255: those without a printable character of their own follow from 256 + 33 on.
+_SPELLING = {b: chr(289 + i) for i, b in enumerate([*range(127, 161), 173]) if b > 127}
+
+
 def _chunks(text: str) -> list[str]:
     """Parts at tab, line ends and space only: str.split() knows more white space, which is left to the tokenizer."""
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
