@@ -256,8 +256,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``meta``: _id, _k1, _k2 (key of the text), _n bytes, _sha, _copies (documents with this text).
     ``spans``: _k1, _k2 and sorted, disjoint ``spans`` of bytes [first, last).
-    ``texts``: _k1, _k2, _text of those with anchors that occur again.  Texts of several documents
-    are not in ``spans``: from ``LENGTH`` bytes on all of such a text occurs again.
+    ``texts``: _k1, _k2, _text of those with anchors that occur again and one document only; of a text of
+    several documents all occurs again, from ``LENGTH`` bytes on.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     keys = [F.xxhash64(text).alias("_k1"), (F.crc32(text) + F.octet_length(text) * F.lit(1 << 32)).alias("_k2")]
@@ -266,10 +266,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = scan.groupBy("_k1", "_k2").agg(F.count("*").alias("_copies"), F.min("_id").alias("_first"))
     meta = written(scan.join(groups, ["_k1", "_k2"]), "meta")  # a text in many documents: a skewed side, which is split
     first = meta.where("_id <=> _first")
-    every = first.select("_id", "_k1", "_k2", F.inline("_anchors"))
+    every = first.select("_id", "_k1", "_k2", "_copies", F.inline("_anchors"))
     again = every.groupBy("gram").count().where(F.col("count") > 1).select("gram")
-    need = every.join(again, "gram").groupBy("_k1", "_k2", "_id").agg(F.collect_list(F.struct("pos", "low", "high")).alias("_found"))
-    texts = written(need.withColumnRenamed("_id", "_first").join(rows, ["_k1", "_k2"]).where("_id <=> _first").select("_k1", "_k2", "_text", "_found"), "texts")
+    need = every.join(again, "gram").groupBy("_k1", "_k2", "_id", "_copies").agg(F.collect_list(F.struct("pos", "low", "high")).alias("_found"))
+    texts = written(need.withColumnRenamed("_id", "_first").join(rows, ["_k1", "_k2"]).where("_id <=> _first").select("_k1", "_k2", "_copies", "_text", "_found"), "texts")
     members = texts.mapInArrow(_contexts, "_k1 long, _k2 long, low int, lead int, span int, ctx binary, bytes binary, gram binary")
     members = written(members, "contexts")
     shared = members.groupBy("ctx").agg(F.count("*").alias("copies"), F.first("bytes").alias("bytes"), F.first("gram").alias("gram"), F.first("lead").alias("lead"), F.first("span").alias("span"))
@@ -287,7 +287,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         runs = runs.union(hits.union(alone).groupBy("ctx").agg(F.collect_set("start").alias("starts")).mapInArrow(_gathered, "ctx binary, runs array<struct<first:int,last:int>>"))
     placed = members.select("_k1", "_k2", "low", "ctx").join(runs, "ctx").select("_k1", "_k2", "low", F.inline("runs"))
     spans = placed.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_list(F.struct((F.col("low") + F.col("first")).alias("first"), (F.col("low") + F.col("last") + LENGTH).alias("last")))).alias("spans"))
-    return meta.drop("_anchors", "_first"), spans, texts.select("_k1", "_k2", "_text")
+    return meta.drop("_anchors", "_first"), spans, texts.where("_copies = 1").select("_k1", "_k2", "_text")
 
 
 def _cut(text: bytes, spans: list[dict[str, int]]) -> tuple[bytes, list[tuple[int, int]]]:
