@@ -23,7 +23,7 @@ from .scratch import written
 
 TABLES, THRESHOLD, WIDEN = 64, 42, 1.2
 #: Verified vectors: so many times the neighbours asked for, and this share of the block.
-VERIFY, SHARE = 10, 0.2
+VERIFY, SHARE = 10, 0.25
 BLOCK, QUERIES, SEED = 8_192, 4_096, 7
 
 
@@ -36,27 +36,23 @@ class Index:
         lines = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, TABLES))
         self.lines = lines
         values = np.ascontiguousarray((np.hstack([vectors, rest[:, None]]) @ lines).T)
-        self.order = np.argsort(values, axis=1, kind="stable")
-        self.values = np.take_along_axis(values, self.order, axis=1)
         n = len(vectors)
-        # the first window holds about an eighth of a table
-        self.width = float(np.median(self.values[:, min(n - 1, n * 9 // 16)] - self.values[:, n * 7 // 16])) / 2 or 1.0
+        order = np.argsort(values, axis=1, kind="stable")
+        self.values = np.take_along_axis(values, order, axis=1)
+        self.place = np.empty((TABLES, n), np.uint16 if n < 1 << 16 else np.uint32)  # of each vector in each sorted array
+        np.put_along_axis(self.place, order, np.arange(n, dtype=self.place.dtype)[None, :], axis=1)
+        # the first window holds about three eighths of a table
+        self.width = float(np.median(self.values[:, min(n - 1, n * 11 // 16)] - self.values[:, n * 5 // 16])) / 2 or 1.0
 
     def candidates(self, query: np.ndarray, norm: float, least: int) -> np.ndarray:
         """Vectors whose collisions reach the threshold, once there are ``least`` of them."""
         n = len(self.vectors)
         centre = query * (norm / np.linalg.norm(query)) @ self.lines[:-1]  # the query's own length does not matter
-        low = np.array([row.searchsorted(c) for row, c in zip(self.values, centre, strict=True)])
-        high, width = low.copy(), self.width
-        count = np.zeros(n, np.int16)
+        width, kind = self.width, self.place.dtype
         while True:
-            fresh = []
-            for t in range(TABLES):
-                a, b = self.values[t].searchsorted((centre[t] - width, centre[t] + width))
-                fresh += [self.order[t, a : low[t]], self.order[t, high[t] : b]]
-                low[t], high[t] = min(a, low[t]), max(b, high[t])
-            count += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int16)
-            found = np.flatnonzero(count >= THRESHOLD)
+            low, high = np.array([row.searchsorted((c - width, c + width)) for row, c in zip(self.values, centre, strict=True)], np.int64).T
+            inside = (self.place - low.astype(kind)[:, None]) < (high - low).astype(kind)[:, None]  # wraps below the window
+            found = np.flatnonzero(inside.sum(axis=0, dtype=np.uint8) >= THRESHOLD)
             if len(found) >= least or (high - low == n).all():
                 return found
             width *= WIDEN
