@@ -101,7 +101,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     good = targets.select(F.col(targets.columns[0]).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_good", F.lit(True))
-    marked = rows.join(good, "_id", "left").select("_text", F.coalesce("_good", F.lit(False)).alias("_target"))
+    # texts meet ids by a merge at every size: how many targets there are has no bound
+    marked = rows.join(good.hint("merge"), "_id", "left").select("_text", F.coalesce("_good", F.lit(False)).alias("_target"))
     counts = trigram_counts(marked).orderBy("code").toPandas()  # at most 256**3 rows
     code = counts["code"].to_numpy(np.int64)
     value = differences(code, counts["target"].to_numpy(), counts["background"].to_numpy()) if len(code) else np.empty(0)
