@@ -26,7 +26,7 @@ from .scratch import written
 
 SIZE, END = 4096, 2
 #: Entries of a worker's word cache; beyond, it starts anew.
-CACHE = 300_000
+CACHE = 600_000
 #: Pieces in one bucket of the numbering.
 BUCKET = 50_000
 _ROWS = 128
