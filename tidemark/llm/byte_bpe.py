@@ -1,9 +1,10 @@
 """Byte-level BPE by Spark's higher-order functions, from a literal rank map.
 
-A word is an array of its bytes; each step of a fold merges the adjacent pair of the least rank,
-the leftmost on a tie.  The rank map is one literal: buckets by hash, since Spark looks through
-a map entry by entry.  Distinct words are counted over all documents, the most frequent ``FREQUENT`` are folded
-once and become a second literal; every other word of a document is folded where it stands, by the
+A word is an array of ids, at first those of its bytes; each step of a fold merges the adjacent pair of the
+least rank, the leftmost on a tie, and the rank is the id of what the two become.  Spark looks through a map
+entry by entry, so the rank map is a perfectly hashed table: literal arrays of displacements, keys and values, bound once
+to a lambda's variable.  Distinct words are counted over all documents, the most frequent ``FREQUENT`` are folded
+once and become, with the vocabulary, a second such table; every other word of a document is folded where it stands, by the
 same expression, so no text and no list of words is exchanged.  Decoding looks up the bytes of each id and concatenates them.
 """
 
@@ -11,8 +12,9 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -23,6 +25,7 @@ from .scratch import written
 #: Words that are folded once and held as a literal: at most so many, whatever the input.
 FREQUENT = 131_072
 _NONE = (1 << 31) - 1
+_NO_IDS = "array<int>"
 _WHITE = r"\t-\r\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
@@ -32,75 +35,133 @@ def java_pattern(pattern: str) -> str:
 
 
 @functools.lru_cache(maxsize=4)
-def ranks_of(path: str) -> tuple[tuple[str, int], ...]:
+def ranks_of(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
-        return tuple((base64.b64decode(a).hex().upper(), int(b)) for a, b in map(bytes.split, lines))
-
-
-def _buckets(entries: Iterable[tuple[str, str]], count: int) -> Column:
-    """A literal map from hex to a string: ``|key=value`` in the bucket of the key's hash."""
-    lists: dict[int, list[str]] = defaultdict(list)
-    for key, value in entries:
-        h = xxhash.xxh64_intdigest(key.encode(), 42)
-        lists[(h - (1 << 64) if h >> 63 else h) % count].append(f"|{key}={value}")
-    return F.split(F.lit("\n".join("".join(lists[i]) + "|" for i in range(count))), "\n")
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-class Literals:
-    """The rank map, the id table, and a map of folded words, as foldable expressions."""
+def _array(values: list, kind: str) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _index(h: Column, mask: int) -> Column:
+    return h.bitwiseAND(F.lit(mask).cast("long")).cast("int")
+
+
+class Hashed:
+    """A table of at most a million entries in which each key has a place of its own.
+
+    The low bits of a key's XXH64 choose a displacement, which is added to its higher bits for the place.
+    """
+
+    def __init__(self, entries: dict[bytes, object]) -> None:
+        self.keys = list(entries)
+        hashes = [xxhash.xxh64_intdigest(k, 42) for k in self.keys]
+        self.size = 1 << (2 * len(hashes) + 1).bit_length()
+        self.groups = max(1, self.size >> 2)
+        groups: dict[int, list[int]] = defaultdict(list)
+        for i, h in enumerate(hashes):
+            groups[h & (self.groups - 1)].append(i)
+        ordered = sorted(groups.items(), key=lambda g: -len(g[1]))
+        self.shift = next(s for s in range(20, 44) if all(len({hashes[i] >> s & (self.size - 1) for i in g}) == len(g) for _, g in ordered))
+        self.places: list[int | None] = [None] * self.size  # the entry at each place
+        self.moves = [0] * self.groups
+        for group, members in ordered:
+            at = [hashes[i] >> self.shift for i in members]
+            move = next(d for d in range(self.size) if all(self.places[(a + d) & (self.size - 1)] is None for a in at))
+            self.moves[group] = move
+            for i, a in zip(members, at):
+                self.places[(a + move) & (self.size - 1)] = i
+
+    def laid_out(self, of: list, empty: object) -> list:
+        """One value per place, from one per entry."""
+        return [empty if i is None else of[i] for i in self.places]
+
+    def found(self, moves: Column, keys: Column, values: Column, key: Column) -> Column:
+        """The value of a key, or null; the columns are those of the table."""
+        place = lambda h: _index(F.shiftrightunsigned(h, self.shift) + F.get(moves, _index(h, self.groups - 1)), self.size - 1)
+        return _let(_let(F.xxhash64(key), place), lambda i: F.when(F.get(keys, i) == key, F.get(values, i)))
+
+
+class Merges:
+    """The rank map and the id table as foldable expressions."""
 
     def __init__(self, path: str) -> None:
         ranks = ranks_of(path)
-        self.count = 1 << 16
-        self.ranks = _buckets(((k, str(v)) for k, v in ranks), self.count)
-        table = [""] * (max(v for _, v in ranks) + 1)
-        for k, v in ranks:
-            table[v] = k
+        merged = {(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        numbers = {(a << 16) + b: r for (a, b), r in merged.items()}
+        self.pairs = Hashed({struct.pack("<q", k): r for k, r in numbers.items()})
+        single = [ranks[bytes([b])] for b in range(256)]
+        hashes = [xxhash.xxh64_intdigest(bytes([b]), 42) for b in range(256)]
+        self.shift = next(s for s in range(48) if len({h >> s & 65535 for h in hashes}) == 256)
+        by_hash = {h >> self.shift & 65535: b for b, h in enumerate(hashes)}
+        self.tables = F.struct(
+            _array([by_hash.get(i, 0) for i in range(65536)], "int").alias("bytes"),
+            _array(single, "int").alias("single"),
+            _array([merged.get((a, b), _NONE) for a in single for b in single], "int").alias("first"),
+            _array(self.pairs.moves, "int").alias("moves"),
+            _array(self.pairs.laid_out(list(numbers), -1), "long").alias("keys"),
+            _array(self.pairs.laid_out(list(numbers.values()), _NONE), "int").alias("values"),
+        )
+        table = [""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            table[rank] = token.hex()
         self.table = F.split(F.lit(",".join(table)), ",")
 
-    def _found(self, buckets: Column, key: Column) -> Column:
-        """The value of a key, or null."""
-        bucket = F.get(buckets, F.pmod(F.xxhash64(key), F.lit(self.count)).cast("int"))
-        return _let(F.struct(bucket.alias("b"), F.concat(F.lit("|"), key, F.lit("=")).alias("k")), lambda x: _let(
-            F.struct(x["b"].alias("b"), F.length(x["k"]).alias("n"), F.instr(x["b"], x["k"]).alias("at")),
-            lambda y: F.when(y["at"] > 0, F.substring_index(y["b"].substr(y["at"] + y["n"], F.lit(1 << 30)), "|", 1)),
-        ))
-
-    def rank(self, key: Column) -> Column:
-        return F.coalesce(self._found(self.ranks, key).cast("int"), F.lit(_NONE))
-
-    def fold(self, word: Column) -> Column:
-        """Ids, joined by spaces, of a word given in hex."""
-        parts = F.regexp_extract_all(word, F.lit("(..)"), F.lit(1))
-        pairs = F.transform(parts, lambda x, i: F.when(i + 1 < F.size(parts), self.rank(F.concat(x, F.get(parts, i + 1)))).otherwise(F.lit(_NONE)))
+    def fold(self, t: Column, word: Column) -> Column:
+        """Ids of a word's bytes, joined by spaces; ``t`` is bound to ``tables``."""
+        def rank(a: Column, b: Column) -> Column:
+            return F.coalesce(self.pairs.found(t["moves"], t["keys"], t["values"], F.shiftleft(a.cast("long"), 16) + b), F.lit(_NONE))
 
         def merged(s: Column, p: Column) -> Column:
             sym, rk = s["sym"], s["rk"]
-            n = F.size(sym)
-            def put(new: Column) -> Column:
-                left = F.when(p > 1, F.array(self.rank(F.concat(F.get(sym, p - 2), new)))).otherwise(F.array().cast("array<int>"))
-                right = F.when(p + 1 < n, self.rank(F.concat(new, F.get(sym, p + 1)))).otherwise(F.lit(_NONE))
-                return F.struct(
-                    F.concat(F.slice(sym, 1, p - 1), F.array(new), F.slice(sym, p + 2, n)).alias("sym"),
-                    F.concat(F.slice(rk, 1, F.greatest(p - 2, F.lit(0))), left, F.array(right), F.slice(rk, p + 2, n)).alias("rk"),
-                )
-            return _let(F.concat(F.get(sym, p - 1), F.get(sym, p)), put)
+            n, new = F.size(sym), F.get(rk, p - 1)
+            left = F.when(p > 1, F.array(rank(F.get(sym, p - 2), new))).otherwise(F.array().cast(_NO_IDS))
+            right = F.when(p + 1 < n, rank(new, F.get(sym, p + 1))).otherwise(F.lit(_NONE))
+            return F.struct(
+                F.concat(F.slice(sym, 1, p - 1), F.array(new), F.slice(sym, p + 2, n)).alias("sym"),
+                F.concat(F.slice(rk, 1, F.greatest(p - 2, F.lit(0))), left, F.array(right), F.slice(rk, p + 2, n)).alias("rk"),
+            )
 
         def step(s: Column, _: Column) -> Column:
-            return _let(F.array_min(s["rk"]), lambda m: F.when(m == _NONE, s).otherwise(_let(F.array_position(s["rk"], m).cast("int"), lambda p: merged(s, p))))
+            least = F.array_min(s["rk"])
+            return F.when(least == _NONE, s).otherwise(_let(F.array_position(s["rk"], least).cast("int"), lambda p: merged(s, p)))
+
+        def folded(b: Column) -> Column:
+            follow = lambda x, i: F.coalesce(F.get(t["first"], x * 256 + F.get(b, i + 1)), F.lit(_NONE))
+            start = F.struct(F.transform(b, lambda x: F.get(t["single"], x)).alias("sym"), F.transform(b, follow).alias("rk"))
+            steps = F.when(F.size(b) > 1, F.sequence(F.lit(2), F.size(b))).otherwise(F.array().cast(_NO_IDS))
+            return F.array_join(F.aggregate(steps, start, step, lambda s: s["sym"]).cast("array<string>"), " ")
 
-        start = F.struct(parts.alias("sym"), pairs.alias("rk"))
-        done = F.aggregate(F.when(F.length(word) > 2, F.sequence(F.lit(2), (F.length(word) / 2).cast("int"))).otherwise(F.array().cast("array<int>")), start, step, lambda s: s["sym"])
-        split = F.array_join(F.transform(done, lambda x: self._found(self.ranks, x)), " ")
-        return F.coalesce(self._found(self.ranks, word), split)  # a word that has a rank itself is one token
+        raw = word.cast("binary")
+        code = lambda i: F.get(t["bytes"], _index(F.shiftrightunsigned(F.xxhash64(F.substring(raw, i, F.lit(1))), self.shift), 65535))
+        return _let(F.transform(F.sequence(F.lit(1), F.octet_length(word)), code), folded)
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of an array of ids."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.table, i)), ""))
+        return _let(self.table, lambda t: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
+
+
+def _words_table(known: dict[bytes, str]) -> tuple[Hashed, Column]:
+    """Words in UTF-8 with their ids as a table; a character that no word holds parts the keys."""
+    hashed = Hashed(known)
+    words = [k.decode() for k in hashed.keys]
+    seen = set().union(*words)
+    part = next(c for c in map(chr, range(0xE000, 0x110000)) if c not in seen)
+    keys = F.split(F.lit(part.join(hashed.laid_out(words, ""))), part)
+    values = F.split(F.lit(",".join(hashed.laid_out(list(known.values()), ""))), ",")
+    return hashed, F.struct(_array(hashed.moves, "int").alias("moves"), keys.alias("keys"), values.alias("values"))
+
+
+def _is_text(token: bytes) -> bool:
+    try:
+        return bool(token.decode())
+    except UnicodeDecodeError:
+        return False
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
@@ -109,16 +170,20 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     Null texts count as empty (no ids, no bytes); ids may be null or repeated; equal rows stay; an empty table gives no rows;
     other columns are not read.
     """
-    literal = Literals(path)
+    merges = Merges(path)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(f"({java_pattern(pattern)})"), F.lit(1)).alias("_words"))
     counted = rows.select(F.explode("_words").alias("_word")).groupBy("_word").count().where("count > 1")
-    top = counted.orderBy(F.desc("count"), "_word").limit(frequent).select(F.hex("_word").alias("_hex"))
-    folded = written(written(top, "frequent").repartition(32).select("_hex", literal.fold(F.col("_hex")).alias("_ids")), "folded")
-    known = _buckets(((r["_hex"], r["_ids"]) for r in folded.toLocalIterator()), literal.count)  # at most ``frequent`` rows
-
-    def coded(word: Column) -> Column:
-        return _let(F.hex(word), lambda h: F.coalesce(literal._found(known, h), literal.fold(h)))
-
-    joined = rows.select("doc_id", F.array_join(F.transform("_words", coded), " ").alias("_ids"))
-    ids = F.when(F.col("_ids") == "", F.array().cast("array<int>")).otherwise(F.split("_ids", " ").cast("array<int>"))
-    return joined.select("doc_id", ids.alias("ids")).select("doc_id", "ids", literal.decoded(F.col("ids")).alias("decoded"))
+    top = counted.orderBy(F.desc("count"), "_word").limit(frequent).select("_word")
+    folded = written(written(top, "frequent").repartition(8).select("_word", _let(merges.tables, lambda t: merges.fold(t, F.col("_word"))).alias("_ids")), "folded")
+    known = {r["_word"].encode(): r["_ids"] for r in folded.toLocalIterator()}  # at most ``frequent`` rows
+    known |= {token: str(rank) for token, rank in ranks_of(path).items() if _is_text(token)}  # a word that has a rank itself is one token
+    words, table = _words_table(known)
+
+    def coded(b: Column) -> Callable[[Column], Column]:
+        t, m = b["words"], b["merges"]
+        return lambda w: F.coalesce(words.found(t["moves"], t["keys"], t["values"], w), merges.fold(m, w))
+
+    both = F.struct(table.alias("words"), merges.tables.alias("merges"))
+    joined = rows.select("doc_id", _let(both, lambda b: F.array_join(F.transform("_words", coded(b)), " ")).alias("_ids"))
+    ids = F.when(F.col("_ids") == "", F.array().cast(_NO_IDS)).otherwise(F.split("_ids", " ").cast(_NO_IDS))
+    return joined.select("doc_id", ids.alias("ids")).select("doc_id", "ids", merges.decoded(F.col("ids")).alias("decoded"))
