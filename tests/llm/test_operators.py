@@ -210,8 +210,8 @@ def test_byte_bpe(docs, none):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    for frequent in (byte_bpe.FREQUENT, 1):
-        found = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, frequent=frequent).collect()
+    for remembered in (byte_bpe.REMEMBERED, 1):
+        found = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, remembered=remembered).collect()
         assert Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in found) == Counter((d, tuple(library.encode_ordinary(t or "")), _bytes(t)) for d, t, *_ in ROWS)
     assert byte_bpe.encode(none, path, public_tokenizers.PATTERN).count() == 0
 

@@ -1,37 +1,38 @@
 """Byte-level BPE by Spark's higher-order functions, from a literal rank map.
 
-A word is an array of ids, at first those of its bytes; each step of a fold merges the adjacent pair of the
-least rank, the leftmost on a tie, and the rank is the id of what the two become.  Spark looks through a map
-entry by entry, so the rank map is a perfectly hashed table: literal arrays of displacements, keys and values, bound once
-to a lambda's variable.  Distinct words are counted over all documents, the most frequent ``FREQUENT`` are folded
-once and become, with the vocabulary, a second such table; every other word of a document is folded where it stands, by the
-same expression, so no text and no list of words is exchanged.  Decoding looks up the bytes of each id and concatenates them.
+Three narrow steps of one stage, without an exchange.  ``_numbered`` splits texts and numbers words: one that is a token
+has that token's id, any other the next number of its partition, and comes along as an array of bytes at the place where it is
+first seen.  Spark folds each of these distinct words by ranked merges.  ``_assembled`` takes the words by their numbers,
+so that ids stand in the order of the text, and decodes by concatenating each id's bytes.
+
+In the fold a word is an array of numbers, each a symbol in the low 16 bits and above them the rank of its pair with the next.
+The least number is then the pair to merge, its first place the leftmost, and its rank is the id of what the two
+become.  Spark looks through a map entry by entry, so the rank map is one literal array: the pairs of a left symbol lie at
+that symbol's displacement plus the right symbol, and each entry holds the left symbol and the rank.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import struct
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
-import xxhash
+import numpy as np
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
-
-#: Words that are folded once and held as a literal: at most so many, whatever the input.
-FREQUENT = 131_072
-_NONE = (1 << 31) - 1
-_NO_IDS = "array<int>"
-_WHITE = r"\t-\r\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-
-
-def java_pattern(pattern: str) -> str:
-    """The pre-tokenizer's pattern with Unicode white space spelt out, as Java's ``\\s`` is ASCII."""
-    return pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]")
+#: Words that a partition remembers; beyond so many it begins anew and folds again what it meets again.
+REMEMBERED = 1_000_000
+_NONE = 1 << 24
+_LOW = 65535
+_WINDOW = 4096  # places tried together
+#: So many words or ids make a batch of rows.
+_BATCH = 1 << 20
+_Batches = Iterator[pa.RecordBatch]
 
 
 @functools.lru_cache(maxsize=4)
@@ -48,142 +49,170 @@ def _array(values: list, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _index(h: Column, mask: int) -> Column:
-    return h.bitwiseAND(F.lit(mask).cast("long")).cast("int")
-
-
-class Hashed:
-    """A table of at most a million entries in which each key has a place of its own.
-
-    The low bits of a key's XXH64 choose a displacement, which is added to its higher bits for the place.
-    """
-
-    def __init__(self, entries: dict[bytes, object]) -> None:
-        self.keys = list(entries)
-        hashes = [xxhash.xxh64_intdigest(k, 42) for k in self.keys]
-        self.size = 1 << (2 * len(hashes) + 1).bit_length()
-        self.groups = max(1, self.size >> 2)
-        groups: dict[int, list[int]] = defaultdict(list)
-        for i, h in enumerate(hashes):
-            groups[h & (self.groups - 1)].append(i)
-        ordered = sorted(groups.items(), key=lambda g: -len(g[1]))
-        self.shift = next(s for s in range(20, 44) if all(len({hashes[i] >> s & (self.size - 1) for i in g}) == len(g) for _, g in ordered))
-        self.places: list[int | None] = [None] * self.size  # the entry at each place
-        self.moves = [0] * self.groups
-        for group, members in ordered:
-            at = [hashes[i] >> self.shift for i in members]
-            move = next(d for d in range(self.size) if all(self.places[(a + d) & (self.size - 1)] is None for a in at))
-            self.moves[group] = move
-            for i, a in zip(members, at):
-                self.places[(a + move) & (self.size - 1)] = i
-
-    def laid_out(self, of: list, empty: object) -> list:
-        """One value per place, from one per entry."""
-        return [empty if i is None else of[i] for i in self.places]
-
-    def found(self, moves: Column, keys: Column, values: Column, key: Column) -> Column:
-        """The value of a key, or null; the columns are those of the table."""
-        place = lambda h: _index(F.shiftrightunsigned(h, self.shift) + F.get(moves, _index(h, self.groups - 1)), self.size - 1)
-        return _let(_let(F.xxhash64(key), place), lambda i: F.when(F.get(keys, i) == key, F.get(values, i)))
+def displaced(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int]]:
+    """Displacements by left symbol, and entries ``left << 16 | rank`` (-1 where none is), longest rows placed first."""
+    rows: dict[int, list[int]] = defaultdict(list)
+    for a, b in pairs:
+        rows[a].append(b)
+    taken, moves, free = np.zeros(2 * _LOW, bool), [0] * (max(rows, default=0) + 1), 0
+    starts: dict[int, int] = defaultdict(int)  # by length of row: windows before it were found full
+    for a, found in sorted(rows.items(), key=lambda r: -len(r[1])):
+        at = np.sort(np.array(found))
+        while taken[free]:
+            free += 1
+        tried = max(free, starts[len(at).bit_length()])
+        while True:
+            if tried + _WINDOW + _LOW >= len(taken):
+                taken = np.concatenate([taken, np.zeros(len(taken), bool)])
+            fits = tried + np.flatnonzero(~taken[tried : tried + _WINDOW]) - int(at[0])
+            for b in at[1:]:
+                fits = fits[~taken[fits + b]]
+                if not len(fits):
+                    break
+            if len(fits):
+                break
+            tried += _WINDOW
+        starts[len(at).bit_length()] = tried
+        moves[a] = int(fits[0])
+        taken[at + moves[a]] = True
+    entries = [-1] * (int(np.flatnonzero(taken).max(initial=-1)) + 1)
+    for (a, b), rank in pairs.items():
+        entries[moves[a] + b] = a << 16 | rank
+    return moves, entries
 
 
 class Merges:
-    """The rank map and the id table as foldable expressions."""
+    """The rank map as a foldable expression; ranks and ids must lie below 65,536."""
 
     def __init__(self, path: str) -> None:
         ranks = ranks_of(path)
-        merged = {(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
-        numbers = {(a << 16) + b: r for (a, b), r in merged.items()}
-        self.pairs = Hashed({struct.pack("<q", k): r for k, r in numbers.items()})
-        single = [ranks[bytes([b])] for b in range(256)]
-        hashes = [xxhash.xxh64_intdigest(bytes([b]), 42) for b in range(256)]
-        self.shift = next(s for s in range(48) if len({h >> s & 65535 for h in hashes}) == 256)
-        by_hash = {h >> self.shift & 65535: b for b, h in enumerate(hashes)}
-        self.tables = F.struct(
-            _array([by_hash.get(i, 0) for i in range(65536)], "int").alias("bytes"),
-            _array(single, "int").alias("single"),
-            _array([merged.get((a, b), _NONE) for a in single for b in single], "int").alias("first"),
-            _array(self.pairs.moves, "int").alias("moves"),
-            _array(self.pairs.laid_out(list(numbers), -1), "long").alias("keys"),
-            _array(self.pairs.laid_out(list(numbers.values()), _NONE), "int").alias("values"),
-        )
-        table = [""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            table[rank] = token.hex()
-        self.table = F.split(F.lit(",".join(table)), ",")
+        if max(ranks.values()) > _LOW:
+            raise ValueError("a rank does not fit in 16 bits")
+        pairs = {(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        moves, entries = displaced(pairs)
+        self.tables = F.struct(_array([ranks[bytes([b])] for b in range(256)], "int").alias("single"), _array(moves, "int").alias("moves"), _array(entries, "long").alias("entries"))
 
     def fold(self, t: Column, word: Column) -> Column:
-        """Ids of a word's bytes, joined by spaces; ``t`` is bound to ``tables``."""
-        def rank(a: Column, b: Column) -> Column:
-            return F.coalesce(self.pairs.found(t["moves"], t["keys"], t["values"], F.shiftleft(a.cast("long"), 16) + b), F.lit(_NONE))
-
-        def merged(s: Column, p: Column) -> Column:
-            sym, rk = s["sym"], s["rk"]
-            n, new = F.size(sym), F.get(rk, p - 1)
-            left = F.when(p > 1, F.array(rank(F.get(sym, p - 2), new))).otherwise(F.array().cast(_NO_IDS))
-            right = F.when(p + 1 < n, rank(new, F.get(sym, p + 1))).otherwise(F.lit(_NONE))
-            return F.struct(
-                F.concat(F.slice(sym, 1, p - 1), F.array(new), F.slice(sym, p + 2, n)).alias("sym"),
-                F.concat(F.slice(rk, 1, F.greatest(p - 2, F.lit(0))), left, F.array(right), F.slice(rk, p + 2, n)).alias("rk"),
-            )
+        """Ids of an array of bytes; ``t`` is bound to ``tables``."""
+        def paired(a: Column, b: Column) -> Column:
+            """The symbol with the rank of its pair; ``b`` is null after the last."""
+            entry = F.get(t["entries"], F.get(t["moves"], a.cast("int")) + b.cast("int"))
+            ranked = F.when(F.shiftright(entry, 16) == a, F.shiftleft(entry.bitwiseAND(F.lit(_LOW)), 16) + a)
+            return F.coalesce(ranked, F.lit(_NONE << 16) + a)
+
+        low = lambda x: x.bitwiseAND(F.lit(_LOW))
+
+        def merged(s: Column, least: Column, p: Column) -> Column:
+            new = F.shiftright(least, 16)
+            each = lambda x, i: F.when((i < p - 2) | (i > p), x).when(i == p - 1, paired(new, low(F.get(s, p + 1)))).when(i == p, F.lit(-1).cast("long")).otherwise(paired(low(x), new))
+            return F.filter(F.transform(s, each), lambda x: x >= 0)
 
         def step(s: Column, _: Column) -> Column:
-            least = F.array_min(s["rk"])
-            return F.when(least == _NONE, s).otherwise(_let(F.array_position(s["rk"], least).cast("int"), lambda p: merged(s, p)))
+            return _let(F.array_min(s), lambda least: F.when(least >= _NONE << 16, s).otherwise(_let(F.array_position(s, least).cast("int"), lambda p: merged(s, least, p))))
 
         def folded(b: Column) -> Column:
-            follow = lambda x, i: F.coalesce(F.get(t["first"], x * 256 + F.get(b, i + 1)), F.lit(_NONE))
-            start = F.struct(F.transform(b, lambda x: F.get(t["single"], x)).alias("sym"), F.transform(b, follow).alias("rk"))
-            steps = F.when(F.size(b) > 1, F.sequence(F.lit(2), F.size(b))).otherwise(F.array().cast(_NO_IDS))
-            return F.array_join(F.aggregate(steps, start, step, lambda s: s["sym"]).cast("array<string>"), " ")
+            start = F.transform(b, lambda x, i: paired(x, F.get(b, i + 1)))
+            return F.transform(F.aggregate(F.slice(b, 2, F.size(b)), start, step), lambda x: low(x).cast("int"))
 
-        raw = word.cast("binary")
-        code = lambda i: F.get(t["bytes"], _index(F.shiftrightunsigned(F.xxhash64(F.substring(raw, i, F.lit(1))), self.shift), 65535))
-        return _let(F.transform(F.sequence(F.lit(1), F.octet_length(word)), code), folded)
+        return _let(F.transform(word, lambda x: F.get(t["single"], x).cast("long")), folded)
 
-    def decoded(self, ids: Column) -> Column:
-        """The bytes of an array of ids."""
-        return _let(self.table, lambda t: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t, i)), "")))
 
+class _Numbers(dict):
+    """Numbers of words: a token's id, or else the next number after the ids; ``new`` holds the latter's bytes."""
 
-def _words_table(known: dict[bytes, str]) -> tuple[Hashed, Column]:
-    """Words in UTF-8 with their ids as a table; a character that no word holds parts the keys."""
-    hashed = Hashed(known)
-    words = [k.decode() for k in hashed.keys]
-    seen = set().union(*words)
-    part = next(c for c in map(chr, range(0xE000, 0x110000)) if c not in seen)
-    keys = F.split(F.lit(part.join(hashed.laid_out(words, ""))), part)
-    values = F.split(F.lit(",".join(hashed.laid_out(list(known.values()), ""))), ",")
-    return hashed, F.struct(_array(hashed.moves, "int").alias("moves"), keys.alias("keys"), values.alias("values"))
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks, self.next, self.new = ranks, max(ranks.values()) + 1, []
 
+    def __missing__(self, word: str) -> int:
+        raw = word.encode()
+        number = self.ranks.get(raw)  # a word that is a token is that token alone
+        if number is None:
+            self.new.append(raw)
+            number = self.next
+            self.next += 1
+        self[word] = number
+        return number
 
-def _is_text(token: bytes) -> bool:
-    try:
-        return bool(token.decode())
-    except UnicodeDecodeError:
-        return False
 
+def _lists(values: list, kind: pa.DataType) -> pa.Array:
+    """An array of lists of numbers, from sequences of them or from bytes."""
+    offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.fromiter(chain.from_iterable(values), np.int32, int(offsets[-1])), kind))
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
+
+def _numbered(path: str, pattern: str, remembered: int) -> Callable[[_Batches], _Batches]:
+    """Each text's words by number; ``_base`` is how many words had been folded before the row, 0 to begin anew."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        docs, bases, codes, new = zip(*rows)
+        folds = pa.array(np.cumsum([0, *map(len, new)], dtype=np.int32))
+        words = pa.ListArray.from_arrays(folds, _lists(list(chain.from_iterable(new)), pa.int32()))
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(bases, pa.int64()), _lists(codes, pa.int32()), words], ["doc_id", "_base", "_codes", "_new"])
+
+    def run(batches: _Batches) -> _Batches:
+        ranks, split = ranks_of(path), regex.compile(pattern).findall
+        numbers, base, rows, n = _Numbers(ranks), 0, [], 0
+        for found in batches:
+            for doc, text in zip(found.column(0).to_pylist(), found.column(1).to_pylist()):
+                if base > remembered:
+                    numbers, base = _Numbers(ranks), 0
+                codes = [*map(numbers.__getitem__, split(text or ""))]
+                rows.append((doc, base, codes, numbers.new))
+                base += len(numbers.new)
+                numbers.new = []
+                n += len(codes)
+                if n >= _BATCH:
+                    yield batch(rows)
+                    rows, n = [], 0
+        if rows:
+            yield batch(rows)
+
+    return run
+
+
+def _assembled(path: str) -> Callable[[_Batches], _Batches]:
+    """Ids of each text in order, and the bytes that they stand for."""
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        docs, ids, decoded = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), _lists(ids, pa.int32()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+
+    def run(batches: _Batches) -> _Batches:
+        ranks = ranks_of(path)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        words, rows, n = [(rank,) for rank in range(len(tokens))], [], 0
+        for found in batches:
+            docs, bases, codes, folded = (found.column(c) for c in ("doc_id", "_base", "_codes", "_folded"))
+            ends = np.cumsum(codes.value_lengths().to_numpy())
+            flat, fresh = codes.flatten().to_numpy(), iter(folded.flatten().to_pylist())
+            for doc, base, size, end, new in zip(docs.to_pylist(), bases.to_pylist(), codes.value_lengths().to_pylist(), ends.tolist(), folded.value_lengths().to_pylist()):
+                if base == 0:
+                    del words[len(tokens) :]
+                if len(words) != len(tokens) + base:
+                    raise RuntimeError("rows came in another order than they were numbered in")
+                words.extend(next(fresh) for _ in range(new))
+                ids = [*chain.from_iterable(map(words.__getitem__, flat[end - size : end].tolist()))]
+                rows.append((doc, ids, b"".join(map(tokens.__getitem__, ids))))
+                n += len(ids)
+                if n >= _BATCH:
+                    yield batch(rows)
+                    rows, n = [], 0
+        if rows:
+            yield batch(rows)
+
+    return run
+
+
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
     """``doc_id, ids, decoded``: ids of the whole text as an array, and the bytes that they stand for.
 
     Null texts count as empty (no ids, no bytes); ids may be null or repeated; equal rows stay; an empty table gives no rows;
-    other columns are not read.
+    other columns are not read.  A task holds at most ``remembered`` words besides those of one text.
     """
     merges = Merges(path)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(f"({java_pattern(pattern)})"), F.lit(1)).alias("_words"))
-    counted = rows.select(F.explode("_words").alias("_word")).groupBy("_word").count().where("count > 1")
-    top = counted.orderBy(F.desc("count"), "_word").limit(frequent).select("_word")
-    folded = written(written(top, "frequent").repartition(8).select("_word", _let(merges.tables, lambda t: merges.fold(t, F.col("_word"))).alias("_ids")), "folded")
-    known = {r["_word"].encode(): r["_ids"] for r in folded.toLocalIterator()}  # at most ``frequent`` rows
-    known |= {token: str(rank) for token, rank in ranks_of(path).items() if _is_text(token)}  # a word that has a rank itself is one token
-    words, table = _words_table(known)
-
-    def coded(b: Column) -> Callable[[Column], Column]:
-        t, m = b["words"], b["merges"]
-        return lambda w: F.coalesce(words.found(t["moves"], t["keys"], t["values"], w), merges.fold(m, w))
-
-    both = F.struct(table.alias("words"), merges.tables.alias("merges"))
-    joined = rows.select("doc_id", _let(both, lambda b: F.array_join(F.transform("_words", coded(b)), " ")).alias("_ids"))
-    ids = F.when(F.col("_ids") == "", F.array().cast(_NO_IDS)).otherwise(F.split("_ids", " ").cast(_NO_IDS))
-    return joined.select("doc_id", ids.alias("ids")).select("doc_id", "ids", merges.decoded(F.col("ids")).alias("decoded"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    numbered = rows.mapInArrow(_numbered(path, pattern, remembered), "doc_id long, _base long, _codes array<int>, _new array<array<int>>")
+    folds = _let(merges.tables, lambda t: F.transform("_new", lambda w: merges.fold(t, w)))
+    return numbered.select("doc_id", "_base", "_codes", folds.alias("_folded")).mapInArrow(_assembled(path), "doc_id long, ids array<int>, decoded binary")
