@@ -144,6 +144,12 @@ def test_near_duplicates_keep_one_of_each(docs):
     assert len(ids) == len(set(ids)) and 0 in ids and 1 not in ids and 12 in ids
 
 
+def test_null_and_repeated_ids_name_no_component(spark):
+    rows = [(None, _prose(200 + i, 80)) for i in range(5)] + [(7, _prose(300, 80)), (7, _prose(301, 80)), (None, _prose(301, 80)), (8, _prose(300, 80))]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(rows[:7])
+
+
 @pytest.mark.parametrize("split", [suffixes.SPLIT, 0])
 def test_repeated_strings(docs, none, split):
     size = suffixes.LENGTH

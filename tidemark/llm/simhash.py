@@ -192,7 +192,7 @@ def fingerprinted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split: int = SPLIT) -> DataFrame:
-    """A row for each row of ``docs``: ``(_id, _h, _fp, component)``, the least id that links reach.
+    """A row for each row of ``docs``: ``(_id, _h, _fp, component, root)``, the least id that links reach and the component's least fingerprint.
 
     Null texts count as empty and share the zero fingerprint; null ids never name a component
     unless it has no other; repeated rows stay repeated; an empty table gives no rows; other columns
@@ -203,19 +203,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = components(links(distinct.select("_fp"), split)).select(F.col("node").alias("_fp"), "root")
     classes = distinct.join(rooted, "_fp", "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("root"))
     least = classes.groupBy("root").agg(F.min("_least").alias("component"))
-    return rows.join(classes.join(least, "root").select("_fp", "component"), "_fp")
+    return rows.join(classes.join(least, "root").select("_fp", "component", "root"), "_fp")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, that of the least id (null ids first go); columns as they were.
+    """One document of each component, see ``one_of_each``."""
+    return one_of_each(docs, near_duplicates(docs, id_col, text_col), id_col, text_col)
 
-    Repeated rows of the document that stays are given once.
+
+def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each ``root`` of ``found(_id, _h, root)``, that of the least id, then text hash (null ids first go); columns as they were.
+
+    Ids may be null or repeated, they name no component.  Repeated rows of the document that stays are given once.
     """
-    found = near_duplicates(docs, id_col, text_col).where("_id <=> component")
-    kept = written(found.groupBy("_id", "_h", "component").agg(F.count("*").alias("_n")), "kept")
-    # ids that occur again, in the same component or with another text, are settled on the few rows concerned
-    first = kept.groupBy("_id", "component").agg(F.min("_h").alias("_h"), F.sum("_n").alias("_n"))
-    named = first.select(F.col("_id").alias("_kept_id"), F.col("_h").alias("_kept_h"), "_n")
+    rows = found.groupBy("_id", "_h", "root").agg(F.count("*").alias("_n"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_h", "_n")).alias("k")
+    named = written(rows.groupBy("root").agg(first).select(F.col("k._id").alias("_kept_id"), F.col("k._h").alias("_kept_h"), F.col("k._n").alias("_n")), "kept")
     text = F.coalesce(F.col(text_col), F.lit(""))
     same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text) == F.col("_kept_h"))
     out = docs.join(named, same)
