@@ -12,7 +12,7 @@ import tiktoken
 import xxhash
 from tokenizers import Tokenizer
 
-from tidemark.llm import byte_bpe, html_text, lm_scoring, neighbours, packing, quality, sharding, simhash, suffixes, warc
+from tidemark.llm import byte_bpe, html_text, lm_scoring, near_copies, neighbours, packing, quality, sharding, simhash, suffixes, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component long, _fp string"
 WORDS = "amber basin cedar delta ember fjord grove haven inlet jetty knoll lagoon marsh notch oasis prairie quarry ridge shoal tundra".split()
@@ -150,6 +150,29 @@ def test_null_and_repeated_ids_name_no_component(spark):
     assert Counter((r.doc_id, r.text) for r in kept) == Counter(rows[:7])
 
 
+def test_pipeline_drops_near_copies(spark, none):
+    import corpus_pipeline
+
+    def changed(seed, *places):
+        words = _prose(seed, 150).split()
+        for at in places:
+            words[at] = f"new{at}"
+        return " ".join(words)
+
+    texts = [changed(1), changed(1, 20, 90), changed(1, 20, 60, 90, 120), changed(1, 60, 120, 140), changed(2), changed(2, *range(0, 150, 10)), changed(3), changed(3, 5), "", None, " ", "a b", "A  b"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    sets = [{tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1))} if w else set() for w in ((t or "").lower().split() for t in texts)]
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if 5 * len(a & b) >= 4 * len(a | b):
+                    label[i] = min(label[i], label[j])
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(label)) and 5 in label and len(set(label)) < 7
+    assert corpus_pipeline.near_duplicates(spark, none, "").count() == 0
+
+
 @pytest.mark.parametrize("split", [suffixes.SPLIT, 0])
 def test_repeated_strings(docs, none, split):
     size = suffixes.LENGTH

@@ -33,18 +33,20 @@ _RANGES = ((42, 22), (21, 21), (0, 21))
 _ROWS, _HASHES = 256, 100_000
 
 
+def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
+    """Of each run of ``width`` words, or of all words where there are fewer."""
+    words = text.lower().split() if text else []
+    if len(words) < width:
+        shingles = [b" ".join(words)] if words else []
+    else:
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
+
+
 def fingerprints(texts: list[bytes | None], width: int = WIDTH) -> np.ndarray:
     """Of each text; zero where there is no word."""
-    hashes, sizes = [], []
-    for text in texts:
-        words = text.lower().split() if text else []
-        if len(words) < width:
-            shingles = [b" ".join(words)] if words else []
-        else:
-            shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False))
-        found = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
-        hashes.append(found)
-        sizes.append(len(found))
+    hashes = [shingle_hashes(text, width) for text in texts]
+    sizes = [len(found) for found in hashes]
     out = np.zeros(len(texts), np.uint64)
     start = 0
     while start < len(texts):  # some texts at a time: the bits take 64 bytes a hash
