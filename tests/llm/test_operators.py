@@ -173,6 +173,14 @@ def test_pipeline_drops_near_copies(spark, none):
     assert corpus_pipeline.near_duplicates(spark, none, "").count() == 0
 
 
+@pytest.mark.parametrize("odd", ["If x <y, it's so.", '<a href="/x>link</a>', "<svg class='i'/>", "<math/>", "<canvas>", "<object data=x>", "<video src=x>", "</ >", "a <b it's", "<canvas><canvas></canvas>"])
+def test_html_goes_on_after_odd_tags(odd):
+    blocks = [_prose(n, 40) for n in range(3)]
+    found = html_text.main_text(f"<html><body><p>{blocks[0]}</p><p>{odd}</p><p>{blocks[1]}, it's</p><p>{blocks[2]}</p></body></html>")
+    assert all(b in found for b in blocks)
+    assert html_text.main_text(f"<p>{blocks[0]}</p><svg><title>{blocks[1]}</title></svg><a href='x") == blocks[0]
+
+
 @pytest.mark.parametrize("split", [suffixes.SPLIT, 0])
 def test_repeated_strings(docs, none, split):
     size = suffixes.LENGTH

@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 
 #: Fixed lists of element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template xmp svg math object canvas audio video".split())
-DROPPED = RAW | frozenset("head nav header footer aside form button select option label fieldset dialog menu".split())
+RAW = frozenset("script style textarea title noscript iframe xmp".split())
+#: Ordinary elements that hold no article: skipped to their own closing tag; one left open is taken as empty.
+SKIPPED = frozenset("template svg math object canvas audio video".split())
+FOREIGN = frozenset(("svg", "math"))
+DROPPED = RAW | SKIPPED | frozenset("head nav header footer aside form button select option label fieldset dialog menu".split())
 BLOCK = frozenset("address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 PARAGRAPHS = frozenset("p pre td blockquote dd li".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -38,7 +41,9 @@ CLOSED_BY = {
 SCOPE = frozenset("table ul ol dl div article section main body html td th blockquote".split())
 _NOISE = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|banners?|sponsor(?:ed)?|promo(?:tion)?s?|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|widgets?|footer|masthead|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|comments?|commentlist|disqus|respond|replies|reply|pagination|pager|toolbar|skip|copyright|disclaimer)(?=$|[\s_-])")
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+)|(<)", re.S)
+#: As in browsers, a quote in a tag counts after "=" only.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)>|([^<]+)|(<)", re.S)
+_CUT = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>")
 _ATTR = re.compile(r"([A-Za-z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(?<=\s)(hidden)(?=[\s/]|$)")
 _HIDDEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -67,22 +72,42 @@ def _marked(node: Node, attrs: str) -> None:
             node.noise = True
 
 
+def _closings(page: str, name: str) -> dict[int, int]:
+    """Start of each element of a name that has a closing tag of its own, to the end of that tag."""
+    found, left = {}, []
+    for m in re.compile(rf"<(/?){name}(?=[\s/>])(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+>", re.I).finditer(page):
+        if m[1]:
+            if left:
+                found[left.pop()] = m.end()
+        elif name not in FOREIGN or not m[0].endswith("/>"):
+            left.append(m.start())
+    return found
+
+
 def parse(page: str) -> Node:
     """The tree of a page; text and elements stand in ``items``.  Unclosed and misplaced tags are mended as browsers do, roughly."""
     root = Node("html", None)
     node, at, end = root, 0, len(page)
+    closed: dict[str, dict[int, int]] = {}
     while at < end:
         m = _TOKEN.match(page, at)
         if not m:  # cannot be: the last alternative takes any "<"
             break
-        at = m.end()
+        start, at = at, m.end()
         if m[4] is not None:
             node.items.append(m[4])
-        elif m[5] is not None:
-            if page[at : at + 1].isalpha() or page[at : at + 1] in ("/", "!"):
-                break  # a tag that the page's end cuts off
-            node.items.append("<")
-        elif m[2] is not None:
+            continue
+        if m[5] is not None:
+            cut = page[at : at + 1] in ("/", "!", "?") or page[at : at + 1].isascii() and page[at : at + 1].isalpha()
+            if not cut:
+                node.items.append("<")
+                continue
+            if (close := page.find(">", at)) < 0:
+                break  # the page's end cuts the tag off
+            m, at = _CUT.match(page, at - 1), close + 1
+            if not m:  # a comment to browsers
+                continue
+        if m[2] is not None:
             name = m[2].lower()
             if m[1]:
                 up = node
@@ -110,8 +135,12 @@ def parse(page: str) -> Node:
             if m[3]:
                 _marked(child, m[3])
             if name in RAW:
-                close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+                close = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = close.end() if close else end
+            elif name in SKIPPED:
+                if name not in closed:
+                    closed[name] = _closings(page, name)
+                at = closed[name].get(start, at)
             elif name not in VOID and not m[3].endswith("/"):
                 node = child
     return root
