@@ -181,8 +181,9 @@ def test_html_goes_on_after_odd_tags(odd):
     assert html_text.main_text(f"<p>{blocks[0]}</p><svg><title>{blocks[1]}</title></svg><a href='x") == blocks[0]
 
 
-@pytest.mark.parametrize("split", [suffixes.SPLIT, 0])
-def test_repeated_strings(docs, none, split):
+@pytest.mark.parametrize("bucket", [suffixes.BUCKET, 50])
+def test_repeated_strings(docs, none, bucket, monkeypatch):
+    monkeypatch.setattr(suffixes, "BUCKET", bucket)
     size = suffixes.LENGTH
     texts = [_bytes(r[1]) for r in ROWS]
     seen = Counter(t[i : i + size] for t in texts for i in range(len(t) - size + 1))
@@ -195,7 +196,7 @@ def test_repeated_strings(docs, none, split):
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) > 0).sum())
         kept = bytes(b for b, g in zip(text, gone) if not g)
         expected[doc, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
-    found = suffixes.without_repeats(docs, split=split).collect()
+    found = suffixes.without_repeats(docs).collect()
     assert Counter((r.doc_id, r.n_bytes, sum(s.last - s.first for s in r.spans), len(r.spans), r.kept_sha256) for r in found) == expected
     assert suffixes.without_repeats(none).count() == 0
     assert suffixes.drop_repeats(docs).count() == len(ROWS)

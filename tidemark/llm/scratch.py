@@ -1,21 +1,28 @@
 """Tables written once and read again, in the folder that driver and executors share.
 
 A written table cuts lineage: when an executor is lost, later stages read the files again
-instead of repeating what made them.
+instead of repeating what made them.  The shuffle files of a write go as soon as the table stands, and a table
+goes (``drop``) once what was made of it is written, so the disk in use is that of the widest step.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting that removes the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder of this machine only where it is unset."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a temporary folder in local mode and an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -27,9 +34,22 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` gave and that nothing reads any more."""
+    for table in tables:
+        remove(table.sparkSession, table.scratch_path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -37,3 +57,11 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def free_prefix(columns: Iterable[str]) -> str:
+    """A beginning that no column has, for names that stand beside the user's."""
+    found, taken = "_t", [c.lower() for c in columns]
+    while any(c.startswith(found) for c in taken):
+        found = "_" + found
+    return found + "_"

@@ -2,41 +2,49 @@
 
 Every ``LENGTH``-byte string holds one anchor, the position whose ``GRAM``-byte gram has the least
 hash among all that start in it (the last one on a tie).  The choice depends on the string alone,
-so all its copies have the anchor at the same place, and only suffixes that start at anchors need
-sorting: about one byte in 85.  Of these, only suffixes whose gram occurs again go on, with the
-bytes before and after them that their strings reach (their context).
-
-* Equal contexts are first brought together: each is then sorted once, with its number of copies.
-* Sampled splitters range-partition the suffixes by their leading bytes.  The splitters are grams,
-  so suffixes that can match never lie on two sides of a boundary.
-* A bucket sorts its suffixes by multikey quicksort, eight bytes a key, and again by the bytes
-  before the anchor, read backwards.  A string that starts ``o`` bytes before the anchor occurs
-  again if both orders put the suffix in a common run: ``LENGTH - o`` common bytes after, ``o`` before.
-* A gram with more than ``SPLIT`` different contexts, such as one in a passage that a third of all
-  documents share, is not sorted in one bucket: the strings of its contexts are counted by their
-  128-bit hash with pre-aggregation.  Both ways give the same strings.
+so all its copies have the anchor at the same place, and strings are told apart by their offset before it: the
+strings of an anchor with offsets ``x`` to ``y`` share the bytes from ``x`` before it to ``LENGTH - y`` after it, their core.
+
+A level takes blocks of offsets and sorts the suffixes that begin at their cores, cut to the core's length:
+
+* Sampled splitters range-partition the suffixes by their leading bytes.  The place in the corpus
+  is the last part of the sort key, so a core that a third of all rows hold is dealt over many buckets.
+* A bucket sorts its suffixes by multikey quicksort, a 64-bit word at a time: the eight leading bytes, then a digest of the
+  core, which stands for the bytes after them (64 bits at the first level, which only filters, 128 bits at the others).
+* Neighbours in the order are compared within the bucket, and the first and last core of each bucket with those of
+  the buckets beside it.
+
+A string can occur again only if its core does, so only blocks whose core occurs again go on: from half of an anchor's
+offsets to ``BLOCK`` of them and to single strings, where the core is the string and the answer is exact.  Between the
+first levels equal contexts (all bytes that a block's strings reach) are brought together with their number: where
+a context occurs twice, all its strings do, and one copy stands for all.  Every step is the same at every size.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import drop, free_prefix, written
 
 LENGTH, GRAM = 200, 32
-#: Different contexts of one gram that a bucket sorts; beyond, strings are counted by hash.
-SPLIT = 20_000
+#: Offsets of one block at the second level.
+BLOCK = 12
+#: Suffixes that a bucket holds, about.
+BUCKET = 500_000
+_HALF = (LENGTH - GRAM) // 2 + 1
 _ROWS = 256
 _LOW = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
-_ANCHORS = "array<struct<gram:long,pos:int,low:int,high:int>>"
+_TOP = np.uint64(1 << 63)
+#: Starts of a text that are taken together.
+_PART = 1 << 19
 
 
 class _Powers:
@@ -63,19 +71,16 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Gram hash, position, first and last start of the strings that each anchor stands for."""
-    n, w = len(text), length - gram + 1
-    if n < length:
-        none = np.empty(0, np.int64)
-        return none, none, none, none
+def _found(text: bytes) -> tuple[np.ndarray, ...]:
+    """Position of each anchor, first and last start of the strings that it stands for, then sums by which any stretch is hashed."""
+    n, w = len(text), LENGTH - GRAM + 1
     up, down = _powers.upto(n)
     data = np.frombuffer(text, np.uint8).astype(np.uint64)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data + np.uint64(1)) * up, out=sums[1:])
-    h = _mixed((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
+    h = _mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
     m = len(h)
-    key = (h & ~_LOW) | (_LOW - (np.arange(m, dtype=np.uint64) & _LOW))
+    key = (h & ~_LOW) | (_LOW - np.arange(m, dtype=np.uint64))
     blocks = -(-m // w)
     padded = np.full(blocks * w, np.uint64(0xFFFFFFFFFFFFFFFF))
     padded[:m] = key
@@ -85,44 +90,98 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
     starts = m - w + 1
     least = np.minimum(back[:starts], ahead[w - 1 : w - 1 + starts])
     cut = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    low, high = cut, np.append(cut[1:], starts) - 1
-    at = low + ((_LOW - (least[cut] & _LOW)).astype(np.int64) - low) % (1 << 20)
-    return h[at].view(np.int64), at, low, high
+    return (_LOW - (least[cut] & _LOW)).astype(np.int64), cut, np.append(cut[1:], starts) - 1, sums, down, data
+
+
+def blocks(text: bytes) -> tuple[np.ndarray, ...]:
+    """A row for each half of an anchor's offsets: anchor, half, first and last start, eight leading bytes and hash of the core."""
+    out: list[tuple[np.ndarray, ...]] = []
+    for at in range(0, len(text) - LENGTH + 1, _PART):  # a very long text goes by parts
+        pos, low, high, sums, down, data = _found(text[at : at + _PART + LENGTH - 1])
+        for half in (0, 1):
+            first, last = (np.maximum(low, pos - _HALF + 1), high) if half == 0 else (low, np.minimum(high, pos - _HALF))
+            some = first <= last
+            p, first, last = pos[some], first[some], last[some]
+            begin = p - _HALF * half
+            end = begin + LENGTH - (_HALF - 1 if half == 0 else LENGTH - GRAM - _HALF)
+            core = _mixed((sums[end] - sums[begin]) * down[begin] + np.uint64(half))
+            lead = np.zeros(len(p), np.uint64)
+            for k in range(8):
+                lead = lead << np.uint64(8) | data[begin + k]
+            out.append((p + at, np.full(len(p), half), first + at, last + at, (lead ^ _TOP).view(np.int64), core.view(np.int64)))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.empty(0, np.int64) for _ in range(6))
+
+
+_BLOCKS = "k1 long, k2 long, pos int, half int, first int, last int, lead long, d1 long"
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the first level of each text."""
+    names = [c.split(" ")[0] for c in _BLOCKS.split(", ")]
+    kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()] * 2
     for whole in batches:
         for at in range(0, whole.num_rows, _ROWS):
             batch = whole.slice(at, _ROWS)
-            sizes, hexes, found = [], [], []
-            for text in batch.column("_text").cast(pa.binary()).to_pylist():
-                sizes.append(len(text))
-                hexes.append(hashlib.sha256(text).hexdigest())
-                found.append(anchors(text))
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(f[0]) for f in found])]), pa.int32())
-            columns = [np.concatenate([f[k] for f in found]) for k in range(4)]
-            rows = pa.StructArray.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.int32()) for c in columns[1:])], ["gram", "pos", "low", "high"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_k1"), batch.column("_k2"), pa.array(sizes, pa.int64()), pa.array(hexes), pa.ListArray.from_arrays(offsets, rows)],
-                ["_id", "_k1", "_k2", "_n", "_sha", "_anchors"],
-            )
+            found = [blocks(t) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+            sizes = [len(f[0]) for f in found]
+            keys = [np.repeat(batch.column(k).to_numpy(), sizes) for k in ("k1", "k2")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*keys, *(np.concatenate([f[i] for f in found]) for i in range(6))], kinds, strict=True)], names)
+
+
+def _lead(core: bytes) -> int:
+    return int.from_bytes(core[:8], "big") - (1 << 63)
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around each anchor that its strings reach; ``lead`` of them stand before the anchor."""
+    """The bytes that each block's strings reach; ``lead`` of them stand before the anchor."""
+    names, kinds = ["k1", "k2", "low", "lead", "span", "c1", "c2", "bytes"], [pa.int64()] * 2 + [pa.int32()] * 3 + [pa.int64()] * 2 + [pa.binary()]
     for whole in batches:
         for start in range(0, whole.num_rows, 64):
             batch = whole.slice(start, 64)
-            out: list[list] = [[] for _ in range(8)]
-            for k1, k2, text, found in zip(*(batch.column(c).to_pylist() for c in ("_k1", "_k2")), batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("_found").to_pylist(), strict=True):
-                for a in found:
-                    pos, low, high = a["pos"], a["low"], a["high"]
-                    context = text[low : high + LENGTH]
-                    digest = xxhash.xxh3_128_digest(context, seed=pos - low)
-                    for column, value in zip(out, (k1, k2, low, pos - low, high - low, digest, context, context[pos - low : pos - low + GRAM]), strict=True):
+            out: list[list] = [[] for _ in names]
+            for k1, k2, text, found in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2")), batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("_found").to_pylist(), strict=True):
+                for b in found:
+                    context = text[b["first"] : b["last"] + LENGTH]
+                    c1, c2 = _digest(context, b["pos"] - b["first"])
+                    for column, value in zip(out, (k1, k2, b["first"], b["pos"] - b["first"], b["last"] - b["first"], c1, c2, context), strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["_k1", "_k2", "low", "lead", "span", "ctx", "bytes", "gram"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
+
+
+def _digest(data: bytes, seed: int) -> tuple[int, int]:
+    found = xxhash.xxh3_128_intdigest(data, seed=seed)
+    return (found >> 64) - (1 << 63), (found & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+
+
+def cores(width: int, lead: int, span: int, only: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
+    """Number, begin and end in the context of the core of each block of ``width`` offsets."""
+    for j in only if only is not None else range((lead - span) // width, lead // width + 1):
+        begin = lead - j * width
+        yield j, begin, begin - width + 1 + LENGTH
+
+
+_CORES = "c1 long, c2 long, j int, lead long, d1 long, d2 long, open boolean"
+
+
+def _cores(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Suffixes of contexts at the cores of blocks, all of them or those that lie in ``_js``, blocks of ``BLOCK`` offsets."""
+    names, kinds = [c.split(" ")[0] for c in _CORES.split(", ")], [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 3 + [pa.bool_()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                out: list[list] = [[] for _ in names]
+                wider = batch.column("_js").to_pylist() if "_js" in batch.schema.names else [None] * batch.num_rows
+                for c1, c2, data, lead, span, copies, js in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "bytes", "lead", "span", "copies")), wider, strict=True):
+                    only = None if js is None else [o for j in sorted(js) for o in range(max(j * BLOCK, lead - span), min(j * BLOCK + BLOCK - 1, lead) + 1)]
+                    for j, begin, end in cores(width, lead, span, only):
+                        core = data[begin:end]
+                        for column, value in zip(out, (c1, c2, j, _lead(core), *_digest(core, j), copies == 1), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
+
+    return run
 
 
 def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,143 +210,90 @@ def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
-def _common_bytes(rows: np.ndarray, words: np.ndarray, sizes: np.ndarray, order: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Bytes that each row has in common with the one before it in the order."""
-    out = np.zeros(len(order), np.int64)
-    if len(order) > 1:
-        k = np.minimum(common[1:], words.shape[1] - 1)
-        a, b = order[1:], order[:-1]
-        x, y = (rows.reshape(len(rows), -1, 8)[i, k] for i in (a, b))
-        differ = x != y
-        inside = np.where(differ.any(axis=1), differ.argmax(axis=1), 8)
-        out[1:] = np.minimum(np.minimum(8 * k + inside, sizes[a]), sizes[b])
-    return out
-
-
-def repeated_starts(contexts: list[bytes], lead: np.ndarray, span: np.ndarray, copies: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each context the starts of its strings (0 to span) that occur again in the same or another context."""
-    n = len(contexts)
-    if not n:
-        return []
-    width = -(-length // 8) * 8
-    sizes = np.array([len(c) for c in contexts])
-    right, left = np.zeros((n, width), np.uint8), np.zeros((n, width), np.uint8)
-    for i, c in enumerate(contexts):
-        after, before = c[lead[i] : lead[i] + length], c[: lead[i]][::-1]
-        right[i, : len(after)] = np.frombuffer(after, np.uint8)
-        left[i, : len(before)] = np.frombuffer(before, np.uint8)
-    after, before = np.minimum(sizes - lead, length), lead
-    runs = []
-    for rows, size in ((right, after), (left, before)):
-        words = rows.view(">u8").astype(np.uint64)
+def _ranked(key: list[str], names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sorts a bucket and compares neighbours.
+
+    Rows whose suffix occurs twice in the bucket, for an open row at least, are sure.  Others are given only where they are the first or
+    last of the bucket: what lies beside them may be in another bucket; one row of such a suffix carries its number and whether it is open.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held) if (held := [b for b in batches if b.num_rows]) else None
+        if table is None:
+            return
+        n = table.num_rows
+        words = np.stack([table.column(k).to_numpy().view(np.uint64) ^ _TOP for k in key], axis=1)
         order, common = multikey_order(words)
-        runs.append((order, _common_bytes(rows, words, size, order, common)))
-    near = []  # most bytes in common with a neighbour
-    for order, lcp in runs:
-        best = np.empty(n, np.int64)
-        best[order] = np.maximum(lcp, np.append(lcp[1:], 0))
-        near.append(best)
-    found = [[] for _ in range(n)]
-    whole = copies > 1
-    place = []
-    for order, _ in runs:
-        at = np.empty(n, np.int64)
-        at[order] = np.arange(n)
-        place.append(at)
-    for o in range(int(before.max()) + 1):
-        within = np.flatnonzero((lead - o >= 0) & (lead - o <= span) & (near[0] >= length - o) & (near[1] >= o))
-        if not len(within):
-            continue
-        classes = np.cumsum(runs[0][1] < length - o)[place[0][within]] * (n + 1) + (np.cumsum(runs[1][1] < o)[place[1][within]] if o else 0)
-        _, which, count = np.unique(classes, return_inverse=True, return_counts=True)
-        for i in within[(count[which] > 1) & ~whole[within]]:
-            found[i].append(lead[i] - o)
-    return [np.arange(span[i] + 1) if whole[i] else np.array(found[i][::-1], np.int64) for i in range(n)]
-
-
-def _runs(starts: np.ndarray) -> list[dict[str, int]]:
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > 1)
-    return [{"first": int(a), "last": int(b)} for a, b in zip(np.append(starts[0], starts[cut + 1]), np.append(starts[cut], starts[-1]), strict=True)]
-
-
-_RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-
-
-def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts one range of suffixes; the bucket is taken a run of whole grams at a time."""
-    held: list[tuple] = []
-    for batch in batches:
-        held += zip(*(batch.column(c).to_pylist() for c in ("gram", "ctx", "bytes", "lead", "span", "copies")), strict=True)
-        last = held[-1][0] if held else None
-        if len(held) >= 2 * SPLIT and held[0][0] != last:  # rows come sorted by gram
-            cut = next(i for i in range(len(held) - 1, -1, -1) if held[i][0] != last) + 1
-            yield _sorted_runs(held[:cut])
-            held = held[cut:]
-    if held:
-        yield _sorted_runs(held)
-
-
-def _sorted_runs(rows: list[tuple]) -> pa.RecordBatch:
-    _, ctx, contexts, lead, span, copies = zip(*rows, strict=True)
-    found = repeated_starts(list(contexts), np.array(lead), np.array(span), np.array(copies))
-    some = [i for i, f in enumerate(found) if len(f)]
-    return pa.RecordBatch.from_arrays([pa.array([ctx[i] for i in some], pa.binary()), pa.array([_runs(found[i]) for i in some], _RUNS)], ["ctx", "runs"])
-
-
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every string of each context by its hash."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            batch = whole.slice(at, 256)
-            rows = [(c, i, xxhash.xxh3_128_digest(b[i : i + LENGTH])) for c, b, s in zip(*(batch.column(k).to_pylist() for k in ("ctx", "bytes", "span")), strict=True) for i in range(s + 1)]
-            columns = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.binary(), pa.int32(), pa.binary()), strict=True)], ["ctx", "start", "string"])
+        run_of = np.cumsum(common < len(key)) - 1
+        size = np.bincount(run_of)
+        open_ = table.column("open").to_numpy(zero_copy_only=False)[order] if "open" in names else np.ones(n, bool)
+        some = np.zeros(len(size), bool)
+        np.logical_or.at(some, run_of, open_) if not open_.all() else some.fill(True)
+        sure = (size > 1) & some
+        edge = np.zeros(len(size), bool)
+        edge[[0, -1]] = True
+        head = np.concatenate([[True], run_of[1:] != run_of[:-1]])
+        keep = np.flatnonzero((sure | edge)[run_of])
+        marks = edge[run_of] & head
+        out = table.take(pa.array(order[keep])).combine_chunks()
+        out = out.append_column("_sure", pa.array(sure[run_of][keep])).append_column("_n", pa.array(np.where(marks, size[run_of], 0)[keep])).append_column("_open", pa.array((marks & some[run_of])[keep]))
+        yield from out.to_batches(max_chunksize=1 << 16)
+
+    return run
+
+
+def repeated(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The rows whose ``key`` (64-bit words, the leading bytes first) occurs twice or more, if one of these is ``open`` (without that column, all are).
+
+    ``rows`` must be a written table without nulls; repeated rows count each; an empty table gives no rows.
+    """
+    names = rows.columns
+    buckets = max(1, -(-rows.count() // BUCKET))
+    refs = [c for c in names if c not in key and c != "open"]
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    found = written(rows.repartitionByRange(buckets, *key, *refs).mapInArrow(_ranked(key, names), f"{kinds}, _sure boolean, _n long, _open boolean"), "ranked")
+    across = found.where("_n > 0").groupBy(*key).agg(F.sum("_n").alias("_n"), F.max("_open").alias("_open")).where("_n > 1 and _open").select(*key)
+    return found.where("_sure").select(*names).union(found.where("not _sure").join(across, key, "left_semi").select(*names))
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("ctx"), pa.array([_runs(np.array(sorted(s))) for s in batch.column("starts").to_pylist()], _RUNS)], ["ctx", "runs"])
+def text_key(text: Column) -> list[Column]:
+    """Two numbers by which texts are told apart: a 64-bit hash, and length and CRC."""
+    return [F.xxhash64(text).alias("k1"), (F.crc32(text) + F.octet_length(text) * F.lit(1 << 32)).alias("k2")]
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split: int = SPLIT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``meta`` (a row for each document), ``spans`` and ``texts`` (by text, where some string occurs again).
+def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows(k1, k2, _text)`` to ``spans`` and ``texts``, by text, where some string of it occurs again.
 
-    ``meta``: _id, _k1, _k2 (key of the text), _n bytes, _sha, _copies (documents with this text).
-    ``spans``: _k1, _k2 and sorted, disjoint ``spans`` of bytes [first, last).
-    ``texts``: _k1, _k2, _text of those with anchors that occur again and one document only; of a text of
-    several documents all occurs again, from ``LENGTH`` bytes on.
+    ``spans``: k1, k2 and ``spans``, sorted stretches of bytes [first, last) that may overlap.  ``texts``: k1, k2, _text.
+    A text of several rows is taken once: its strings count, that they all occur again is for the caller to see.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keys = [F.xxhash64(text).alias("_k1"), (F.crc32(text) + F.octet_length(text) * F.lit(1 << 32)).alias("_k2")]
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), *keys, text.alias("_text"))
-    scan = written(rows.mapInArrow(_scanned, f"_id long, _k1 long, _k2 long, _n long, _sha string, _anchors {_ANCHORS}"), "scan")
-    groups = scan.groupBy("_k1", "_k2").agg(F.count("*").alias("_copies"), F.min("_id").alias("_first"))
-    meta = written(scan.join(groups, ["_k1", "_k2"]), "meta")  # a text in many documents: a skewed side, which is split
-    first = meta.where("_id <=> _first")
-    every = first.select("_id", "_k1", "_k2", "_copies", F.inline("_anchors"))
-    again = every.groupBy("gram").count().where(F.col("count") > 1).select("gram")
-    need = every.join(again, "gram").groupBy("_k1", "_k2", "_id", "_copies").agg(F.collect_list(F.struct("pos", "low", "high")).alias("_found"))
-    texts = written(need.withColumnRenamed("_id", "_first").join(rows, ["_k1", "_k2"]).where("_id <=> _first").select("_k1", "_k2", "_copies", "_text", "_found"), "texts")
-    members = texts.mapInArrow(_contexts, "_k1 long, _k2 long, low int, lead int, span int, ctx binary, bytes binary, gram binary")
-    members = written(members, "contexts")
-    shared = members.groupBy("ctx").agg(F.count("*").alias("copies"), F.first("bytes").alias("bytes"), F.first("gram").alias("gram"), F.first("lead").alias("lead"), F.first("span").alias("span"))
-    shared = written(shared, "shared")
-    crowded = shared.groupBy("gram").count().where(F.col("count") > split).select("gram", F.lit(True).alias("_many"))
-    dealt = shared.join(crowded, "gram", "left")
-    few = dealt.where("_many is null").drop("_many").repartitionByRange("gram").sortWithinPartitions("gram")
-    runs = few.mapInArrow(_bucket, "ctx binary, runs array<struct<first:int,last:int>>")
-    many = dealt.where("_many")
-    if many.limit(1).count():
-        strings = many.select("ctx", "bytes", "span").mapInArrow(_strings, "ctx binary, start int, string binary")
-        twice = strings.groupBy("string").count().where(F.col("count") > 1).select("string")
-        hits = strings.join(twice, "string").select("ctx", "start")
-        alone = many.where("copies > 1").select("ctx", F.explode(F.sequence(F.lit(0), "span")).alias("start"))
-        runs = runs.union(hits.union(alone).groupBy("ctx").agg(F.collect_set("start").alias("starts")).mapInArrow(_gathered, "ctx binary, runs array<struct<first:int,last:int>>"))
-    placed = members.select("_k1", "_k2", "low", "ctx").join(runs, "ctx").select("_k1", "_k2", "low", F.inline("runs"))
-    spans = placed.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_list(F.struct((F.col("low") + F.col("first")).alias("first"), (F.col("low") + F.col("last") + LENGTH).alias("last")))).alias("spans"))
-    return meta.drop("_anchors", "_first"), spans, texts.where("_copies = 1").select("_k1", "_k2", "_text")
+    first = written(rows.mapInArrow(_scanned, _BLOCKS), "blocks")
+    again = repeated(first, ["lead", "d1"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "first", "last")).alias("_found"))
+    texts = written(rows.groupBy("k1", "k2").agg(F.first("_text").alias("_text")).join(again.hint("merge"), ["k1", "k2"]), "texts")
+    drop(first)
+    members = written(texts.mapInArrow(_contexts, "k1 long, k2 long, low int, lead int, span int, c1 long, c2 long, bytes binary"), "contexts")
+    pool = written(members.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.first("bytes").alias("bytes"), F.first("lead").alias("lead"), F.first("span").alias("span")), "pool")
+    held = written(pool.mapInArrow(_cores(BLOCK), _CORES), "cores")
+    js = repeated(held, ["lead", "d1", "d2"]).groupBy("c1", "c2").agg(F.collect_set("j").alias("_js"))
+    strings = written(pool.join(js, ["c1", "c2"]).mapInArrow(_cores(1), _CORES), "strings")
+    drop(held)
+    hits = repeated(strings, ["lead", "d1", "d2"]).where("open").select("c1", "c2", F.col("j").alias("_o"))
+    starts = hits.groupBy("c1", "c2").agg(F.collect_set("_o").alias("_os"))
+    every = pool.select("c1", "c2", "lead", "span", "copies").join(starts, ["c1", "c2"], "left").where("copies > 1 or _os is not null")
+    whole = F.array(F.struct(F.lit(0).alias("a"), F.col("span").alias("b")))
+    runs = every.select("c1", "c2", F.when(F.col("copies") > 1, whole).otherwise(_runs(F.array_sort(F.transform("_os", lambda o: F.col("lead") - o)))).alias("runs"))
+    placed = members.select("k1", "k2", "low", "c1", "c2").join(runs, ["c1", "c2"]).select("k1", "k2", "low", F.inline("runs"))
+    span = F.struct((F.col("low") + F.col("a")).alias("first"), (F.col("low") + F.col("b") + LENGTH).alias("last"))
+    spans = written(placed.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(span)).alias("spans")), "spans")
+    drop(members, pool, strings)
+    return spans, texts.select("k1", "k2", "_text")
+
+
+def _runs(starts: Column) -> Column:
+    """Sorted starts as runs of neighbours, first and last."""
+    first = F.filter(starts, lambda s, i: (i == 0) | (F.get(starts, i - 1) != s - 1))
+    last = F.filter(starts, lambda s, i: (i == F.size(starts) - 1) | (F.get(starts, i + 1) != s + 1))
+    return F.zip_with(first, last, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
 def _cut(text: bytes, spans: list[dict[str, int]]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -312,52 +318,68 @@ def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = whole.slice(at, _ROWS)
             done = [_cut(t, s) for t, s in zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_k1"), batch.column("_k2"), pa.array([[{"first": a, "last": b} for a, b in m] for _, m in done], spans_of), pa.array([hashlib.sha256(k).hexdigest() for k, _ in done]), pa.array([k for k, _ in done], pa.binary())],
-                ["_k1", "_k2", "spans", "sha", "kept"],
+                [batch.column("k1"), batch.column("k2"), pa.array([[{"first": a, "last": b} for a, b in m] for _, m in done], spans_of), pa.array([hashlib.sha256(k).hexdigest() for k, _ in done]), pa.array([k for k, _ in done], pa.binary())],
+                ["k1", "k2", "spans", "sha", "kept"],
             )
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split: int = SPLIT) -> DataFrame:
-    """A row for each document: ``doc_id, n_bytes, spans, kept_sha256, whole, _k1, _k2, kept``.
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each document: ``doc_id, n_bytes, spans, kept_sha256, whole, k1, k2, kept``.
 
     ``spans`` are the removed [first, last) bytes; ``kept`` the bytes left where only a part went (null
     where nothing or all of the text went).  A null text counts as empty and keeps its row; texts
     shorter than ``LENGTH`` lose nothing; repeated rows and equal texts each lose all their text, since each occurs
     elsewhere; ids may be null; an empty table gives no rows; other columns are not read.
     """
-    meta, spans, texts = repeated_spans(docs, id_col, text_col, split)
-    cuts = texts.join(spans, ["_k1", "_k2"]).mapInArrow(_cuts, "_k1 long, _k2 long, spans array<struct<first:int,last:int>>, sha string, kept binary")
-    whole = (F.col("_copies") > 1) & (F.col("_n") >= LENGTH)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(*text_key(text), text.alias("_text"))
+    meta = written(docs.select(F.col(id_col).cast("long").alias("_id"), *text_key(text), F.octet_length(text).cast("long").alias("_n"), F.sha2(text, 256).alias("_sha")), "meta")
+    spans, texts = repeated_spans(rows)
+    cuts = written(texts.join(spans, ["k1", "k2"]).mapInArrow(_cuts, "k1 long, k2 long, spans array<struct<first:int,last:int>>, sha string, kept binary"), "cuts")
+    copied = meta.where(F.col("_n") >= LENGTH).groupBy("k1", "k2").count().where("count > 1").select("k1", "k2", F.lit(True).alias("whole"))
     all_of_it = F.array(F.struct(F.lit(0).alias("first"), F.col("_n").cast("int").alias("last")))
     none = F.array().cast("array<struct<first:int,last:int>>")
-    return meta.join(written(cuts, "cuts"), ["_k1", "_k2"], "left").select(
+    whole = F.coalesce("whole", F.lit(False))
+    return meta.join(cuts, ["k1", "k2"], "left").join(copied, ["k1", "k2"], "left").select(
         F.col("_id").alias("doc_id"),
         F.col("_n").alias("n_bytes"),
         F.when(whole, all_of_it).otherwise(F.coalesce("spans", none)).alias("spans"),
         F.when(whole, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("sha", "_sha")).alias("kept_sha256"),
         whole.alias("whole"),
-        "_k1",
-        "_k2",
+        "k1",
+        "k2",
         F.when(~whole, F.col("kept")).alias("kept"),
     )
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated strings cut out of ``text`` (and ``n_chars`` set anew, if there); columns as they were.
+    """``docs`` with the repeated strings cut out of ``text`` (and ``n_chars`` set anew, if there); columns and types as they were.
 
     A character that is cut through goes as a whole.  Rows that lose nothing are unchanged, null texts stay null.
     """
+    own = free_prefix(docs.columns)
     cut = without_repeats(docs, id_col, text_col).where(F.col("whole") | F.col("kept").isNotNull())
-    by_text = cut.groupBy("_k1", "_k2").agg(F.first("whole").alias("_whole"), F.first("kept").alias("_kept"))
-    by_text = by_text.mapInArrow(_readable, "_c1 long, _c2 long, _left string")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    same = (F.xxhash64(text) == F.col("_c1")) & ((F.crc32(text) + F.octet_length(text) * F.lit(1 << 32)) == F.col("_c2"))
-    out = docs.join(by_text, same, "left")
-    left = F.coalesce(F.col("_left"), F.col(text_col))
-    return out.select(*(left.alias(c) if c == text_col else F.when(F.col("_left").isNotNull(), F.char_length("_left").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
-
-
-def _readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left = ["" if w else k.decode("utf-8", "ignore") for w, k in zip(batch.column("_whole").to_pylist(), batch.column("_kept").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("_k1"), batch.column("_k2"), pa.array(left, pa.string())], ["_c1", "_c2", "_left"])
+    by_text = cut.groupBy("k1", "k2").agg(F.first("whole").alias("_whole"), F.first("kept").alias("_kept"))
+    by_text = by_text.mapInArrow(_readable([f"{own}1", f"{own}2", f"{own}left"]), f"{own}1 long, {own}2 long, {own}left string")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    k1, k2 = text_key(text)
+    out = docs.join(by_text, (k1 == F.col(f"{own}1")) & (k2 == F.col(f"{own}2")), "left")
+    left = F.col(f"{own}left")
+
+    def column(name: str) -> Column:
+        if name == text_col:
+            return F.coalesce(left, F.col(name)).alias(name)
+        if name == "n_chars":
+            return F.when(left.isNotNull(), F.char_length(left).cast(docs.schema[name].dataType)).otherwise(F.col(name)).alias(name)
+        return F.col(f"`{name}`")
+
+    return out.select(*map(column, docs.columns))
+
+
+def _readable(names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = ["" if w else k.decode("utf-8", "ignore") for w, k in zip(batch.column("_whole").to_pylist(), batch.column("_kept").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), pa.array(left, pa.string())], names)
+
+    return run
