@@ -181,7 +181,7 @@ def test_html_goes_on_after_odd_tags(odd):
     assert html_text.main_text(f"<p>{blocks[0]}</p><svg><title>{blocks[1]}</title></svg><a href='x") == blocks[0]
 
 
-@pytest.mark.parametrize("bucket", [suffixes.BUCKET, 50])
+@pytest.mark.parametrize("bucket", [suffixes.BUCKET, 5])
 def test_repeated_strings(docs, none, bucket, monkeypatch):
     monkeypatch.setattr(suffixes, "BUCKET", bucket)
     size = suffixes.LENGTH

@@ -3,21 +3,18 @@
 Every ``LENGTH``-byte string holds one anchor, the position whose ``GRAM``-byte gram has the least
 hash among all that start in it (the last one on a tie).  The choice depends on the string alone,
 so all its copies have the anchor at the same place, and strings are told apart by their offset before it: the
-strings of an anchor with offsets ``x`` to ``y`` share the bytes from ``x`` before it to ``LENGTH - y`` after it, their core.
-
-A level takes blocks of offsets and sorts the suffixes that begin at their cores, cut to the core's length:
-
-* Sampled splitters range-partition the suffixes by their leading bytes.  The place in the corpus
-  is the last part of the sort key, so a core that a third of all rows hold is dealt over many buckets.
-* A bucket sorts its suffixes by multikey quicksort, a 64-bit word at a time: the eight leading bytes, then a digest of the
-  core, which stands for the bytes after them (64 bits at the first level, which only filters, 128 bits at the others).
-* Neighbours in the order are compared within the bucket, and the first and last core of each bucket with those of
-  the buckets beside it.
-
-A string can occur again only if its core does, so only blocks whose core occurs again go on: from half of an anchor's
-offsets to ``BLOCK`` of them and to single strings, where the core is the string and the answer is exact.  Between the
-first levels equal contexts (all bytes that a block's strings reach) are brought together with their number: where
-a context occurs twice, all its strings do, and one copy stands for all.  Every step is the same at every size.
+strings of half an anchor's offsets share some 116 bytes about it, their core.  Only suffixes that start at anchors are sorted, one byte in
+about 72, and of these only those with a half whose core occurs again, by a 64-bit hash that is counted with pre-aggregation.
+
+* The bytes that the strings of a half reach are its context.  Equal contexts are first brought together (by a 128-bit
+  digest): each is then sorted once, with its number of copies.
+* Sampled splitters range-partition the suffixes by their leading bytes, then the core's hash, then a digest as salt, so
+  a core that a third of all rows hold is dealt over as many buckets as its rows fill.
+* A bucket sorts its suffixes by multikey quicksort, eight bytes a key, and again by the bytes
+  before the anchor, read backwards.  A string that starts ``o`` bytes before the anchor occurs
+  again if both orders put the suffix in a common run: ``LENGTH - o`` common bytes after, ``o`` before.
+* The first and the last core of a bucket may go on in the buckets beside it: their strings are compared across
+  boundaries, as 128-bit digests counted with pre-aggregation.
 """
 
 from __future__ import annotations
@@ -34,17 +31,15 @@ from pyspark.sql import functions as F
 from .scratch import drop, free_prefix, written
 
 LENGTH, GRAM = 200, 32
-#: Offsets of one block at the second level.
-BLOCK = 12
-#: Suffixes that a bucket holds, about.
-BUCKET = 500_000
+#: Contexts that a bucket holds, about, and contexts that it sorts together.
+BUCKET, _SORTED = 50_000, 10_000
 _HALF = (LENGTH - GRAM) // 2 + 1
 _ROWS = 256
-_LOW = np.uint64((1 << 20) - 1)
+_LOW = np.uint64((1 << 21) - 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TOP = np.uint64(1 << 63)
-#: Starts of a text that are taken together.
-_PART = 1 << 19
+#: Bytes of texts that are scanned together, and starts of a text that are.
+_TOGETHER, _PART = 1 << 18, 1 << 19
 
 
 class _Powers:
@@ -71,119 +66,117 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _found(text: bytes) -> tuple[np.ndarray, ...]:
-    """Position of each anchor, first and last start of the strings that it stands for, then sums by which any stretch is hashed."""
-    n, w = len(text), LENGTH - GRAM + 1
+def blocks(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """A row for each half of an anchor's offsets: number of the text, anchor, half, first and last start, hash of the core."""
+    parts: list[tuple[int, int, bytes]] = []  # a very long text goes by parts
+    for i, text in enumerate(texts):
+        parts += [(i, at, text[at : at + _PART + LENGTH - 1]) for at in range(0, len(text) - LENGTH + 1, _PART)]
+    out, at = [], 0
+    while at < len(parts):
+        end, size = at + 1, len(parts[at][2])
+        while end < len(parts) and size + len(parts[end][2]) <= _TOGETHER:
+            size += len(parts[end][2])
+            end += 1
+        out.append(_blocks(parts[at:end]))
+        at = end
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.empty(0, np.int64) for _ in range(6))
+
+
+def _blocks(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    """The parts, of at least ``LENGTH`` bytes each, stand one after another; starts whose string would leave its part are none."""
+    w = LENGTH - GRAM + 1
+    sizes = np.array([len(p[2]) for p in parts])
+    n = int(sizes.sum())
     up, down = _powers.upto(n)
-    data = np.frombuffer(text, np.uint8).astype(np.uint64)
+    data = np.frombuffer(b"".join(p[2] for p in parts), np.uint8).astype(np.uint64)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data + np.uint64(1)) * up, out=sums[1:])
     h = _mixed((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
     m = len(h)
     key = (h & ~_LOW) | (_LOW - np.arange(m, dtype=np.uint64))
-    blocks = -(-m // w)
-    padded = np.full(blocks * w, np.uint64(0xFFFFFFFFFFFFFFFF))
+    rows = -(-m // w)
+    padded = np.full(rows * w, np.uint64(0xFFFFFFFFFFFFFFFF))
     padded[:m] = key
-    grid = padded.reshape(blocks, w)
+    grid = padded.reshape(rows, w)
     ahead = np.minimum.accumulate(grid, axis=1).ravel()
     back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     starts = m - w + 1
     least = np.minimum(back[:starts], ahead[w - 1 : w - 1 + starts])
-    cut = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    return (_LOW - (least[cut] & _LOW)).astype(np.int64), cut, np.append(cut[1:], starts) - 1, sums, down, data
-
-
-def blocks(text: bytes) -> tuple[np.ndarray, ...]:
-    """A row for each half of an anchor's offsets: anchor, half, first and last start, eight leading bytes and hash of the core."""
-    out: list[tuple[np.ndarray, ...]] = []
-    for at in range(0, len(text) - LENGTH + 1, _PART):  # a very long text goes by parts
-        pos, low, high, sums, down, data = _found(text[at : at + _PART + LENGTH - 1])
-        for half in (0, 1):
-            first, last = (np.maximum(low, pos - _HALF + 1), high) if half == 0 else (low, np.minimum(high, pos - _HALF))
-            some = first <= last
-            p, first, last = pos[some], first[some], last[some]
-            begin = p - _HALF * half
-            end = begin + LENGTH - (_HALF - 1 if half == 0 else LENGTH - GRAM - _HALF)
-            core = _mixed((sums[end] - sums[begin]) * down[begin] + np.uint64(half))
-            lead = np.zeros(len(p), np.uint64)
-            for k in range(8):
-                lead = lead << np.uint64(8) | data[begin + k]
-            out.append((p + at, np.full(len(p), half), first + at, last + at, (lead ^ _TOP).view(np.int64), core.view(np.int64)))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.empty(0, np.int64) for _ in range(6))
-
-
-_BLOCKS = "k1 long, k2 long, pos int, half int, first int, last int, lead long, d1 long"
+    begin = np.cumsum(sizes) - sizes
+    cut = np.unique(np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1, begin, np.minimum(begin + sizes - LENGTH + 1, starts)]))
+    cut = cut[cut < starts]
+    low, high = cut, np.append(cut[1:], starts) - 1
+    of = np.searchsorted(begin, low, side="right") - 1
+    inside = low + LENGTH <= begin[of] + sizes[of]
+    low, high, of = low[inside], high[inside], of[inside]
+    pos = (_LOW - (least[low] & _LOW)).astype(np.int64)
+    number, shift = (np.array(c)[of] for c in zip(*((p[0], p[1]) for p in parts), strict=True))
+    shift = shift - begin[of]
+    out = []
+    for half in (0, 1):
+        first, last = (np.maximum(low, pos - _HALF + 1), high) if half == 0 else (low, np.minimum(high, pos - _HALF))
+        some = first <= last
+        p = pos[some]
+        a = p - _HALF * half
+        b = a + (LENGTH - _HALF + 1 if half == 0 else GRAM + _HALF)
+        core = _mixed(_mixed((sums[b] - sums[a]) * down[a]) + np.uint64(half))
+        out.append((number[some], p + shift[some], np.full(len(p), half), first[some] + shift[some], last[some] + shift[some], core.view(np.int64)))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of the first level of each text."""
-    names = [c.split(" ")[0] for c in _BLOCKS.split(", ")]
-    kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.int64()] * 2
+    """The cores of each text, those that occur twice in it given twice."""
     for whole in batches:
         for at in range(0, whole.num_rows, _ROWS):
             batch = whole.slice(at, _ROWS)
-            found = [blocks(t) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
-            sizes = [len(f[0]) for f in found]
-            keys = [np.repeat(batch.column(k).to_numpy(), sizes) for k in ("k1", "k2")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*keys, *(np.concatenate([f[i] for f in found]) for i in range(6))], kinds, strict=True)], names)
+            number, *_, core = blocks(batch.column("_text").cast(pa.binary()).to_pylist())
+            order = np.lexsort((core, number))
+            number, core = number[order], core[order]
+            same = np.zeros(len(core), bool)
+            same[1:] = (core[1:] == core[:-1]) & (number[1:] == number[:-1])
+            third = same.copy()
+            third[1:] &= same[:-1]
+            number, core = number[~third], core[~third]
+            offsets = pa.array(np.searchsorted(number, np.arange(batch.num_rows + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), pa.ListArray.from_arrays(offsets, pa.array(core))], ["k1", "k2", "cores"])
 
 
-def _lead(core: bytes) -> int:
-    return int.from_bytes(core[:8], "big") - (1 << 63)
+_CONTEXTS = "k1 long, k2 long, lows array<int>, lead int, span int, c1 long, c2 long, first8 long, core long, bytes binary"
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes that each block's strings reach; ``lead`` of them stand before the anchor."""
-    names, kinds = ["k1", "k2", "low", "lead", "span", "c1", "c2", "bytes"], [pa.int64()] * 2 + [pa.int32()] * 3 + [pa.int64()] * 2 + [pa.binary()]
+    """For each text its different contexts with a core in ``_found``: where they begin, and the bytes, ``lead`` of them before the anchor."""
+    names = [c.split(" ")[0] for c in _CONTEXTS.split(", ")]
+    kinds = [pa.int64()] * 2 + [pa.list_(pa.int32())] + [pa.int32()] * 2 + [pa.int64()] * 4 + [pa.binary()]
     for whole in batches:
         for start in range(0, whole.num_rows, 64):
             batch = whole.slice(start, 64)
-            out: list[list] = [[] for _ in names]
-            for k1, k2, text, found in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2")), batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("_found").to_pylist(), strict=True):
-                for b in found:
-                    context = text[b["first"] : b["last"] + LENGTH]
-                    c1, c2 = _digest(context, b["pos"] - b["first"])
-                    for column, value in zip(out, (k1, k2, b["first"], b["pos"] - b["first"], b["last"] - b["first"], c1, c2, context), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
-
-
-def _digest(data: bytes, seed: int) -> tuple[int, int]:
+            texts = batch.column("_text").cast(pa.binary()).to_pylist()
+            number, pos, half, first, last, core = blocks(texts)
+            wanted = batch.column("_found")
+            pairs = np.stack([np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy()), wanted.flatten().to_numpy()], axis=1)
+            known = set(map(tuple, pairs.tolist()))
+            rows: dict[tuple, list] = {}
+            k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
+            for i, p, h, a, b, c in zip(*(x.tolist() for x in (number, pos, half, first, last, core)), strict=True):
+                if (i, c) not in known:
+                    continue
+                context = texts[i][a : b + LENGTH]
+                digest = _digest(context, p - a)
+                if (row := rows.get((i, digest))) is not None:
+                    row[2].append(a)
+                    continue
+                begin = p - a - _HALF * h
+                rows[i, digest] = [k1[i], k2[i], [a], p - a, b - a, *digest, int.from_bytes(context[begin : begin + 8], "big") - (1 << 63), c, context]
+            columns = zip(*rows.values(), strict=True) if rows else [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+
+def _digest(data: bytes, seed: int = 0) -> tuple[int, int]:
     found = xxhash.xxh3_128_intdigest(data, seed=seed)
     return (found >> 64) - (1 << 63), (found & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
 
 
-def cores(width: int, lead: int, span: int, only: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
-    """Number, begin and end in the context of the core of each block of ``width`` offsets."""
-    for j in only if only is not None else range((lead - span) // width, lead // width + 1):
-        begin = lead - j * width
-        yield j, begin, begin - width + 1 + LENGTH
-
-
-_CORES = "c1 long, c2 long, j int, lead long, d1 long, d2 long, open boolean"
-
-
-def _cores(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Suffixes of contexts at the cores of blocks, all of them or those that lie in ``_js``, blocks of ``BLOCK`` offsets."""
-    names, kinds = [c.split(" ")[0] for c in _CORES.split(", ")], [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 3 + [pa.bool_()]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                out: list[list] = [[] for _ in names]
-                wider = batch.column("_js").to_pylist() if "_js" in batch.schema.names else [None] * batch.num_rows
-                for c1, c2, data, lead, span, copies, js in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "bytes", "lead", "span", "copies")), wider, strict=True):
-                    only = None if js is None else [o for j in sorted(js) for o in range(max(j * BLOCK, lead - span), min(j * BLOCK + BLOCK - 1, lead) + 1)]
-                    for j, begin, end in cores(width, lead, span, only):
-                        core = data[begin:end]
-                        for column, value in zip(out, (c1, c2, j, _lead(core), *_digest(core, j), copies == 1), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
-
-    return run
-
-
 def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows of big-endian 64-bit words, and for each row in it the words it has in common with the row before.
 
@@ -210,50 +203,102 @@ def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
-def _ranked(key: list[str], names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Sorts a bucket and compares neighbours.
-
-    Rows whose suffix occurs twice in the bucket, for an open row at least, are sure.  Others are given only where they are the first or
-    last of the bucket: what lies beside them may be in another bucket; one row of such a suffix carries its number and whether it is open.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held) if (held := [b for b in batches if b.num_rows]) else None
-        if table is None:
-            return
-        n = table.num_rows
-        words = np.stack([table.column(k).to_numpy().view(np.uint64) ^ _TOP for k in key], axis=1)
+def _common_bytes(rows: np.ndarray, words: np.ndarray, sizes: np.ndarray, order: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Bytes that each row has in common with the one before it in the order."""
+    out = np.zeros(len(order), np.int64)
+    if len(order) > 1:
+        k = np.minimum(common[1:], words.shape[1] - 1)
+        a, b = order[1:], order[:-1]
+        x, y = (rows.reshape(len(rows), -1, 8)[i, k] for i in (a, b))
+        differ = x != y
+        inside = np.where(differ.any(axis=1), differ.argmax(axis=1), 8)
+        out[1:] = np.minimum(np.minimum(8 * k + inside, sizes[a]), sizes[b])
+    return out
+
+
+def repeated_starts(contexts: list[bytes], lead: np.ndarray, span: np.ndarray, copies: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """For each context the starts of its strings (0 to span) that occur again in the same or another context."""
+    n = len(contexts)
+    if not n:
+        return []
+    width = -(-length // 8) * 8
+    sizes = np.array([len(c) for c in contexts])
+    right, left = np.zeros((n, width), np.uint8), np.zeros((n, width), np.uint8)
+    for i, c in enumerate(contexts):
+        after, before = c[lead[i] : lead[i] + length], c[: lead[i]][::-1]
+        right[i, : len(after)] = np.frombuffer(after, np.uint8)
+        left[i, : len(before)] = np.frombuffer(before, np.uint8)
+    after, before = np.minimum(sizes - lead, length), lead
+    runs = []
+    for rows, size in ((right, after), (left, before)):
+        words = rows.view(">u8").astype(np.uint64)
         order, common = multikey_order(words)
-        run_of = np.cumsum(common < len(key)) - 1
-        size = np.bincount(run_of)
-        open_ = table.column("open").to_numpy(zero_copy_only=False)[order] if "open" in names else np.ones(n, bool)
-        some = np.zeros(len(size), bool)
-        np.logical_or.at(some, run_of, open_) if not open_.all() else some.fill(True)
-        sure = (size > 1) & some
-        edge = np.zeros(len(size), bool)
-        edge[[0, -1]] = True
-        head = np.concatenate([[True], run_of[1:] != run_of[:-1]])
-        keep = np.flatnonzero((sure | edge)[run_of])
-        marks = edge[run_of] & head
-        out = table.take(pa.array(order[keep])).combine_chunks()
-        out = out.append_column("_sure", pa.array(sure[run_of][keep])).append_column("_n", pa.array(np.where(marks, size[run_of], 0)[keep])).append_column("_open", pa.array((marks & some[run_of])[keep]))
-        yield from out.to_batches(max_chunksize=1 << 16)
-
-    return run
-
-
-def repeated(rows: DataFrame, key: list[str]) -> DataFrame:
-    """The rows whose ``key`` (64-bit words, the leading bytes first) occurs twice or more, if one of these is ``open`` (without that column, all are).
-
-    ``rows`` must be a written table without nulls; repeated rows count each; an empty table gives no rows.
-    """
-    names = rows.columns
-    buckets = max(1, -(-rows.count() // BUCKET))
-    refs = [c for c in names if c not in key and c != "open"]
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    found = written(rows.repartitionByRange(buckets, *key, *refs).mapInArrow(_ranked(key, names), f"{kinds}, _sure boolean, _n long, _open boolean"), "ranked")
-    across = found.where("_n > 0").groupBy(*key).agg(F.sum("_n").alias("_n"), F.max("_open").alias("_open")).where("_n > 1 and _open").select(*key)
-    return found.where("_sure").select(*names).union(found.where("not _sure").join(across, key, "left_semi").select(*names))
+        runs.append((order, _common_bytes(rows, words, size, order, common)))
+    near = []  # most bytes in common with a neighbour
+    for order, lcp in runs:
+        best = np.empty(n, np.int64)
+        best[order] = np.maximum(lcp, np.append(lcp[1:], 0))
+        near.append(best)
+    found = [[] for _ in range(n)]
+    whole = copies > 1
+    place = []
+    for order, _ in runs:
+        at = np.empty(n, np.int64)
+        at[order] = np.arange(n)
+        place.append(at)
+    for o in range(int(before.max()) + 1):
+        within = np.flatnonzero((lead - o >= 0) & (lead - o <= span) & (near[0] >= length - o) & (near[1] >= o))
+        if not len(within):
+            continue
+        classes = np.cumsum(runs[0][1] < length - o)[place[0][within]] * (n + 1) + (np.cumsum(runs[1][1] < o)[place[1][within]] if o else 0)
+        _, which, count = np.unique(classes, return_inverse=True, return_counts=True)
+        for i in within[(count[which] > 1) & ~whole[within]]:
+            found[i].append(lead[i] - o)
+    return [np.arange(span[i] + 1) if whole[i] else np.array(found[i][::-1], np.int64) for i in range(n)]
+
+
+def _runs(starts: np.ndarray) -> list[dict[str, int]]:
+    if not len(starts):
+        return []
+    cut = np.flatnonzero(np.diff(starts) > 1)
+    return [{"first": int(a), "last": int(b)} for a, b in zip(np.append(starts[0], starts[cut + 1]), np.append(starts[cut], starts[-1]), strict=True)]
+
+
+_RUN = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+_STRING = pa.list_(pa.struct([("start", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]))
+_SORT = "c1 long, c2 long, runs array<struct<first:int,last:int>>, strings array<struct<start:int,h1:long,h2:long>>"
+
+
+def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorts one range of suffixes: runs of starts that occur again, but for the first and the last core the digests of all strings."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    words = np.stack([table.column(k).to_numpy().view(np.uint64) ^ _TOP for k in ("first8", "core")], axis=1)
+    order, common = multikey_order(words)
+    heads = np.flatnonzero(common < 2)
+    inner = order[heads[1] : heads[-1]] if len(heads) > 2 else order[:0]
+    ends = order if len(heads) <= 2 else np.concatenate([order[: heads[1]], order[heads[-1] :]])
+    at = 0
+    cuts = heads[1:-1] - (heads[1] if len(heads) > 1 else 0)
+    while at < len(inner):  # whole cores at a time
+        stop = np.searchsorted(cuts, at + _SORTED)
+        end = int(cuts[stop]) if stop < len(cuts) else len(inner)
+        rows = table.take(pa.array(inner[at:end])).to_pydict()
+        found = repeated_starts(rows["bytes"], np.array(rows["lead"]), np.array(rows["span"]), np.array(rows["copies"]))
+        some = [i for i, f in enumerate(found) if len(f)]
+        yield _sorted_rows([rows["c1"][i] for i in some], [rows["c2"][i] for i in some], [_runs(found[i]) for i in some], None)
+        at = end
+    for at in range(0, len(ends), 256):
+        rows = table.take(pa.array(ends[at : at + 256])).to_pydict()
+        strings = [[dict(zip(("start", "h1", "h2"), (s, *_digest(data[s : s + LENGTH])), strict=True)) for s in range(span + 1)] for data, span in zip(rows["bytes"], rows["span"], strict=True)]
+        whole = [[{"first": 0, "last": span}] if n > 1 else None for n, span in zip(rows["copies"], rows["span"], strict=True)]
+        yield _sorted_rows(rows["c1"], rows["c2"], whole, strings)
+
+
+def _sorted_rows(c1: list, c2: list, runs: list, strings: list | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(runs, _RUN), pa.array(strings or [None] * len(c1), _STRING)], ["c1", "c2", "runs", "strings"])
 
 
 def text_key(text: Column) -> list[Column]:
@@ -267,35 +312,30 @@ def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``spans``: k1, k2 and ``spans``, sorted stretches of bytes [first, last) that may overlap.  ``texts``: k1, k2, _text.
     A text of several rows is taken once: its strings count, that they all occur again is for the caller to see.
     """
-    first = written(rows.mapInArrow(_scanned, _BLOCKS), "blocks")
-    again = repeated(first, ["lead", "d1"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "first", "last")).alias("_found"))
-    texts = written(rows.groupBy("k1", "k2").agg(F.first("_text").alias("_text")).join(again.hint("merge"), ["k1", "k2"]), "texts")
-    drop(first)
-    members = written(texts.mapInArrow(_contexts, "k1 long, k2 long, low int, lead int, span int, c1 long, c2 long, bytes binary"), "contexts")
-    pool = written(members.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.first("bytes").alias("bytes"), F.first("lead").alias("lead"), F.first("span").alias("span")), "pool")
-    held = written(pool.mapInArrow(_cores(BLOCK), _CORES), "cores")
-    js = repeated(held, ["lead", "d1", "d2"]).groupBy("c1", "c2").agg(F.collect_set("j").alias("_js"))
-    strings = written(pool.join(js, ["c1", "c2"]).mapInArrow(_cores(1), _CORES), "strings")
-    drop(held)
-    hits = repeated(strings, ["lead", "d1", "d2"]).where("open").select("c1", "c2", F.col("j").alias("_o"))
-    starts = hits.groupBy("c1", "c2").agg(F.collect_set("_o").alias("_os"))
-    every = pool.select("c1", "c2", "lead", "span", "copies").join(starts, ["c1", "c2"], "left").where("copies > 1 or _os is not null")
-    whole = F.array(F.struct(F.lit(0).alias("a"), F.col("span").alias("b")))
-    runs = every.select("c1", "c2", F.when(F.col("copies") > 1, whole).otherwise(_runs(F.array_sort(F.transform("_os", lambda o: F.col("lead") - o)))).alias("runs"))
-    placed = members.select("k1", "k2", "low", "c1", "c2").join(runs, ["c1", "c2"]).select("k1", "k2", "low", F.inline("runs"))
-    span = F.struct((F.col("low") + F.col("a")).alias("first"), (F.col("low") + F.col("b") + LENGTH).alias("last"))
+    scan = written(rows.mapInArrow(_scanned, "k1 long, k2 long, cores array<long>"), "scan")
+    cores = scan.select("k1", "k2", F.explode("cores").alias("core"))
+    again = cores.groupBy("core").count().where("count > 1").select("core")
+    found = cores.join(again.hint("merge"), "core").groupBy("k1", "k2").agg(F.collect_set("core").alias("_found"))
+    texts = written(rows.groupBy("k1", "k2").agg(F.first("_text").alias("_text")).join(found.hint("merge"), ["k1", "k2"]), "texts")
+    drop(scan)
+    members = written(texts.mapInArrow(_contexts, _CONTEXTS), "contexts")
+    once = [F.first(c).alias(c) for c in ("lead", "span", "first8", "core", "bytes")]
+    pool = written(members.groupBy("c1", "c2").agg(F.sum(F.size("lows")).alias("copies"), *once), "pool")
+    buckets = max(1, -(-pool.count() // BUCKET))
+    dealt = pool.repartitionByRange(buckets, "first8", "core", "c1", "c2")
+    ranked = written(dealt.mapInArrow(_bucket, _SORT), "sorted")
+    strings = ranked.where("strings is not null").select("c1", "c2", F.inline("strings"))
+    twice = strings.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
+    across = strings.join(twice, ["h1", "h2"]).select("c1", "c2", F.col("start").alias("first"), F.col("start").alias("last"))
+    inside = ranked.where("runs is not null").select("c1", "c2", F.inline("runs"))
+    runs = inside.union(across).groupBy("c1", "c2").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    placed = members.select("k1", "k2", "lows", "c1", "c2").join(runs, ["c1", "c2"]).select("k1", "k2", F.explode("lows").alias("low"), "runs").select("k1", "k2", "low", F.inline("runs"))
+    span = F.struct((F.col("low") + F.col("first")).alias("first"), (F.col("low") + F.col("last") + LENGTH).alias("last"))
     spans = written(placed.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(span)).alias("spans")), "spans")
-    drop(members, pool, strings)
+    drop(members, pool, ranked)
     return spans, texts.select("k1", "k2", "_text")
 
 
-def _runs(starts: Column) -> Column:
-    """Sorted starts as runs of neighbours, first and last."""
-    first = F.filter(starts, lambda s, i: (i == 0) | (F.get(starts, i - 1) != s - 1))
-    last = F.filter(starts, lambda s, i: (i == F.size(starts) - 1) | (F.get(starts, i + 1) != s + 1))
-    return F.zip_with(first, last, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-
-
 def _cut(text: bytes, spans: list[dict[str, int]]) -> tuple[bytes, list[tuple[int, int]]]:
     """What is left without the spans, and the spans where they touch or overlap made one."""
     merged: list[list[int]] = []
