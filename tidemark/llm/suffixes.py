@@ -306,6 +306,12 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), (F.crc32(text) + F.octet_length(text) * F.lit(1 << 32)).alias("k2")]
 
 
+def _neighbours(starts: str) -> Column:
+    """Sorted starts as runs of neighbours."""
+    ends = lambda step, edge: F.filter(starts, lambda s, i: F.coalesce(F.get(starts, i + step) != s + step, F.lit(True)) if edge else (i == 0) | (F.get(starts, i + step) != s + step))
+    return F.zip_with(ends(-1, False), ends(1, True), lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+
+
 def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``rows(k1, k2, _text)`` to ``spans`` and ``texts``, by text, where some string of it occurs again.
 
@@ -326,9 +332,8 @@ def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranked = written(dealt.mapInArrow(_bucket, _SORT), "sorted")
     strings = ranked.where("strings is not null").select("c1", "c2", F.inline("strings"))
     twice = strings.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    across = strings.join(twice, ["h1", "h2"]).select("c1", "c2", F.col("start").alias("first"), F.col("start").alias("last"))
-    inside = ranked.where("runs is not null").select("c1", "c2", F.inline("runs"))
-    runs = inside.union(across).groupBy("c1", "c2").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    starts = strings.join(twice, ["h1", "h2"]).groupBy("c1", "c2").agg(F.array_sort(F.collect_set("start")).alias("starts"))
+    runs = ranked.where("runs is not null").select("c1", "c2", "runs").union(starts.select("c1", "c2", _neighbours("starts")))
     placed = members.select("k1", "k2", "lows", "c1", "c2").join(runs, ["c1", "c2"]).select("k1", "k2", F.explode("lows").alias("low"), "runs").select("k1", "k2", "low", F.inline("runs"))
     span = F.struct((F.col("low") + F.col("first")).alias("first"), (F.col("low") + F.col("last") + LENGTH).alias("last"))
     spans = written(placed.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(span)).alias("spans")), "spans")
