@@ -1,9 +1,9 @@
 """Byte-level BPE by Spark's higher-order functions, from a literal rank map.
 
-Three narrow steps of one stage, without an exchange.  ``_numbered`` splits texts and numbers words: one that is a token
-has that token's id, any other the next number of its partition, and comes along as an array of bytes at the place where it is
-first seen.  Spark folds each of these distinct words by ranked merges.  ``_assembled`` takes the words by their numbers,
-so that ids stand in the order of the text, and decodes by concatenating each id's bytes.
+Narrow steps of one stage, without an exchange.  ``_numbered`` splits texts and numbers words: one that is a token has
+that token's id, any other the next number of its partition, and comes along as an array of bytes with the first row of the texts
+where it is first seen.  Spark folds each of these distinct words by ranked merges.  ``_assembled`` takes the words by their numbers,
+so that ids stand in the order of the text.  Spark decodes by joining the pieces that the ids stand for.
 
 In the fold a word is an array of numbers, each a symbol in the low 16 bits and above them the rank of its pair with the next.
 The least number is then the pair to merge, its first place the leftmost, and its rank is the id of what the two
@@ -21,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,8 @@ REMEMBERED = 1_000_000
 _NONE = 1 << 24
 _LOW = 65535
 _WINDOW = 4096  # places tried together
-#: So many words or ids make a batch of rows.
-_BATCH = 1 << 20
+#: Bytes of texts that are split together.
+_TOGETHER = 1 << 22
 _Batches = Iterator[pa.RecordBatch]
 
 
@@ -90,6 +91,10 @@ class Merges:
             raise ValueError("a rank does not fit in 16 bits")
         pairs = {(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         moves, entries = displaced(pairs)
+        spelt = [""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            spelt[rank] = token.hex()
+        self.pieces = F.split(F.lit(",".join(spelt)), ",")
         self.tables = F.struct(_array([ranks[bytes([b])] for b in range(256)], "int").alias("single"), _array(moves, "int").alias("moves"), _array(entries, "long").alias("entries"))
 
     def fold(self, t: Column, word: Column) -> Column:
@@ -103,9 +108,10 @@ class Merges:
         low = lambda x: x.bitwiseAND(F.lit(_LOW))
 
         def merged(s: Column, least: Column, p: Column) -> Column:
-            new = F.shiftright(least, 16)
-            each = lambda x, i: F.when((i < p - 2) | (i > p), x).when(i == p - 1, paired(new, low(F.get(s, p + 1)))).when(i == p, F.lit(-1).cast("long")).otherwise(paired(low(x), new))
-            return F.filter(F.transform(s, each), lambda x: x >= 0)
+            """The symbol at ``p`` and the next become one; only the pairs on its two sides are new."""
+            new, none = F.shiftright(least, 16), F.array().cast("array<bigint>")
+            before = F.when(p > 1, F.array(paired(low(F.get(s, p - 2)), new))).otherwise(none)
+            return F.concat(F.slice(s, 1, F.greatest(p - 2, F.lit(0))), before, F.array(paired(new, low(F.get(s, p + 1)))), F.slice(s, p + 2, F.size(s)))
 
         def step(s: Column, _: Column) -> Column:
             return _let(F.array_min(s), lambda least: F.when(least >= _NONE << 16, s).otherwise(_let(F.array_position(s, least).cast("int"), lambda p: merged(s, least, p))))
@@ -117,90 +123,138 @@ class Merges:
         return _let(F.transform(word, lambda x: F.get(t["single"], x).cast("long")), folded)
 
 
-class _Numbers(dict):
-    """Numbers of words: a token's id, or else the next number after the ids; ``new`` holds the latter's bytes."""
+class _Words:
+    """Numbers of words: a token's id, or else the next number after the ids; ``new`` holds the latter's bytes.
+
+    A text is cut before each space that a further character follows; no match of the pattern reaches over such a place, so each
+    distinct chunk is split by the pattern once.  Texts in which white space stands beside a space are split whole.
+    """
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks, self.next, self.new = ranks, max(ranks.values()) + 1, []
+    def __init__(self, ranks: dict[bytes, int], split: Callable[[str], list[str]]) -> None:
+        self.ranks, self.split, self.next = ranks, split, max(ranks.values()) + 1
+        self.numbers: dict[str, int] = {}
+        self.chunks: dict[str, list[int]] = {}
+        self.new: list[bytes] = []
 
-    def __missing__(self, word: str) -> int:
+    def of(self, words: list[str]) -> list[int]:
+        return [self.numbers[w] if w in self.numbers else self._number(w) for w in words]
+
+    def _number(self, word: str) -> int:
         raw = word.encode()
         number = self.ranks.get(raw)  # a word that is a token is that token alone
         if number is None:
             self.new.append(raw)
             number = self.next
             self.next += 1
-        self[word] = number
+        self.numbers[word] = number
         return number
 
-
-def _lists(values: list, kind: pa.DataType) -> pa.Array:
-    """An array of lists of numbers, from sequences of them or from bytes."""
-    offsets = np.cumsum([0, *map(len, values)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.fromiter(chain.from_iterable(values), np.int32, int(offsets[-1])), kind))
+    def codes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all words of all texts, and where each text's begin and end."""
+        parts = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        every = parts.flatten().dictionary_encode()
+        known, lists, odd = self.chunks, [], []
+        for k, c in enumerate(every.dictionary.to_pylist()):
+            if not c or c[0].isspace():
+                odd.append(k)
+                lists.append([])
+                continue
+            found = known.get(c)
+            if found is None:
+                found = known[c] = self.of(self.split(" " + c))
+            lists.append(found)
+        cuts = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
+        at = every.indices.to_numpy()
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        # texts that hold an odd chunk, and the first chunk of every text, which no space precedes, go one by one
+        odd_at = np.isin(at, np.array(odd, at.dtype)) if odd else np.zeros(len(at), bool)
+        whole = np.add.reduceat(np.append(odd_at, False), cuts[:-1]) > 0 if len(cuts) > 1 else np.zeros(0, bool)
+        ends = np.cumsum(sizes)
+        out, counts = [], []
+        strings = texts.to_pylist()
+        for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            if whole[i]:
+                out.append(np.array(self.of(self.split(strings[i])), np.int32))
+            else:
+                rest = at[a + 1 : b]
+                out += [np.array(self.of(self.split(strings[i].partition(" ")[0])), np.int32), _gathered(flat, ends[rest] - sizes[rest], sizes[rest])]
+            counts.append(len(out[-1]) + (0 if whole[i] else len(out[-2])))
+        return np.concatenate(out) if out else np.empty(0, np.int32), np.cumsum([0, *counts])
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` one after another."""
+    total = int(sizes.sum())
+    before = np.cumsum(sizes) - sizes
+    return values[np.repeat(starts - before, sizes) + np.arange(total)]
+
+
+def _lists(flat: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
+
+
+def _slices(batches: _Batches) -> _Batches:
+    """Rows of some ``_TOGETHER`` bytes of text, or of one longer text."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _TOGETHER, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def _numbered(path: str, pattern: str, remembered: int) -> Callable[[_Batches], _Batches]:
     """Each text's words by number; ``_base`` is how many words had been folded before the row, 0 to begin anew."""
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        docs, bases, codes, new = zip(*rows)
-        folds = pa.array(np.cumsum([0, *map(len, new)], dtype=np.int32))
-        words = pa.ListArray.from_arrays(folds, _lists(list(chain.from_iterable(new)), pa.int32()))
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(bases, pa.int64()), _lists(codes, pa.int32()), words], ["doc_id", "_base", "_codes", "_new"])
-
     def run(batches: _Batches) -> _Batches:
         ranks, split = ranks_of(path), regex.compile(pattern).findall
-        numbers, base, rows, n = _Numbers(ranks), 0, [], 0
-        for found in batches:
-            for doc, text in zip(found.column(0).to_pylist(), found.column(1).to_pylist()):
-                if base > remembered:
-                    numbers, base = _Numbers(ranks), 0
-                codes = [*map(numbers.__getitem__, split(text or ""))]
-                rows.append((doc, base, codes, numbers.new))
-                base += len(numbers.new)
-                numbers.new = []
-                n += len(codes)
-                if n >= _BATCH:
-                    yield batch(rows)
-                    rows, n = [], 0
-        if rows:
-            yield batch(rows)
+        words, base = _Words(ranks, split), 0
+        for part in _slices(batches):
+            if base > remembered:
+                words, base = _Words(ranks, split), 0
+            codes, cuts = words.codes(pc.fill_null(part.column("text"), ""))
+            new, words.new = words.new, []
+            sizes = np.cumsum([0, *map(len, new)])
+            spelt = _lists(np.frombuffer(b"".join(new), np.uint8), sizes, pa.int32())
+            rows = part.num_rows  # the first row brings the new words of all
+            folds = pa.ListArray.from_arrays(pa.array([0] + [len(new)] * rows, pa.int32()), spelt)
+            bases = [base] + [base + len(new)] * (rows - 1)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(bases, pa.int64()), _lists(codes, cuts, pa.int32()), folds], ["doc_id", "_base", "_codes", "_new"])
+            base += len(new)
 
     return run
 
 
 def _assembled(path: str) -> Callable[[_Batches], _Batches]:
-    """Ids of each text in order, and the bytes that they stand for."""
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        docs, ids, decoded = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), _lists(ids, pa.int32()), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+    """Ids of each text in order."""
 
     def run(batches: _Batches) -> _Batches:
-        ranks = ranks_of(path)
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        words, rows, n = [(rank,) for rank in range(len(tokens))], [], 0
+        least = max(ranks_of(path).values()) + 1
+        flat, ends, sizes = np.arange(least, dtype=np.int32), np.arange(1, least + 1), np.ones(least, np.int64)
+        held = least
         for found in batches:
             docs, bases, codes, folded = (found.column(c) for c in ("doc_id", "_base", "_codes", "_folded"))
-            ends = np.cumsum(codes.value_lengths().to_numpy())
-            flat, fresh = codes.flatten().to_numpy(), iter(folded.flatten().to_pylist())
-            for doc, base, size, end, new in zip(docs.to_pylist(), bases.to_pylist(), codes.value_lengths().to_pylist(), ends.tolist(), folded.value_lengths().to_pylist()):
+            begins = np.flatnonzero(np.append(folded.value_lengths().to_numpy(), 1))  # rows that bring words
+            for a, b in zip(np.unique(np.concatenate([[0], begins]))[:-1].tolist(), np.unique(np.concatenate([[0], begins]))[1:].tolist(), strict=True):
+                base = bases[a].as_py()
                 if base == 0:
-                    del words[len(tokens) :]
-                if len(words) != len(tokens) + base:
+                    held = least
+                if held != least + base:
                     raise RuntimeError("rows came in another order than they were numbered in")
-                words.extend(next(fresh) for _ in range(new))
-                ids = [*chain.from_iterable(map(words.__getitem__, flat[end - size : end].tolist()))]
-                rows.append((doc, ids, b"".join(map(tokens.__getitem__, ids))))
-                n += len(ids)
-                if n >= _BATCH:
-                    yield batch(rows)
-                    rows, n = [], 0
-        if rows:
-            yield batch(rows)
+                fresh = folded.slice(a, 1).flatten()
+                more = fresh.value_lengths().to_numpy().astype(np.int64)
+                flat = np.concatenate([flat[: ends[held - 1]], fresh.flatten().to_numpy()])
+                sizes = np.concatenate([sizes[:held], more])
+                ends = np.cumsum(sizes)
+                held += len(more)
+                part = codes.slice(a, b - a)
+                at = part.flatten().to_numpy()
+                ids = _gathered(flat, ends[at] - sizes[at], sizes[at])
+                words = np.cumsum(np.append(0, sizes[at]))
+                cuts = np.cumsum(np.append(0, part.value_lengths().to_numpy()))
+                yield pa.RecordBatch.from_arrays([docs.slice(a, b - a), _lists(ids, words[cuts], pa.int32())], ["doc_id", "ids"])
 
     return run
 
@@ -212,7 +266,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     other columns are not read.  A task holds at most ``remembered`` words besides those of one text.
     """
     merges = Merges(path)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     numbered = rows.mapInArrow(_numbered(path, pattern, remembered), "doc_id long, _base long, _codes array<int>, _new array<array<int>>")
     folds = _let(merges.tables, lambda t: F.transform("_new", lambda w: merges.fold(t, w)))
-    return numbered.select("doc_id", "_base", "_codes", folds.alias("_folded")).mapInArrow(_assembled(path), "doc_id long, ids array<int>, decoded binary")
+    found = numbered.select("doc_id", "_base", "_codes", folds.alias("_folded")).mapInArrow(_assembled(path), "doc_id long, ids array<int>")
+    return found.withColumn("decoded", _let(merges.pieces, lambda t: F.unhex(F.array_join(F.transform("ids", lambda i: F.get(t, i)), ""))))
