@@ -10,15 +10,21 @@ place in the bucket, so that one very common length is dealt over many tasks.
 
 from __future__ import annotations
 
+import array
 import functools
 import heapq
+import json
+import operator
+import os
 import re
+import sys
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,77 +32,103 @@ from .scratch import written
 
 SIZE, END = 4096, 2
 #: Entries of a worker's word cache; beyond, it starts anew.
-CACHE = 600_000
+CACHE = 1_000_000
 #: Pieces in one bucket of the numbering.
 BUCKET = 50_000
-_ROWS = 128
+#: Rows taken together.
+_ROWS = 4096
 
 
 class WordIds:
-    """Ids of whole texts from a tokenizer that never joins what stands on two sides of white space.
+    """Ids of whole texts, each distinct chunk between white space encoded once by the library.
 
-    Texts are split at ASCII white space and each distinct chunk is encoded once by the library, so the ids
-    are those of the library for the whole text.
+    This needs a tokenizer that never joins what stands on two sides of white space, which ``_NORMALIZER`` and ``_SPLITS``
+    tell from its file; texts go whole through any other.  Special tokens that a text spells are taken as the library takes them.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
+        added = made.get("added_tokens") or []
+        self.by_chunks = made.get("normalizer") == _NORMALIZER and made.get("pre_tokenizer") == _SPLITS and all(t["content"].split() == [t["content"]] and not (t["normalized"] or t["single_word"]) for t in added)
+        self.tokenize = self.tokenizer.model.tokenize
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Plain words go to the tokenizer's model at once, whatever else a chunk holds through the whole tokenizer."""
-        rest = []
-        for c in chunks:
-            if found := _PLAIN(c):
-                word, mark = found.groups()
-                self.known[c] = self._word(word.lower()) + (self._word(mark) if mark else b"")
-            else:
-                rest.append(c)
-        for at in range(0, len(rest), 4096):
-            part = rest[at : at + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[c] = np.array(e.ids, "<u4").tobytes()
-
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
             spelt = word if word.isascii() else word.encode().decode("latin-1").translate(_SPELLING)
-            found = self.words[word] = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(spelt))
+            found = self.words[word] = _little(map(_ID, self.tokenize(spelt)))
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [_chunks(t) for t in texts]
+    def chunks(self, chunks: list[str]) -> list[bytes]:
+        """Plain words go to the tokenizer's model at once, whatever else a chunk holds through the whole tokenizer."""
         for cache in (self.known, self.words):
             if len(cache) > CACHE:
                 cache.clear()
-        known = self.known
-        known.setdefault("", b"")
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join(map(known.__getitem__, words)))
-            except KeyError:
-                self._learn({w for w in words if w not in known})
-                out.append(b"".join(map(known.__getitem__, words)))
-        return out
-
-
+        known, word_ids, rest = self.known, self._word, []
+        for c in chunks:
+            if c not in known:
+                if c.isalpha() and _PLAIN(c):
+                    known[c] = word_ids(c.lower())
+                elif found := _PLAIN(c):
+                    word, mark = found.groups()
+                    known[c] = word_ids(word.lower()) + word_ids(mark) if mark else word_ids(word.lower())
+                else:
+                    rest.append(c)
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
+            for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+                known[c] = np.array(e.ids, "<u4").tobytes()
+        return [*map(known.__getitem__, chunks)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text of an array without nulls."""
+        if not self.by_chunks:
+            return [np.array(e.ids, "<u4").tobytes() for t in texts.to_pylist() for e in [self.tokenizer.encode(t, add_special_tokens=False)]]
+        for mark in "\n\t\r":  # other white space is left to the tokenizer
+            texts = pc.replace_substring(texts, mark, " ")
+        parts = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        every = parts.flatten().dictionary_encode()
+        ids = pa.array(self.chunks(every.dictionary.to_pylist()), pa.large_binary())
+        joined = ids.take(every.indices)  # the ids of all chunks stand one after another
+        offsets = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset :]
+        cuts = offsets[parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()]
+        data = joined.buffers()[2]
+        view = memoryview(data) if data is not None else memoryview(b"")
+        return [bytes(view[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
+_ID = operator.attrgetter("id")
+
+
+def _little(ids: Iterable[int]) -> bytes:
+    found = array.array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
+#: The settings under which white space always parts words.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLITS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: A run of letters that Unicode normalisation leaves alone, then at most one mark: two tokens of the pre-tokenizer.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([,.;:!?]?)").fullmatch
 #: How byte-level models spell the bytes 128 to 255: those without a printable character of their own follow from 256 + 33 on.
 _SPELLING = {b: chr(289 + i) for i, b in enumerate([*range(127, 161), 173]) if b > 127}
 
 
-def _chunks(text: str) -> list[str]:
-    """Parts at tab, line ends and space only: str.split() knows more white space, which is left to the tokenizer."""
-    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-
-
 @functools.lru_cache(maxsize=2)
 def _word_ids(path: str) -> WordIds:
     return WordIds(path)
@@ -111,7 +143,7 @@ def _pieces(path: str, size: int, end: int | None, keep_ids: bool):
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
                 out: list[list] = [[] for _ in range(6)]
-                for doc, ids in zip(batch.column("_id").to_pylist(), words.encode(batch.column("_text").to_pylist()), strict=True):
+                for doc, ids in zip(batch.column("_id").to_pylist(), words.encode(batch.column("_text")), strict=True):
                     ids += tail
                     for start in range(0, len(ids), 4 * size):
                         part = ids[start : start + 4 * size]
