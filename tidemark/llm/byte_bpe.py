@@ -3,7 +3,7 @@
 Narrow steps of one stage, without an exchange.  ``_numbered`` splits texts and numbers words: one that is a token has
 that token's id, any other the next number of its partition, and comes along as an array of bytes with the first row of the texts
 where it is first seen.  Spark folds each of these distinct words by ranked merges.  ``_assembled`` takes the words by their numbers,
-so that ids stand in the order of the text.  Spark decodes by joining the pieces that the ids stand for.
+so that ids stand in the order of the text.  Spark decodes each distinct word by joining the pieces that its ids stand for.
 
 In the fold a word is an array of numbers, each a symbol in the low 16 bits and above them the rank of its pair with the next.
 The least number is then the pair to merge, its first place the leftmost, and its rank is the id of what the two
@@ -109,9 +109,9 @@ class Merges:
 
         def merged(s: Column, least: Column, p: Column) -> Column:
             """The symbol at ``p`` and the next become one; only the pairs on its two sides are new."""
-            new, none = F.shiftright(least, 16), F.array().cast("array<bigint>")
-            before = F.when(p > 1, F.array(paired(low(F.get(s, p - 2)), new))).otherwise(none)
-            return F.concat(F.slice(s, 1, F.greatest(p - 2, F.lit(0))), before, F.array(paired(new, low(F.get(s, p + 1)))), F.slice(s, p + 2, F.size(s)))
+            new = F.shiftright(least, 16)
+            each = lambda x, i: F.when(i > p, x).when(i < p - 2, x).when(i == p, F.lit(-1).cast("long")).when(i == p - 1, paired(new, low(F.get(s, p + 1)))).otherwise(paired(low(x), new))
+            return F.array_remove(F.transform(s, each), F.lit(-1).cast("long"))
 
         def step(s: Column, _: Column) -> Column:
             return _let(F.array_min(s), lambda least: F.when(least >= _NONE << 16, s).otherwise(_let(F.array_position(s, least).cast("int"), lambda p: merged(s, least, p))))
@@ -227,34 +227,51 @@ def _numbered(path: str, pattern: str, remembered: int) -> Callable[[_Batches],
     return run
 
 
+class _Table:
+    """Sequences by number, which stand one after another in ``flat``."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.flat, self.sizes, self.ends = flat, sizes.astype(np.int64), np.cumsum(sizes, dtype=np.int64)
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def extended(self, held: int, flat: np.ndarray, sizes: np.ndarray) -> _Table:
+        """The first ``held`` sequences and more."""
+        return _Table(np.concatenate([self.flat[: self.ends[held - 1]], flat]), np.concatenate([self.sizes[:held], sizes]))
+
+    def gathered(self, numbers: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the numbers stand for, and where each text's begin and end."""
+        sizes = self.sizes[numbers]
+        return _gathered(self.flat, self.ends[numbers] - sizes, sizes), np.append(0, np.cumsum(sizes))[cuts]
+
+
 def _assembled(path: str) -> Callable[[_Batches], _Batches]:
-    """Ids of each text in order."""
+    """Ids and bytes of each text in order."""
 
     def run(batches: _Batches) -> _Batches:
-        least = max(ranks_of(path).values()) + 1
-        flat, ends, sizes = np.arange(least, dtype=np.int32), np.arange(1, least + 1), np.ones(least, np.int64)
-        held = least
+        ranks = ranks_of(path)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        least = len(tokens)
+        ids = _Table(np.arange(least, dtype=np.int32), np.ones(least, np.int64))
+        pieces = _Table(np.frombuffer(b"".join(tokens), np.uint8), np.array([*map(len, tokens)]))
         for found in batches:
-            docs, bases, codes, folded = (found.column(c) for c in ("doc_id", "_base", "_codes", "_folded"))
-            begins = np.flatnonzero(np.append(folded.value_lengths().to_numpy(), 1))  # rows that bring words
-            for a, b in zip(np.unique(np.concatenate([[0], begins]))[:-1].tolist(), np.unique(np.concatenate([[0], begins]))[1:].tolist(), strict=True):
+            docs, bases, codes, folded, spelt = (found.column(c) for c in ("doc_id", "_base", "_codes", "_folded", "_pieces"))
+            begins = np.unique(np.append(np.flatnonzero(folded.value_lengths().to_numpy()), [0, found.num_rows])).tolist()  # rows that bring words
+            for a, b in zip(begins[:-1], begins[1:], strict=True):
                 base = bases[a].as_py()
-                if base == 0:
-                    held = least
-                if held != least + base:
+                fresh, bytes_ = folded.slice(a, 1).flatten(), spelt.slice(a, 1).flatten()
+                if base and len(ids) != least + base:
                     raise RuntimeError("rows came in another order than they were numbered in")
-                fresh = folded.slice(a, 1).flatten()
-                more = fresh.value_lengths().to_numpy().astype(np.int64)
-                flat = np.concatenate([flat[: ends[held - 1]], fresh.flatten().to_numpy()])
-                sizes = np.concatenate([sizes[:held], more])
-                ends = np.cumsum(sizes)
-                held += len(more)
+                ids = ids.extended(least + base, fresh.flatten().to_numpy(), fresh.value_lengths().to_numpy())
+                pieces = pieces.extended(least + base, np.frombuffer(b"".join(bytes_.to_pylist()), np.uint8), pc.binary_length(bytes_).to_numpy())
                 part = codes.slice(a, b - a)
-                at = part.flatten().to_numpy()
-                ids = _gathered(flat, ends[at] - sizes[at], sizes[at])
-                words = np.cumsum(np.append(0, sizes[at]))
-                cuts = np.cumsum(np.append(0, part.value_lengths().to_numpy()))
-                yield pa.RecordBatch.from_arrays([docs.slice(a, b - a), _lists(ids, words[cuts], pa.int32())], ["doc_id", "ids"])
+                numbers, cuts = part.flatten().to_numpy(), np.append(0, np.cumsum(part.value_lengths().to_numpy(), dtype=np.int64))
+                decoded, ends = pieces.gathered(numbers, cuts)
+                data = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(decoded.tobytes())])
+                yield pa.RecordBatch.from_arrays([docs.slice(a, b - a), _lists(*ids.gathered(numbers, cuts), pa.int32()), data], ["doc_id", "ids", "decoded"])
 
     return run
 
@@ -269,5 +286,6 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     numbered = rows.mapInArrow(_numbered(path, pattern, remembered), "doc_id long, _base long, _codes array<int>, _new array<array<int>>")
     folds = _let(merges.tables, lambda t: F.transform("_new", lambda w: merges.fold(t, w)))
-    found = numbered.select("doc_id", "_base", "_codes", folds.alias("_folded")).mapInArrow(_assembled(path), "doc_id long, ids array<int>")
-    return found.withColumn("decoded", _let(merges.pieces, lambda t: F.unhex(F.array_join(F.transform("ids", lambda i: F.get(t, i)), ""))))
+    folded = numbered.select("doc_id", "_base", "_codes", folds.alias("_folded"))
+    spelt = _let(merges.pieces, lambda t: F.transform("_folded", lambda w: F.unhex(F.array_join(F.transform(w, lambda i: F.get(t, i)), ""))))
+    return folded.withColumn("_pieces", spelt).mapInArrow(_assembled(path), "doc_id long, ids array<int>, decoded binary")
