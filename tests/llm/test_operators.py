@@ -291,12 +291,14 @@ def test_cross_entropy_difference(spark, docs, none):
     assert lm_scoring.cross_entropy_difference(none, targets).count() == 0
 
 
-def test_nearest(spark):
+@pytest.mark.parametrize("block", [neighbours.BLOCK, 100])
+def test_nearest(spark, block):
     rng = np.random.default_rng(3)
     vectors = rng.standard_normal((400, 16)) * rng.uniform(0.5, 2, (400, 1))
-    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(1000, None), (1020, [0.0] * 16), (1040, [float("nan")] * 16), (1060, [None] * 16), (400, vectors[0].tolist())]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(1000, None), (1020, [0.0] * 16), (1040, [float("nan")] * 16), (1060, [None] * 16), (400, vectors[0].tolist()), (1080, [1.0, 2.0]), (1081, [3.0, -1.0]), (1082, [2.0, 2.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    found = neighbours.nearest(frame, "vec_id % 20 = 0").collect()
+    found = neighbours.nearest(frame, "vec_id % 20 = 0", block=block, queries=5 if block == 100 else neighbours.QUERIES).collect()
+    assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == 1080] == [(1082, 6.0), (1081, 1.0)]  # other lengths
     every = np.vstack([vectors, vectors[:1]])
     hits = 0
     for q in range(0, 401, 20):
