@@ -332,3 +332,13 @@ def test_extract(spark):
     frame = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
     assert sorted((r.text, r.n_chars) for r in html_text.extract(frame).collect()) == [("", 0), ("one < two", 9), ("one < two", 9)]
     assert html_text.extract(frame.where("false")).count() == 0
+
+
+def test_stages_bear_clashing_columns(spark):
+    import corpus_pipeline
+
+    rows = [(i, _prose(i, 60 + i % 50), "en", "a", 5, 1, 2, 3, 4) for i in range(80)] + [(80, _prose(3, 63), "en", "a", 5, 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, _n int, _j_id int, _left int, _t_id int")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, "").collect(), docs.schema)
+    assert docs.count() == 80 and corpus_pipeline.packing(spark, docs, "").count() == 80

@@ -223,13 +223,6 @@ def _kept(root: Node) -> list[Node]:
     best = max(containers, key=_value)
     while best.parent and best.name in ("tr", "tbody", "table", "ul", "ol", "dl", "figure", "b", "i", "em", "strong", "span", "a", "font"):
         best = best.parent
-    up, outer = best, None
-    while up:
-        if up.main:
-            outer = up
-        up = up.parent
-    if outer is not None:
-        return [outer]
     if best.parent is None:
         return [best]
     least = max(10.0, 0.2 * _value(best))

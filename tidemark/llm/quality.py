@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import free_prefix, written
 
 FEATURES = ("length", "symbols", "lines", "repeats")
 #: Share of rows that an estimate rests on, rows that a group needs, concentration steps.
@@ -207,9 +207,10 @@ def drop_outliers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs`` that the rules keep, columns as they were; repeated rows have one verdict and stay repeated."""
     verdicts = judged(docs, id_col, text_col, cutoff).where("kept")
     lang, source = (c if c in docs.columns else None for c in ("lang", "source"))
-    kept = verdicts.select(F.col("_id").alias("_j_id"), F.col("_h").alias("_j_h"), F.col("_lang").alias("_j_lang"), F.col("_source").alias("_j_source"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_j_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_j_h"))
-    for name, own in ((lang, "_j_lang"), (source, "_j_source")):
+    own = free_prefix(docs.columns)
+    kept = verdicts.select(*(F.col(f"_{c}").alias(own + c) for c in ("id", "h", "lang", "source")))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(f"{own}id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(f"{own}h"))
+    for name, own in ((lang, f"{own}lang"), (source, f"{own}source")):
         if name:
             same &= F.col(name).cast("string").eqNullSafe(F.col(own))
     return docs.join(kept, same, "left_semi")

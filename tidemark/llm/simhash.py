@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import written
+from .scratch import free_prefix, written
 
 WIDTH, SEED, DISTANCE = 3, 42, 2
 #: Distinct fingerprints that one exchange key may bring to a task before it is dealt again.
 SPLIT = 200_000
 _RANGES = ((42, 22), (21, 21), (0, 21))
-_ROWS, _HASHES = 256, 100_000
+_ROWS, _HASHES, _TOGETHER = 256, 100_000, 200_000
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -154,17 +154,31 @@ def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-    if not parts:
-        return
-    key, code = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).view(np.uint64)
+    """Rows come sorted by key and are taken whole keys at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        if sum(len(k) for k, _ in held) >= _TOGETHER:
+            key, code = (np.concatenate(c) for c in zip(*held, strict=True))
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield _linked(key[:cut], code[:cut])
+            held = [(key[cut:], code[cut:])]
+    if held:
+        yield _linked(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+
+def _linked(key: np.ndarray, code: np.ndarray) -> pa.RecordBatch:
+    code = code.view(np.uint64)
     order = np.lexsort((gray_rank(code), key))
     key, code = key[order], code[order]
     left, right = linked_pairs(key, code)
     root = _roots(len(code), left, right)
     some = np.flatnonzero(root != np.arange(len(code)))
     signed = code.view(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(signed[some]), pa.array(signed[root[some]])], ["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(signed[some]), pa.array(signed[root[some]])], ["a", "b"])
 
 
 def _part(shift: int, bits: int) -> F.Column:
@@ -178,7 +192,7 @@ def links(distinct: DataFrame, split: int = SPLIT) -> DataFrame:
     # 64 bits in 9 ranges: outside the range that agrees, one of three parts of each other range agrees too
     finer = F.array(*(F.xxhash64("_key", F.lit(i), *(_part(s, b) for s, b in parts)) for i, parts in enumerate(_thirds())))
     dealt = keyed.join(many, "_key", "left").select("_fp", F.explode(F.when(F.col("_many"), finer).otherwise(F.array("_key"))).alias("_key"))
-    return dealt.repartition("_key").select("_key", "_fp").mapInArrow(_stars, "a long, b long")
+    return dealt.repartition("_key").sortWithinPartitions("_key").select("_key", "_fp").mapInArrow(_stars, "a long, b long")
 
 
 def _thirds() -> list[tuple[tuple[int, int], ...]]:
@@ -218,15 +232,17 @@ def one_of_each(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_
 
     Ids may be null or repeated, they name no component.  Repeated rows of the document that stays are given once.
     """
+    own = free_prefix(docs.columns)
+    kept_id, kept_h, times = f"{own}id", f"{own}h", f"{own}n"
     rows = found.groupBy("_id", "_h", "root").agg(F.count("*").alias("_n"))
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_h", "_n")).alias("k")
-    named = written(rows.groupBy("root").agg(first).select(F.col("k._id").alias("_kept_id"), F.col("k._h").alias("_kept_h"), F.col("k._n").alias("_n")), "kept")
+    named = written(rows.groupBy("root").agg(first).select(F.col("k._id").alias(kept_id), F.col("k._h").alias(kept_h), F.col("k._n").alias(times)), "kept")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text) == F.col("_kept_h"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(kept_id)) & (F.xxhash64(text) == F.col(kept_h))
     out = docs.join(named, same)
-    if named.where("_n > 1").limit(1).count():
-        out = out.where("_n = 1").unionByName(out.where("_n > 1").dropDuplicates(["_kept_id", "_kept_h"]))
-    return out.select(*docs.columns)
+    if named.where(F.col(times) > 1).limit(1).count():
+        out = out.where(F.col(times) == 1).unionByName(out.where(F.col(times) > 1).dropDuplicates([kept_id, kept_h]))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def hex_digits(fp: str) -> F.Column:
