@@ -104,6 +104,13 @@ def test_quality_rejects_what_stands_apart(spark):
     assert {r._id for r in found if not r.kept} == {1000 + i for i in range(20)}
 
 
+def test_small_groups_are_judged_by_their_language(spark):
+    rows = [(i, _prose(i, 60 + i % 50), "en", "a") for i in range(200)] + [(900 + i, _prose(900 + i, 70), "en", "b") for i in range(5)] + [(950, _prose(950, 70), "xx", "c")]
+    odd = [(1000, " ".join(w + "###" for w in _prose(1, 80).split()), "en", "b"), (1001, " ".join(w + "###" for w in _prose(2, 80).split()), "xx", "c")]
+    found = quality.judged(spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string")).collect()
+    assert {r._id for r in found if not r.kept} == {1000, 1001}
+
+
 def _fingerprint(text):
     words = _bytes(text).lower().split()
     shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [b" ".join(words)] if words else []

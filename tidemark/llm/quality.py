@@ -6,10 +6,10 @@ distances under the present centre and covariance, then centre and covariance of
 share of rows with the least distance.  A step is one aggregate by group and distance bin (bins
 carry count, sums and cross products), so a group of any size is reduced before it is exchanged,
 and what one task sees of a group is bounded by the number of bins.  Steps run from two starts at
-once, the median-and-deviation diagonal and the full covariance; the lesser determinant wins.
+once, the median-and-deviation diagonal and the full covariance, until no determinant changes; the lesser one wins.
 
-Groups with fewer than ``LEAST`` rows are pooled by language, then over all; where even that pool is
-smaller, no row is rejected.
+Groups with fewer than ``LEAST`` rows are judged by the estimate of their whole language, large groups included, and languages with fewer by
+that of all rows; only a table with fewer rows than that in all has no estimate, and no row is rejected.
 """
 
 from __future__ import annotations
@@ -22,17 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import free_prefix, written
+from .scratch import drop, free_prefix, written
 
 FEATURES = ("length", "symbols", "lines", "repeats")
 #: Share of rows that an estimate rests on, rows that a group needs, concentration steps.
-SUPPORT, LEAST, STEPS = 0.75, 60, 5
+SUPPORT, LEAST, STEPS = 0.75, 60, 12
 #: Squared Mahalanobis distance beyond which a text is rejected; 0.999 of a chi-square variable with 4 degrees lie below 18.5.
 CUTOFF = 60.0
 #: Least standard deviation of each feature: one that is constant in a group must not reject what differs slightly.
 FLOOR = (0.03, 0.06, 0.1, 0.1)
 _CHI_MEDIAN = 3.3567
-_BIN = 8.0
+#: Relative change of a determinant that counts as none.
+_STILL = 1e-4
+_BIN = 32.0
 _ROWS = 256
 _SYMBOLS = [bytes([c]) for c in b"[#*$%&|<>]"]
 _SPACES = [bytes([c]) for c in b"\x20\x09\x0a\x0b\x0c\x0d"]
@@ -156,7 +158,13 @@ def estimates(rows: DataFrame) -> DataFrame:
     quartiles = [F.percentile_approx(f, p, 1000).alias(f"{n}{i}") for i, f in enumerate(FEATURES) for n, p in (("l", 0.25), ("m", 0.5), ("u", 0.75))]
     params = written(rows.groupBy("_group").agg(*_moments(), *quartiles).groupBy("_group").applyInPandas(_starts, _PARAMS), "start")
     for _ in range(STEPS):
-        params = written(_binned(rows, params).groupBy("_group", "start").applyInPandas(_concentrated, _PARAMS), "step")
+        after = written(_binned(rows, params).groupBy("_group", "start").applyInPandas(_concentrated, _PARAMS), "step")
+        was = params.select("_group", "start", F.col("det").alias("_was"))
+        moved = after.join(was, ["_group", "start"]).where(F.abs(F.col("det") / F.col("_was") - 1) > _STILL).limit(1).count()
+        drop(params)
+        params = after
+        if not moved:
+            break
     best = params.withColumn("_place", F.row_number().over(Window.partitionBy("_group").orderBy("det", "start"))).where("_place = 1").select("_group", "centre", "inverse", F.lit(0).alias("start"), "det", "scale")
     # the spread of the estimate follows from the median distance under it
     final = _binned(rows, best).groupBy("_group", "start").applyInPandas(_scaled, "_group string, scale double")
@@ -171,19 +179,20 @@ def _scaled(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _grouped(rows: DataFrame, least: int) -> DataFrame:
-    """Adds ``_group``: language and source, or the pool of the language, or of all, for small groups; null where that is small too."""
+    """Adds ``_group``, whose estimate judges the row: language and source, or for small groups the language, or all; null where all are few.
+
+    ``_pools`` are the groups whose estimates rest on the row.
+    """
     names = F.coalesce(F.col("_lang"), F.lit("")), F.coalesce(F.col("_source"), F.lit(""))
     keyed = rows.withColumn("_l", names[0]).withColumn("_s", names[1])
     sizes = keyed.where("not base_failed").groupBy("_l", "_s").count()
-    small = F.when(F.col("count") < least, F.col("count")).otherwise(0)
-    pooled = sizes.withColumn("_pool", F.sum(small).over(Window.partitionBy("_l")))
-    rest = pooled.where(F.col("count") < least).where(F.col("_pool") < least).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("_rest"))
-    group = (
-        F.when(F.col("count") >= least, F.concat(F.lit("1"), F.to_json(F.array("_l", "_s"))))
-        .when(F.col("_pool") >= least, F.concat(F.lit("2"), F.to_json(F.array("_l"))))
-        .when(F.col("_rest") >= least, F.lit("3"))
-    )
-    named = pooled.crossJoin(F.broadcast(rest)).select("_l", "_s", group.alias("_group"))  # one row
+    language = Window.partitionBy("_l")
+    pooled = sizes.withColumn("_of_l", F.sum("count").over(language)).withColumn("_least", F.min("count").over(language))
+    every = pooled.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("_all"), F.coalesce(F.min("_of_l"), F.lit(0)).alias("_least_l"))
+    own, of_language, of_all = F.concat(F.lit("1"), F.to_json(F.array("_l", "_s"))), F.concat(F.lit("2"), F.to_json(F.array("_l"))), F.lit("3")
+    group = F.when(F.col("count") >= least, own).when(F.col("_of_l") >= least, of_language).when(F.col("_all") >= least, of_all)
+    pools = F.array(F.when(F.col("count") >= least, own), F.when((F.col("_of_l") >= least) & (F.col("_least") < least), of_language), F.when((F.col("_all") >= least) & (F.col("_least_l") < least), of_all))
+    named = pooled.crossJoin(F.broadcast(every)).select("_l", "_s", group.alias("_group"), F.array_compact(pools).alias("_pools"))  # one row
     return keyed.join(named, ["_l", "_s"], "left").drop("_l", "_s")
 
 
@@ -196,7 +205,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cuto
     """
     rows = _grouped(counted(docs, id_col, text_col), least)
     rows = written(rows.select("*", *_vector()), "vectors")
-    params = written(estimates(rows.where("not base_failed and _group is not null").select("_group", *FEATURES)), "estimates")
+    params = written(estimates(rows.where("not base_failed").select(F.explode("_pools").alias("_group"), *FEATURES)), "estimates")
     found = rows.join(params.withColumnRenamed("_group", "_g"), (F.col("_group") == F.col("_g")) & ~F.col("base_failed"), "left")
     found = found.withColumn("distance", F.when(F.col("centre").isNotNull(), _distance() / F.col("scale")))
     kept = ~F.col("base_failed") & (F.col("distance").isNull() | (F.col("distance") <= cutoff))
