@@ -223,11 +223,24 @@ def test_warc_round_trip(spark):
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_records(version):
     blocks = [("http://a/ b", "20200102030405", "text/html", b"one\ntwo"), (None, "2020", "text/plain", b"")]
-    found = list(warc.arc_records(warc.arc_file("x.arc", version, blocks)))
+    info, *found = warc.arc_records(warc.arc_file("x.arc", version, blocks))
+    assert info["info"] and info["URL"] == "filedesc://x.arc"
     assert [(r["URL"], r["Archive-date"], r["block"], r["version"]) for r in found] == [("http://a/%20b", "20200102030405", b"one\ntwo", version), ("-", "2020", b"", version)]
     assert warc._iso("2020") == "2020-01-01T00:00:00Z" and warc._iso("20200102030405") == "2020-01-02T03:04:05Z"
 
 
+def test_bad_arc_records(spark, tmp_path):
+    good = warc.arc_file("x.arc", 1, [("http://a", "2020", "text/html", b"HTTP/1.1 200 OK\r\n\r\nbody"), ("http://b", "2020", "text/plain", b"plain"), ("http://b", "2020", "text/plain", b"plain")])
+    bad = good + b"http://c 0.0.0.0 2020 text/html ??\n\nno header at all\nhttp://d 1.2.3.4 2021 text/plain 3\nabc\nhttp://e 0.0.0.0 2020 text/plain 99\ncut"
+    frame = spark.createDataFrame([(bad,), (b"",), (None,), (b"no archive",)], "content binary")
+    rows = {(r.kind, r.uri, bytes(r.payload), r.truncated) for r in warc.converted(frame).collect() if r.kind != "warcinfo"}
+    assert rows == {("response", "http://a", b"body", False), ("resource", "http://b", b"plain", False), ("resource", "http://d", b"abc", False), ("resource", "http://e", b"cut", True)}
+    warc.convert(frame, f"file://{tmp_path}/out")
+    read = warc.read_warc(spark, f"file://{tmp_path}/out").collect()
+    assert Counter(r.record_type for r in read) == {"warcinfo": 1, "response": 1, "resource": 4}
+    assert len({r.record_id for r in read}) == 6
+
+
 def test_sharding(docs, none):
     found = sharding.exact_shards(docs, 5).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in found) == Counter((d, len(_bytes(t)) + 8, zlib.crc32(_bytes(t))) for d, t, *_ in ROWS)

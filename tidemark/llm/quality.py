@@ -26,14 +26,14 @@ from .scratch import drop, free_prefix, written
 
 FEATURES = ("length", "symbols", "lines", "repeats")
 #: Share of rows that an estimate rests on, rows that a group needs, concentration steps.
-SUPPORT, LEAST, STEPS = 0.75, 60, 12
+SUPPORT, LEAST, STEPS = 0.75, 60, 8
 #: Squared Mahalanobis distance beyond which a text is rejected; 0.999 of a chi-square variable with 4 degrees lie below 18.5.
 CUTOFF = 60.0
 #: Least standard deviation of each feature: one that is constant in a group must not reject what differs slightly.
 FLOOR = (0.03, 0.06, 0.1, 0.1)
 _CHI_MEDIAN = 3.3567
 #: Relative change of a determinant that counts as none.
-_STILL = 1e-4
+_STILL = 1e-3
 _BIN = 32.0
 _ROWS = 256
 _SYMBOLS = [bytes([c]) for c in b"[#*$%&|<>]"]

@@ -2,8 +2,10 @@
 
 An ARC file begins with a version block whose third line names the fields of every header line; a
 record is such a line, then as many bytes as its last field declares.  The converter synthesises
-what WARC has and ARC lacks: record identifiers, ISO timestamps, types and digests.  Of records
-with equal payloads one is a response, the others revisit it.
+what WARC has and ARC lacks: record identifiers (of the file and the place in it, so no two are alike), ISO timestamps, types and digests.
+The version block becomes a warcinfo record, a block without an HTTP head a resource.  Of responses
+with equal payloads one stays a response, the others revisit it.  A header line without a length is passed over, and reading goes on at
+the next line; a block shorter than declared is marked as truncated.
 
 WARC files go out through Spark's text sink, whose line separator is the end of a WARC record, so
 they are written by its committer to any file system; bytes that are no UTF-8 pass unchanged.  They
@@ -20,6 +22,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +64,8 @@ def arc_file(name: str, version: int, records: list[tuple[str | None, str, str,
 
 
 def arc_records(data: bytes) -> Iterator[dict]:
-    """The records of an ARC file of either version, without its version block."""
-    at, names = 0, None
+    """The records of an ARC file of either version, its version block among them (``info``)."""
+    at, names, version = 0, None, 1
     while at < len(data):
         if data[at : at + 1] in b"\r\n":
             at += 1
@@ -70,18 +73,27 @@ def arc_records(data: bytes) -> Iterator[dict]:
         end = data.find(b"\n", at)
         if end < 0:
             return
-        words = data[at:end].decode("utf-8", "replace").split(" ")
+        place, words = at, data[at:end].decode("utf-8", "replace").rstrip("\r").split(" ")
         if names and len(words) > len(names):  # older writers left spaces in the URL
             words = [" ".join(words[: len(words) - len(names) + 1]), *words[len(words) - len(names) + 1 :]]
-        length, start = int(words[-1]), end + 1
+        start = at = end + 1
+        if not words[-1].isascii() or not words[-1].isdigit() or names and len(words) < len(names):
+            continue  # no header line: what follows may be one
+        length = int(words[-1])
         block = data[start : start + length]
         at = start + length
+        more = {"block": block, "offset": place, "truncated": len(block) < length}
         if names is None:
             lines = block.decode("utf-8", "replace").split("\n")
-            version = int(lines[0].split(" ")[0])
-            names = (lines[1] if len(lines) > 1 and lines[1] else FIELDS[version]).split(" ")
-            continue
-        yield dict(zip(names, words, strict=False)) | {"block": block, "version": version}
+            first = lines[0].split(" ")[0]
+            version = int(first) if first in ("1", "2") else 1
+            names = (lines[1].strip() if len(lines) > 1 and lines[1].strip() else FIELDS[version]).split(" ")
+            if words[0].startswith("filedesc:"):
+                yield {"URL": words[0], "Archive-date": words[2] if len(words) > 2 else ""} | more | {"version": version, "info": True}
+                continue
+            if len(words) < len(names):
+                continue
+        yield dict(zip(names, words, strict=False)) | more | {"version": version, "info": False}
 
 
 def _http(block: bytes) -> tuple[bytes, bytes]:
@@ -107,40 +119,52 @@ def _page_id(head: bytes) -> int | None:
     return int(value) if value and re.fullmatch(r"-?\d+", value) else None
 
 
-_CONVERTED = "record_id string, uri string, date string, page_id long, payload_bytes long, payload_digest string, head binary, payload binary"
+_CONVERTED = "kind string, record_id string, uri string, date string, page_id long, payload_bytes long, payload_digest string, fields string, truncated boolean, head binary, payload binary"
+#: Fields of an ARC header line that a WARC record carries on, by the names that they get there.
+_CARRIED = {"IP-address": "WARC-IP-Address", "Result-code": "X-ARC-Result-Code", "Checksum": "X-ARC-Checksum", "Location": "X-ARC-Location"}
 
 
 def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary())
+    kinds = (*[pa.string()] * 4, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.binary(), pa.binary())
     names = [c.split(" ")[0] for c in _CONVERTED.split(", ")]
     for batch in batches:
-        for data in batch.column("content").to_pylist():
+        files = batch.column("path").to_pylist() if "path" in batch.schema.names else [None] * batch.num_rows
+        for data, file in zip(batch.column("content").to_pylist(), files, strict=True):
             out: list[list] = [[] for _ in kinds]
+            whole = hashlib.sha1(data or b"").hexdigest()
             for r in arc_records(data or b""):
-                head, payload = _http(r["block"])
-                digest = base32_sha1(payload)
-                name = uuid.uuid5(uuid.NAMESPACE_URL, f"{r['URL']} {r['Archive-date']} {hashlib.sha1(r['block']).hexdigest()}")
-                row = (f"<urn:uuid:{name}>", r["URL"], _iso(r["Archive-date"]), _page_id(head), len(payload), digest, head, payload)
+                head, payload = (b"", r["block"]) if r["info"] else _http(r["block"])
+                kind = "warcinfo" if r["info"] else "response" if head else "resource"
+                fields = "\r\n".join(f"{name}: {r[field]}" for field, name in _CARRIED.items() if r.get(field) not in (None, "", "-", "0.0.0.0"))
+                name = uuid.uuid5(uuid.NAMESPACE_URL, f"{file or ''} {whole} {r['offset']}")
+                row = (kind, f"<urn:uuid:{name}>", r["URL"], _iso(r["Archive-date"]), _page_id(head), len(payload), base32_sha1(payload), fields, r["truncated"], head, payload)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
 
 def converted(arcs: DataFrame) -> DataFrame:
-    """``content`` (whole ARC files) to records with synthesised identifiers, timestamps and digests."""
-    return arcs.select("content").mapInArrow(_convert, _CONVERTED)
+    """``content`` (whole ARC files), with ``path`` if it is there, to records with synthesised identifiers, timestamps and digests.
+
+    A null or empty file has no records; files of the same content need paths for identifiers of their own.
+    """
+    return arcs.select(*(c for c in ("content", "path") if c in arcs.columns)).mapInArrow(_convert, _CONVERTED)
 
 
 def with_types(records: DataFrame) -> DataFrame:
-    """Adds ``record_type``, ``refers_to`` (page id) and ``refers_id``: of equal payloads the one of the largest page id is the response.
+    """Adds ``record_type``, ``refers_to`` (page id) and ``refers_id``: of responses with equal payloads the one of the largest page id stays one.
 
+    Records of other kinds keep theirs.
     Rows that repeat that page id are responses too; null page ids come last.  A payload of many records
     is a skewed join side, which is split; the payload bytes are not part of the aggregate.
     """
+    rest = records.where("kind <> 'response'").select("*", F.col("kind").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_id"))
+    records = records.where("kind = 'response'")
     last = records.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("_last"), F.max_by("record_id", F.coalesce("page_id", F.lit(-(1 << 63)))).alias("_last_id"))
     own = F.col("page_id").eqNullSafe(F.col("_last"))
     found = records.join(last, ["payload_digest", "payload_bytes"])
-    return found.select(*records.columns, F.when(own, "response").otherwise("revisit").alias("record_type"), F.when(~own, F.col("_last")).alias("refers_to"), F.when(~own, F.col("_last_id")).alias("refers_id"))
+    found = found.select(*records.columns, F.when(own, "response").otherwise("revisit").alias("record_type"), F.when(~own, F.col("_last")).alias("refers_to"), F.when(~own, F.col("_last_id")).alias("refers_id"))
+    return found.union(rest)
 
 
 def _record(r: dict) -> bytes:
@@ -154,7 +178,9 @@ def _record(r: dict) -> bytes:
         f"WARC-Target-URI: {r['uri']}",
         f"WARC-Payload-Digest: sha1:{r['payload_digest']}",
         f"WARC-Block-Digest: sha1:{base32_sha1(block)}",
-        "Content-Type: application/http;msgtype=response" if r["head"] else "Content-Type: application/octet-stream",
+        "Content-Type: " + ("application/http;msgtype=response" if r["head"] else "text/plain" if r["record_type"] == "warcinfo" else "application/octet-stream"),
+        *(r["fields"].split("\r\n") if r["fields"] else []),
+        *(["WARC-Truncated: unspecified"] if r["truncated"] else []),
     ]
     if revisit:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {r['refers_id']}", f"X-Refers-To-Page-Id: {r['refers_to']}", f"X-Payload-Length: {r['payload_bytes']}"]
@@ -175,26 +201,30 @@ def write_warc(records: DataFrame, path: str) -> None:
 
 def warc_records(chunks: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
     """Head and block of each record of a WARC file that comes in pieces."""
-    held = b""
+    held, at = bytearray(), 0
     chunks = iter(chunks)
 
     def more() -> bool:
-        nonlocal held
+        nonlocal at
         piece = next(chunks, None)
-        if piece is not None:
-            held += piece
-        return piece is not None
+        if piece is None:
+            return False
+        if at > len(held) // 2:  # what has been read goes now and then
+            del held[:at]
+            at = 0
+        held.extend(piece)
+        return True
 
     while True:
-        while (cut := held.find(RECORD_END)) < 0:
+        while (cut := held.find(RECORD_END, at)) < 0:
             if not more():
                 return
-        head = held[:cut]
-        need = cut + 4 + int(_header(head, b"Content-Length") or 0)
-        while len(held) < need + 4 and more():
+        head = bytes(held[at:cut])
+        begin, size = cut + 4 - at, int(_header(head, b"Content-Length") or 0)
+        while len(held) - at < begin + size + 4 and more():
             pass
-        yield head, held[cut + 4 : need]
-        held = held[need + 4 :]
+        yield head, bytes(held[at + begin : at + begin + size])
+        at += begin + size + 4
 
 
 def _unzipped(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
@@ -221,7 +251,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out: list[list] = [[] for _ in kinds]
             for head, block in warc_records(_unzipped(batch.column("content")[i].as_py())):
                 kind, (http, payload) = _header(head, b"WARC-Type"), _http(block)
-                if kind == "response":
+                if kind != "revisit":
                     size, digest, refers = len(payload), base32_sha1(payload), None
                 else:
                     size, digest = int(_header(head, b"X-Payload-Length") or 0), (_header(head, b"WARC-Payload-Digest") or "").rpartition(":")[2]
@@ -234,14 +264,18 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record of the WARC files under ``path``; digests of responses are taken anew from the payload."""
+    """A row for each record of the WARC files under ``path``; digests of all but revisits are taken anew from the payload."""
     files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(path)
     return files.select("content").mapInArrow(_read, _READ)
 
 
 def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages as ARC files, versions by turns."""
-    turn = 0
+    """Pages as ARC files, versions by turns; a file's name has the number of its partition."""
+    turn, part = 0, TaskContext.get().partitionId()
+
+    def file(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([arc_file(f"{part}-{turn}.arc", 1 + turn % 2, held)], pa.binary())], ["content"])
+
     for batch in batches:
         held, size = [], 0
         for start in range(0, batch.num_rows, 128):
@@ -252,10 +286,10 @@ def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held.append((url, _STAMP, "text/html", head.encode() + body))
                 size += len(body)
                 if size >= ARC_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([arc_file(f"{turn}.arc", 1 + turn % 2, held)], pa.binary())], ["content"])
+                    yield file(held)
                     held, size, turn = [], 0, turn + 1
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([arc_file(f"{turn}.arc", 1 + turn % 2, held)], pa.binary())], ["content"])
+            yield file(held)
             turn += 1
 
 
@@ -276,4 +310,4 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     """
     path = new_path(pages.sparkSession, "warc")
     convert(pages_as_arc(pages), path)
-    return read_warc(pages.sparkSession, path)
+    return read_warc(pages.sparkSession, path).where("record_type in ('response', 'revisit')")
