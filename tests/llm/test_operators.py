@@ -271,6 +271,11 @@ def test_byte_bpe(docs, none):
     for remembered in (byte_bpe.REMEMBERED, 1):
         found = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, remembered=remembered).collect()
         assert Counter((r.doc_id, tuple(r.ids), bytes(r.decoded)) for r in found) == Counter((d, tuple(library.encode_ordinary(t or "")), _bytes(t)) for d, t, *_ in ROWS)
+    assert byte_bpe._PATTERN == public_tokenizers.PATTERN
+    other = r"\w+|\W+"
+    library = tiktoken.Encoding("other", pat_str=other, mergeable_ranks=ranks, special_tokens={})
+    found = byte_bpe.encode(docs, path, other).collect()
+    assert Counter((r.doc_id, tuple(r.ids)) for r in found if r.doc_id in (0, 3, 6)) == Counter((d, tuple(library.encode_ordinary(t or ""))) for d, t, *_ in ROWS if d in (0, 3, 6))
     assert byte_bpe.encode(none, path, public_tokenizers.PATTERN).count() == 0
 
 

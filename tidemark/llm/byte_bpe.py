@@ -33,6 +33,8 @@ _LOW = 65535
 _WINDOW = 4096  # places tried together
 #: Bytes of texts that are split together.
 _TOGETHER = 1 << 22
+#: Fixed value: the pattern whose matches never reach over a space that a further character follows.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _Batches = Iterator[pa.RecordBatch]
 
 
@@ -95,7 +97,9 @@ class Merges:
         for token, rank in ranks.items():
             spelt[rank] = token.hex()
         self.pieces = F.split(F.lit(",".join(spelt)), ",")
-        self.tables = F.struct(_array([ranks[bytes([b])] for b in range(256)], "int").alias("single"), _array(moves, "int").alias("moves"), _array(entries, "long").alias("entries"))
+        single = [ranks[bytes([b])] for b in range(256)]
+        joined = [pairs.get((a, b), _NONE) << 16 | a for a in single for b in single]
+        self.tables = F.struct(_array(joined, "long").alias("first"), _array([_NONE << 16 | a for a in single], "long").alias("last"), _array(moves, "int").alias("moves"), _array(entries, "long").alias("entries"))
 
     def fold(self, t: Column, word: Column) -> Column:
         """Ids of an array of bytes; ``t`` is bound to ``tables``."""
@@ -116,22 +120,20 @@ class Merges:
         def step(s: Column, _: Column) -> Column:
             return _let(F.array_min(s), lambda least: F.when(least >= _NONE << 16, s).otherwise(_let(F.array_position(s, least).cast("int"), lambda p: merged(s, least, p))))
 
-        def folded(b: Column) -> Column:
-            start = F.transform(b, lambda x, i: paired(x, F.get(b, i + 1)))
-            return F.transform(F.aggregate(F.slice(b, 2, F.size(b)), start, step), lambda x: low(x).cast("int"))
-
-        return _let(F.transform(word, lambda x: F.get(t["single"], x).cast("long")), folded)
+        start = F.transform(word, lambda x, i: F.coalesce(F.get(t["first"], x * 256 + F.get(word, i + 1)), F.get(t["last"], x)))
+        return F.transform(F.aggregate(F.slice(word, 2, F.size(word)), start, step), lambda x: low(x).cast("int"))
 
 
 class _Words:
     """Numbers of words: a token's id, or else the next number after the ids; ``new`` holds the latter's bytes.
 
     A text is cut before each space that a further character follows; no match of the pattern reaches over such a place, so each
-    distinct chunk is split by the pattern once.  Texts in which white space stands beside a space are split whole.
+    distinct chunk is split by the pattern once.  Texts in which white space stands beside a space are split whole, as are all under another pattern.
     """
 
-    def __init__(self, ranks: dict[bytes, int], split: Callable[[str], list[str]]) -> None:
-        self.ranks, self.split, self.next = ranks, split, max(ranks.values()) + 1
+    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+        self.ranks, self.split, self.next = ranks, regex.compile(pattern).findall, max(ranks.values()) + 1
+        self.by_chunks = pattern == _PATTERN
         self.numbers: dict[str, int] = {}
         self.chunks: dict[str, list[int]] = {}
         self.new: list[bytes] = []
@@ -151,6 +153,9 @@ class _Words:
 
     def codes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words of all texts, and where each text's begin and end."""
+        if not self.by_chunks:
+            found = [np.array(self.of(self.split(t)), np.int32) for t in texts.to_pylist()]
+            return np.concatenate([np.empty(0, np.int32), *found]), np.cumsum([0, *map(len, found)])
         parts = pc.split_pattern(texts.cast(pa.large_string()), " ")
         every = parts.flatten().dictionary_encode()
         known, lists, odd = self.chunks, [], []
@@ -161,7 +166,8 @@ class _Words:
                 continue
             found = known.get(c)
             if found is None:
-                found = known[c] = self.of(self.split(" " + c))
+                words = [" " + c] if c.isascii() and c.isalpha() else self.split(" " + c)  # a run of letters is one match
+                found = known[c] = self.of(words)
             lists.append(found)
         cuts = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
         at = every.indices.to_numpy()
@@ -209,11 +215,11 @@ def _numbered(path: str, pattern: str, remembered: int) -> Callable[[_Batches],
     """Each text's words by number; ``_base`` is how many words had been folded before the row, 0 to begin anew."""
 
     def run(batches: _Batches) -> _Batches:
-        ranks, split = ranks_of(path), regex.compile(pattern).findall
-        words, base = _Words(ranks, split), 0
+        ranks = ranks_of(path)
+        words, base = _Words(ranks, pattern), 0
         for part in _slices(batches):
             if base > remembered:
-                words, base = _Words(ranks, split), 0
+                words, base = _Words(ranks, pattern), 0
             codes, cuts = words.codes(pc.fill_null(part.column("text"), ""))
             new, words.new = words.new, []
             sizes = np.cumsum([0, *map(len, new)])
