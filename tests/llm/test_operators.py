@@ -279,43 +279,51 @@ def test_byte_bpe(docs, none):
     assert byte_bpe.encode(none, path, public_tokenizers.PATTERN).count() == 0
 
 
-def test_cross_entropy_difference(spark, docs, none):
+@pytest.mark.parametrize("block", [lm_scoring.BLOCK, 40])
+def test_cross_entropy_difference(spark, docs, none, monkeypatch, block):
+    monkeypatch.setattr(lm_scoring, "BLOCK", block)
     targets = spark.createDataFrame([(6,), (7,), (None,)], "doc_id long")
-    found = lm_scoring.cross_entropy_difference(docs, targets).collect()
-
-    def model(texts):
-        grams = Counter(d[i : i + 3] for t in texts for d in [b"\0\0" + t] for i in range(len(t)))
-        by = [Counter(), Counter(), Counter()]
-        for g, n in grams.items():
-            for k in range(3):
-                by[k][g[2 - k :]] += n
-        kinds = [Counter(g[:-1] for g in c) for c in by]
-        totals = [sum((Counter({g[:-1]: n}) for g, n in c.items()), Counter()) for c in by]
-
-        def p(g):
-            out = 1 / 256
-            for k in range(3):
-                h, x = g[2 - k : 2], g[2 - k :]
-                if totals[k][h]:
-                    out = (by[k][x] + kinds[k][h] * out) / (totals[k][h] + kinds[k][h])
-            return out
+    texts = {d: _bytes(t).split() for d, t, *_ in ROWS if [r[0] for r in ROWS].count(d) == 1}
+
+    def model(some, vocabulary):
+        grams = Counter(g for t in some for g in zip([None, *t], t))
+        words, of, kinds = Counter(), Counter(), Counter(v for v, _ in grams)
+        for (v, w), n in grams.items():
+            words[w] += n
+            of[v] += n
+        total = sum(words.values())
+
+        def p(v, w):
+            out = (words[w] + len(words) / vocabulary) / (total + len(words)) if total else 1 / vocabulary
+            return (grams[v, w] + kinds[v] * out) / (of[v] + kinds[v]) if of[v] else out
 
         return p
 
-    target, background = model([_bytes(t) for d, t, *_ in ROWS if d in (6, 7)]), model([_bytes(t) for _, t, *_ in ROWS])
-    expected = {}
-    for d, t, *_ in ROWS:
-        data = b"\0\0" + _bytes(t)
-        losses = [np.log(background(data[i : i + 3])) - np.log(target(data[i : i + 3])) for i in range(len(data) - 2)] if d in (0, 6, 9) else []
-        expected[d] = np.mean(losses) if losses else 0
-    for r in found:
-        if r.doc_id in (0, 6, 9) or not r.n_tokens:
-            assert r.score == pytest.approx(expected[r.doc_id], abs=1e-5)
-    scores = {r.doc_id: r.score for r in found}
-    assert scores[6] < scores[0]
+    every = [_bytes(t).split() for _, t, *_ in ROWS]
+    size = len({w for t in every for w in t})
+    background = model(every, size)
+    for ids in ((6, 7), ()):
+        target = model([_bytes(t).split() for d, t, *_ in ROWS if d in ids], size)
+        found = lm_scoring.cross_entropy_difference(docs, targets if ids else targets.where("doc_id is null")).collect()
+        assert Counter(r.doc_id for r in found) == Counter(d for d, *_ in ROWS)
+        for r in found:
+            if r.doc_id in texts:
+                t = texts[r.doc_id]
+                assert r.n_tokens == len(t)
+                assert r.score == pytest.approx(np.mean([np.log(background(*g)) - np.log(target(*g)) for g in zip([None, *t], t)]) if t else 0, abs=1e-9)
+        if ids:
+            scores = {r.doc_id: r.score for r in found}
+            assert scores[6] < scores[0]
     assert lm_scoring.cross_entropy_difference(none, targets).count() == 0
 
 
+def test_word_hashes_are_bounded(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_CACHED", 2)
+    hashes = lm_scoring._Hashes()
+    first = lm_scoring._words(b"a b c a " + b"x" * 100, hashes)
+    assert len(hashes) <= 2 and first[0] == first[3] and len(set(first.tolist())) == 4
+
+
 @pytest.mark.parametrize("block", [neighbours.BLOCK, 100])
 def test_nearest(spark, block):
     rng = np.random.default_rng(3)

@@ -1,10 +1,15 @@
 """Cross-entropy difference of each document under matched target and background n-gram models.
 
-Both are byte trigram models with Witten-Bell interpolation down to a uniform distribution, over one vocabulary
-(the 256 bytes), the same order and the same smoothing; only the counts differ.  The background counts cover all
-documents, the target counts those that a label calls good.  Counts gathered grow with the input up to the number of
-different trigrams, which 256**3 bounds; so the table of per-token differences is broadcast with a proven bound
-(``BOUND`` entries of 8 bytes at most).  A document's score is the mean over its bytes of target loss minus background loss: low is close to the target.
+Both are word bigram models with Witten-Bell interpolation down to words and to a uniform distribution, over one
+vocabulary (every word of every document), the same order and the same smoothing; only the counts differ.  The
+background counts cover all documents, the target counts those that a label calls good.  Counts are tables of the
+cluster: they grow with the corpus, none is broadcast, and the driver reads seven totals only.
+
+Texts lie in blocks of about ``BLOCK`` bytes.  A block sends each of its different bigrams once, with its counts,
+and gets back the corpus counts of its bigrams and words; so a hot bigram is one row a block, not one an occurrence,
+and a block's tables are bounded by its bytes.  Words are runs of bytes without ASCII white space and are named by
+64-bit hashes, bigrams in answers by a 64-bit mixture of two; among 10**11 bigrams some hundreds of pairs collide.
+A document's score is the mean over its words of target loss minus background loss: low is close to the target.
 """
 
 from __future__ import annotations
@@ -13,81 +18,147 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ORDER, BOUND = 3, 256**3
+from . import scratch
+
+#: Bytes of text in a block; a longer text is a block of its own.
+BLOCK = 1 << 25
+#: The word before the first.
+START = 0
+_CACHED, _LONG = 500_000, 64
 _ROWS = 512
 
 
-def _codes(text: bytes) -> np.ndarray:
-    """A trigram code for each byte; two zero bytes stand before the text."""
-    data = np.frombuffer(b"\0\0" + text, np.uint8).astype(np.int32)
-    return data[:-2] << 16 | data[1:-1] << 8 | data[2:]
+class _Hashes(dict):
+    """64-bit signed hash of each word; keeps short words, so its memory is bounded."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = xxhash.xxh64_intdigest(word)
+        found -= found >> 63 << 64
+        if len(word) <= _LONG:
+            if len(self) >= _CACHED:
+                self.clear()
+            self[word] = found
+        return found
+
+
+def _words(text: bytes, hashes: _Hashes) -> np.ndarray:
+    found = text.split()
+    return np.fromiter(map(hashes.__getitem__, found), np.int64, len(found))
+
 
+def _before(words: np.ndarray) -> np.ndarray:
+    return np.concatenate(([START], words[:-1])) if len(words) else words
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, BOUND), np.int32)
-    whole: list[np.ndarray] = []
 
-    def out() -> pa.RecordBatch:
-        some = np.flatnonzero(counts[0])
-        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[0][some].astype(np.int64)), pa.array(counts[1][some].astype(np.int64))], ["code", "background", "target"])
+def _mixed(first: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The name of a bigram, as ``_mixed_column`` gives it."""
+    w = word.view(np.uint64)
+    return first ^ (w << np.uint64(1) | w >> np.uint64(63)).view(np.int64)
 
-    seen = 0
+
+def _mixed_column(first: str, word: str) -> Column:
+    return F.col(first).bitwiseXOR(F.shiftleft(word, 1).bitwiseOR(F.shiftrightunsigned(word, 63)))
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the rows of a partition by the bytes before them."""
+    seen, first = 0, TaskContext.get().partitionId() << 32
     for batch in batches:
-        for at in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(at, _ROWS)
-            texts, good = part.column("_text").cast(pa.binary()).to_pylist(), part.column("_target").to_pylist()
-            for k, some in ((0, texts), (1, [t for t, g in zip(texts, good, strict=True) if g])):
-                whole = [_codes(t) for t in some if t]
-                if whole:
-                    codes, n = np.unique(np.concatenate(whole), return_counts=True)
-                    counts[k][codes] += n.astype(np.int32)
-                    seen += int(n.sum()) if not k else 0
-            if seen > 1 << 30:  # before a count can overflow
-                yield out()
-                counts[:] = 0
-                seen = 0
-    yield out()
-
-
-def trigram_counts(docs: DataFrame) -> DataFrame:
-    """``(code, background, target)`` from ``_text`` and ``_target``: one row a trigram, summed over all documents."""
-    return docs.select("_text", "_target").mapInArrow(_counted, "code int, background long, target long").groupBy("code").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-def losses(code: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Loss in nats of each trigram of a shared list under the Witten-Bell model of its counts."""
-    low = np.full(256, 1 / 256)  # the zeroth order, over the shared vocabulary
-    for width, mask in ((1, 0xFF), (2, 0xFFFF), (3, 0xFFFFFF)):
-        grams, where = np.unique(code & mask, return_inverse=True)
-        n = np.bincount(where, count.astype(float))
-        history, of = np.unique(grams >> 8, return_inverse=True)
-        total = np.bincount(of, n)
-        kinds = np.bincount(of, n > 0)
-        shorter = low[grams & 0xFF] if width == 1 else low[np.searchsorted(below, grams & (mask >> 8))]
-        seen = total[of] > 0
-        p = np.where(seen, (n + kinds[of] * shorter) / np.maximum(total[of] + kinds[of], 1), shorter)
-        below, low = grams, p
-    return -np.log(low[np.searchsorted(below, code)])
-
-
-def differences(code: np.ndarray, target: np.ndarray, background: np.ndarray) -> np.ndarray:
-    return losses(code, target) - losses(code, background)
-
-
-def _scored(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, value = shared.value
-        table = np.zeros(BOUND, np.float32)
-        table[code] = value
-        for whole in batches:
-            for at in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(at, _ROWS)
-                texts = batch.column("_text").cast(pa.binary()).to_pylist()
-                found = [float(table[_codes(t)].mean(dtype=np.float64)) if t else 0.0 for t in texts]
-                yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(found)], ["doc_id", "n_tokens", "score"])
+        sizes = pc.fill_null(pc.binary_length(batch.column("_text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = seen + np.cumsum(sizes)
+        seen = int(ends[-1]) if len(ends) else seen
+        block = first + (ends - sizes) // BLOCK
+        yield pa.RecordBatch.from_arrays([pa.array(block), *batch.columns], ["_block", *batch.schema.names])
+
+
+def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the different bigrams of each block; a block read by two tasks, or apart, gives its rows twice."""
+    hashes, block = _Hashes(), None
+    held: list[tuple[np.ndarray, bool]] = []
+
+    def out() -> Iterator[pa.RecordBatch]:
+        words = np.concatenate([w for w, _ in held])
+        first = np.concatenate([_before(w) for w, _ in held])
+        good = np.repeat([g for _, g in held], [len(w) for w, _ in held])
+        order = np.lexsort((words, first))
+        words, first, good = words[order], first[order], good[order]
+        starts = np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]) | (first[1:] != first[:-1]))))
+        counts = np.diff(np.append(starts, len(words)))
+        target = np.add.reduceat(good.astype(np.int64), starts)
+        table = pa.table({"block": pa.array(np.full(len(starts), block)), "first": first[starts], "word": words[starts], "target": target, "background": counts.astype(np.int64)})
+        yield from table.to_batches(max_chunksize=1 << 16)
+
+    for whole in batches:
+        for at in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(at, _ROWS)
+            texts = batch.column("_text").cast(pa.binary()).to_pylist()
+            for text, good, of in zip(texts, batch.column("_target").to_pylist(), batch.column("_block").to_pylist(), strict=True):
+                if of != block:
+                    if held:
+                        yield from out()
+                    held, block = [], of
+                words = _words(text, hashes)
+                if len(words):
+                    held.append((words, good))
+    if held:
+        yield from out()
+
+
+def bigram_counts(blocked: DataFrame) -> DataFrame:
+    """``(block, first, word, target, background)`` of ``_block``, ``_text`` and ``_target``."""
+    return blocked.select("_block", "_text", "_target").mapInArrow(_bigrams, "block long, first long, word long, target long, background long")
+
+
+def word_counts(grams: DataFrame) -> DataFrame:
+    """What each word is in both models: occurrences, and as a first word its bigrams' occurrences and kinds.
+
+    ``word, n_target, n_background, of_target, of_background, kinds_target, kinds_background``; ``START`` has a row.
+    """
+    zero = F.lit(0).cast("long")
+    seen = [(F.col(c) > 0).cast("long").alias(f"kinds_{c}") for c in ("target", "background")]
+    names = [f"{n}_{c}" for n in ("n", "of", "kinds") for c in ("target", "background")]
+    last = grams.select("word", F.col("target").alias("n_target"), F.col("background").alias("n_background"), *(zero.alias(n) for n in names[2:]))
+    first = grams.select(F.col("first").alias("word"), *(zero.alias(n) for n in names[:2]), F.col("target").alias("of_target"), F.col("background").alias("of_background"), *seen)
+    return last.unionByName(first).groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
+
+
+def _mix(count: Column, total: Column, kinds: Column, below: Column) -> Column:
+    return F.when(total > 0, (count + kinds * below) / (total + kinds)).otherwise(below)
+
+
+def _scored(start: list[float]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Scores the texts of one block by the answers of that block."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        is_word = answers.column("facts").is_valid()
+        grams, words = answers.filter(pc.invert(is_word)), answers.filter(is_word)
+        key, at = np.unique(grams.column("key").to_numpy(), return_index=True)
+        counts = [grams.column(c).to_numpy()[at].astype(float) for c in ("target", "background")]
+        name, at = np.unique(np.append(words.column("key").to_numpy(), START), return_index=True)
+        flat = pc.list_flatten(words.column("facts")).to_numpy().reshape(-1, 6)
+        facts = np.vstack((flat, [start]))[at]
+        hashes, lengths, scores = _Hashes(), [], []
+        for chunk in texts.column("_text").cast(pa.binary()).chunks:
+            for text in chunk:
+                word = _words(text.as_py(), hashes)
+                lengths.append(len(word))
+                if not len(word):
+                    scores.append(0.0)
+                    continue
+                first = _before(word)
+                gram, w, f = np.searchsorted(key, _mixed(first, word)), facts[np.searchsorted(name, word)], facts[np.searchsorted(name, first)]
+                loss = []
+                for k in (0, 1):  # target, background: 0, 1 the word's probability, 2, 3 totals, 4, 5 kinds
+                    below, total, kinds = w[:, k], f[:, 2 + k], f[:, 4 + k]
+                    loss.append(-np.log(np.where(total > 0, (counts[k][gram] + kinds * below) / np.maximum(total + kinds, 1), below)))
+                scores.append(float((loss[0] - loss[1]).mean()))
+        return pa.table({"doc_id": texts.column("_id"), "n_tokens": pa.array(lengths, pa.int64()), "score": pa.array(scores, pa.float64())})
 
     return run
 
@@ -95,16 +166,31 @@ def _scored(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
 def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, score`` for each document; ``targets`` has the ids whose texts train the target model.
 
-    Null and empty texts have no tokens and score 0; ids may be null (never a target) or repeated; without any
-    target text both models are over the shared vocabulary alone for the target; an empty table gives no rows.
+    Null and wordless texts have no tokens and score 0; ids may be null (never a target) or repeated; without any
+    target text the target model is the uniform one over the shared vocabulary; an empty table gives no rows.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     good = targets.select(F.col(targets.columns[0]).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_good", F.lit(True))
     # texts meet ids by a merge at every size: how many targets there are has no bound
-    marked = rows.join(good.hint("merge"), "_id", "left").select("_text", F.coalesce("_good", F.lit(False)).alias("_target"))
-    counts = trigram_counts(marked).orderBy("code").toPandas()  # at most 256**3 rows
-    code = counts["code"].to_numpy(np.int64)
-    value = differences(code, counts["target"].to_numpy(), counts["background"].to_numpy()) if len(code) else np.empty(0)
-    shared = spark.sparkContext.broadcast((code, value.astype(np.float32)))
-    return rows.mapInArrow(_scored(shared), "doc_id long, n_tokens long, score double")
+    marked = rows.join(good.hint("merge"), "_id", "left").select("_id", "_text", F.coalesce("_good", F.lit(False)).alias("_target"))
+    blocked = scratch.written(marked.mapInArrow(_blocked, "_block long, _id long, _text string, _target boolean"), "lm-texts")
+    asked = scratch.written(bigram_counts(blocked), "lm-blocks")
+    grams = scratch.written(asked.groupBy("first", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "lm-bigrams")
+    words = scratch.written(word_counts(grams), "lm-words")
+    total = words.agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_target", "n_background")),
+        *(F.count_if(F.col(c) > 0).alias(k) for c, k in (("n_target", "kinds_target"), ("n_background", "kinds_background"))),
+    ).first()
+    uniform = F.lit(1 / max(total.kinds_background, 1))
+    p = [_mix(F.col(f"n_{c}"), F.lit(total[f"n_{c}"]), F.lit(total[f"kinds_{c}"]), uniform) for c in ("target", "background")]
+    facts = F.array(*p, *(F.col(f"{n}_{c}").cast("double") for n in ("of", "kinds") for c in ("target", "background")))
+    known = words.select("word", facts.alias("facts"))
+    start = known.where(F.col("word") == START).first()
+    none = F.lit(None).cast("array<double>")
+    of_grams = asked.select("block", "first", "word").join(grams.hint("merge"), ["first", "word"]).select("block", _mixed_column("first", "word").alias("key"), "target", "background", none.alias("facts"))
+    of_words = asked.select("block", "word").distinct().join(known.hint("merge"), "word").select("block", F.col("word").alias("key"), F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("background"), "facts")
+    answers = of_grams.unionByName(of_words)
+    scored = blocked.select("_block", "_id", "_text").groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(_scored(list(start.facts) if start else [0.0] * 6), "doc_id long, n_tokens long, score double")
+    out = scratch.written(scored, "lm-scores")
+    scratch.drop(blocked, asked, grams, words)
+    return out
