@@ -282,25 +282,24 @@ def test_byte_bpe(docs, none):
 @pytest.mark.parametrize("block", [lm_scoring.BLOCK, 40])
 def test_cross_entropy_difference(spark, docs, none, monkeypatch, block):
     monkeypatch.setattr(lm_scoring, "BLOCK", block)
+    monkeypatch.setattr(lm_scoring, "RANGE", 1 << 24 if block > 40 else 100)
     targets = spark.createDataFrame([(6,), (7,), (None,)], "doc_id long")
     texts = {d: _bytes(t).split() for d, t, *_ in ROWS if [r[0] for r in ROWS].count(d) == 1}
 
     def model(some, vocabulary):
-        grams = Counter(g for t in some for g in zip([None, *t], t))
-        words, of, kinds = Counter(), Counter(), Counter(v for v, _ in grams)
-        for (v, w), n in grams.items():
+        grams = Counter(g for t in some if t for g in zip([None, *t], [*t, None]))
+        words = Counter()
+        for (_, w), n in grams.items():
             words[w] += n
-            of[v] += n
-        total = sum(words.values())
 
         def p(v, w):
-            out = (words[w] + len(words) / vocabulary) / (total + len(words)) if total else 1 / vocabulary
-            return (grams[v, w] + kinds[v] * out) / (of[v] + kinds[v]) if of[v] else out
+            below = (words[w] + lm_scoring.ADDED) / (sum(words.values()) + lm_scoring.ADDED * vocabulary)
+            return (grams[v, w] + lm_scoring.PRIOR * below) / (words[v] + lm_scoring.PRIOR)
 
         return p
 
     every = [_bytes(t).split() for _, t, *_ in ROWS]
-    size = len({w for t in every for w in t})
+    size = len({w for t in every for w in t}) + 1
     background = model(every, size)
     for ids in ((6, 7), ()):
         target = model([_bytes(t).split() for d, t, *_ in ROWS if d in ids], size)
@@ -310,7 +309,7 @@ def test_cross_entropy_difference(spark, docs, none, monkeypatch, block):
             if r.doc_id in texts:
                 t = texts[r.doc_id]
                 assert r.n_tokens == len(t)
-                assert r.score == pytest.approx(np.mean([np.log(background(*g)) - np.log(target(*g)) for g in zip([None, *t], t)]) if t else 0, abs=1e-9)
+                assert r.score == pytest.approx(np.mean([np.log(background(*g)) - np.log(target(*g)) for g in zip([None, *t], [*t, None])]) if t else 0, abs=1e-9)
         if ids:
             scores = {r.doc_id: r.score for r in found}
             assert scores[6] < scores[0]
@@ -320,8 +319,8 @@ def test_cross_entropy_difference(spark, docs, none, monkeypatch, block):
 def test_word_hashes_are_bounded(monkeypatch):
     monkeypatch.setattr(lm_scoring, "_CACHED", 2)
     hashes = lm_scoring._Hashes()
-    first = lm_scoring._words(b"a b c a " + b"x" * 100, hashes)
-    assert len(hashes) <= 2 and first[0] == first[3] and len(set(first.tolist())) == 4
+    first = lm_scoring._tokens(b"a b c a " + b"x" * 100, hashes)
+    assert len(hashes) <= 2 and first[0] == first[3] and len(set(first.tolist())) == 5
 
 
 @pytest.mark.parametrize("block", [neighbours.BLOCK, 100])

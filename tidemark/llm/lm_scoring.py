@@ -1,15 +1,17 @@
 """Cross-entropy difference of each document under matched target and background n-gram models.
 
-Both are word bigram models with Witten-Bell interpolation down to words and to a uniform distribution, over one
-vocabulary (every word of every document), the same order and the same smoothing; only the counts differ.  The
-background counts cover all documents, the target counts those that a label calls good.  Counts are tables of the
-cluster: they grow with the corpus, none is broadcast, and the driver reads seven totals only.
-
-Texts lie in blocks of about ``BLOCK`` bytes.  A block sends each of its different bigrams once, with its counts,
-and gets back the corpus counts of its bigrams and words; so a hot bigram is one row a block, not one an occurrence,
-and a block's tables are bounded by its bytes.  Words are runs of bytes without ASCII white space and are named by
-64-bit hashes, bigrams in answers by a 64-bit mixture of two; among 10**11 bigrams some hundreds of pairs collide.
-A document's score is the mean over its words of target loss minus background loss: low is close to the target.
+Both are word bigram models: a bigram's count is smoothed by ``PRIOR`` occurrences dealt as the word model deals
+them, a word's by ``ADDED`` a word of the vocabulary.  Vocabulary (every word of every document, and the text's end),
+order and smoothing are the same; only the counts differ.  The background counts cover all documents, the target
+counts those that a label calls good.  Counts are spread over the cluster and grow with the corpus: nothing is
+broadcast, and the driver reads three totals.
+
+Texts lie in blocks of about ``BLOCK`` bytes.  A block asks once for each of its different words and bigrams: it sends
+sorted 64-bit names with its own counts, cut at fixed names into one row a range, and gets back the corpus counts in
+the same order.  So a hot word is one name a block, not one an occurrence; the tables of a block are bounded by its
+bytes, and ranges are as many as keep the names of one bounded.  Words are runs of bytes without ASCII white space;
+words and bigrams with equal names (hashes of 63 bits) count as one, some hundreds of pairs among 10**11 names.
+A document's score is the mean over its words and its end of target loss minus background loss: low is close to the target.
 """
 
 from __future__ import annotations
@@ -21,25 +23,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
 
-#: Bytes of text in a block; a longer text is a block of its own.
-BLOCK = 1 << 25
-#: The word before the first.
-START = 0
+#: Bytes of text in a block (a longer text is a block of its own), and bytes of text whose names make a range on average.
+BLOCK, RANGE = 1 << 24, 1 << 24
+#: Smoothing: occurrences of a word before any is counted, and of each history as its words are.
+ADDED, PRIOR = 0.1, 5.0
+#: The end of a text, which is also what stands before its first word.
+EDGE = 1
 _CACHED, _LONG = 500_000, 64
-_ROWS = 512
 
 
 class _Hashes(dict):
-    """64-bit signed hash of each word; keeps short words, so its memory is bounded."""
+    """An odd 64-bit name of each word; keeps short words, so its memory is bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        found = xxhash.xxh64_intdigest(word)
-        found -= found >> 63 << 64
+        found = xxhash.xxh64_intdigest(word) | 1
         if len(word) <= _LONG:
             if len(self) >= _CACHED:
                 self.clear()
@@ -47,23 +49,17 @@ class _Hashes(dict):
         return found
 
 
-def _words(text: bytes, hashes: _Hashes) -> np.ndarray:
+def _tokens(text: bytes, hashes: _Hashes) -> np.ndarray:
+    """The names of the text's words and of its end; nothing for a text without words."""
     found = text.split()
-    return np.fromiter(map(hashes.__getitem__, found), np.int64, len(found))
+    out = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
+    return np.append(out, np.uint64(EDGE)) if found else out
 
 
-def _before(words: np.ndarray) -> np.ndarray:
-    return np.concatenate(([START], words[:-1])) if len(words) else words
-
-
-def _mixed(first: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The name of a bigram, as ``_mixed_column`` gives it."""
-    w = word.view(np.uint64)
-    return first ^ (w << np.uint64(1) | w >> np.uint64(63)).view(np.int64)
-
-
-def _mixed_column(first: str, word: str) -> Column:
-    return F.col(first).bitwiseXOR(F.shiftleft(word, 1).bitwiseOR(F.shiftrightunsigned(word, 63)))
+def _bigrams(tokens: np.ndarray) -> np.ndarray:
+    """An even name for each token with the one before it."""
+    before = np.roll(tokens, 1)
+    return ((before << np.uint64(23) | before >> np.uint64(41)) ^ tokens) & ~np.uint64(1)
 
 
 def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,87 +73,73 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(block), *batch.columns], ["_block", *batch.schema.names])
 
 
-def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the different bigrams of each block; a block read by two tasks, or apart, gives its rows twice."""
-    hashes, block = _Hashes(), None
-    held: list[tuple[np.ndarray, bool]] = []
-
-    def out() -> Iterator[pa.RecordBatch]:
-        words = np.concatenate([w for w, _ in held])
-        first = np.concatenate([_before(w) for w, _ in held])
-        good = np.repeat([g for _, g in held], [len(w) for w, _ in held])
-        order = np.lexsort((words, first))
-        words, first, good = words[order], first[order], good[order]
-        starts = np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]) | (first[1:] != first[:-1]))))
-        counts = np.diff(np.append(starts, len(words)))
-        target = np.add.reduceat(good.astype(np.int64), starts)
-        table = pa.table({"block": pa.array(np.full(len(starts), block)), "first": first[starts], "word": words[starts], "target": target, "background": counts.astype(np.int64)})
-        yield from table.to_batches(max_chunksize=1 << 16)
-
-    for whole in batches:
-        for at in range(0, whole.num_rows, _ROWS):
-            batch = whole.slice(at, _ROWS)
-            texts = batch.column("_text").cast(pa.binary()).to_pylist()
-            for text, good, of in zip(texts, batch.column("_target").to_pylist(), batch.column("_block").to_pylist(), strict=True):
-                if of != block:
-                    if held:
-                        yield from out()
-                    held, block = [], of
-                words = _words(text, hashes)
-                if len(words):
-                    held.append((words, good))
-    if held:
-        yield from out()
-
-
-def bigram_counts(blocked: DataFrame) -> DataFrame:
-    """``(block, first, word, target, background)`` of ``_block``, ``_text`` and ``_target``."""
-    return blocked.select("_block", "_text", "_target").mapInArrow(_bigrams, "block long, first long, word long, target long, background long")
-
-
-def word_counts(grams: DataFrame) -> DataFrame:
-    """What each word is in both models: occurrences, and as a first word its bigrams' occurrences and kinds.
-
-    ``word, n_target, n_background, of_target, of_background, kinds_target, kinds_background``; ``START`` has a row.
-    """
-    zero = F.lit(0).cast("long")
-    seen = [(F.col(c) > 0).cast("long").alias(f"kinds_{c}") for c in ("target", "background")]
-    names = [f"{n}_{c}" for n in ("n", "of", "kinds") for c in ("target", "background")]
-    last = grams.select("word", F.col("target").alias("n_target"), F.col("background").alias("n_background"), *(zero.alias(n) for n in names[2:]))
-    first = grams.select(F.col("first").alias("word"), *(zero.alias(n) for n in names[:2]), F.col("target").alias("of_target"), F.col("background").alias("of_background"), *seen)
-    return last.unionByName(first).groupBy("word").agg(*(F.sum(n).alias(n) for n in names))
+def _names(texts: pa.ChunkedArray, hashes: _Hashes) -> list[np.ndarray]:
+    return [_tokens(text.as_py(), hashes) for chunk in texts.cast(pa.binary()).chunks for text in chunk]
+
+
+def _counted(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every = np.concatenate([np.empty(0, np.uint64), *tokens, *(_bigrams(t) for t in tokens)])
+    return np.unique(every, return_counts=True)
+
+
+def _asked(n_ranges: int) -> Callable[[pa.Table], pa.Table]:
+    """The different names of a block and their counts, one row for each range that has any."""
+    edges = np.array([(i << 64) // n_ranges for i in range(n_ranges)], np.uint64)
+
+    def run(texts: pa.Table) -> pa.Table:
+        tokens = _names(texts.column("_text"), _Hashes())
+        names, background = _counted(tokens)
+        some, n = _counted([t for t, good in zip(tokens, texts.column("_target").to_pylist(), strict=True) if good])
+        target = np.zeros(len(names), np.uint32)
+        target[np.searchsorted(names, some)] = n
+        counts = np.stack((target, background.astype(np.uint32)), 1)
+        cuts = np.append(np.searchsorted(names, edges), len(names))
+        used = np.flatnonzero(np.diff(cuts))
+        slices = [slice(cuts[i], cuts[i + 1]) for i in used]
+        block = texts.column("_block")[0].as_py() if len(texts) else 0
+        return pa.table({
+            "block": pa.array(np.full(len(used), block, np.int64)), "range": pa.array(used.astype(np.int64)),
+            "names": pa.array([names[s].tobytes() for s in slices], pa.binary()), "counts": pa.array([counts[s].tobytes() for s in slices], pa.binary()),
+        })
+
+    return run
 
 
-def _mix(count: Column, total: Column, kinds: Column, below: Column) -> Column:
-    return F.when(total > 0, (count + kinds * below) / (total + kinds)).otherwise(below)
+def _answered(asked: pa.Table) -> pa.Table:
+    """For each row of one range the corpus counts of its names; beside them the range's words and their occurrences."""
+    held = [np.frombuffer(v.as_py(), np.uint64) for chunk in asked.column("names").chunks for v in chunk]
+    counts = np.concatenate([np.frombuffer(v.as_py(), np.uint32) for chunk in asked.column("counts").chunks for v in chunk]).reshape(-1, 2)
+    names, where = np.unique(np.concatenate(held), return_inverse=True)
+    sums = np.stack([np.bincount(where, counts[:, k]) for k in (0, 1)], 1).astype(np.uint64)
+    words = names & np.uint64(1) == 1
+    total = [int(words.sum()), *(int(n) for n in sums[words].sum(0))]
+    ends = np.cumsum([len(h) for h in held])
+    replies = [sums[where[e - len(h) : e]].tobytes() for h, e in zip(held, ends, strict=True)]
+    same = {n: pa.array(np.full(len(held), v, np.int64)) for n, v in zip(("words", "target", "background"), total, strict=True)}
+    return pa.table({"block": asked.column("block"), "range": asked.column("range"), "sums": pa.array(replies, pa.binary()), **same})
 
 
-def _scored(start: list[float]) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Scores the texts of one block by the answers of that block."""
+def _scored(size: int, totals: tuple[int, int]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Scores the texts of one block by the answers that it got."""
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        is_word = answers.column("facts").is_valid()
-        grams, words = answers.filter(pc.invert(is_word)), answers.filter(is_word)
-        key, at = np.unique(grams.column("key").to_numpy(), return_index=True)
-        counts = [grams.column(c).to_numpy()[at].astype(float) for c in ("target", "background")]
-        name, at = np.unique(np.append(words.column("key").to_numpy(), START), return_index=True)
-        flat = pc.list_flatten(words.column("facts")).to_numpy().reshape(-1, 6)
-        facts = np.vstack((flat, [start]))[at]
-        hashes, lengths, scores = _Hashes(), [], []
-        for chunk in texts.column("_text").cast(pa.binary()).chunks:
-            for text in chunk:
-                word = _words(text.as_py(), hashes)
-                lengths.append(len(word))
-                if not len(word):
-                    scores.append(0.0)
-                    continue
-                first = _before(word)
-                gram, w, f = np.searchsorted(key, _mixed(first, word)), facts[np.searchsorted(name, word)], facts[np.searchsorted(name, first)]
-                loss = []
-                for k in (0, 1):  # target, background: 0, 1 the word's probability, 2, 3 totals, 4, 5 kinds
-                    below, total, kinds = w[:, k], f[:, 2 + k], f[:, 4 + k]
-                    loss.append(-np.log(np.where(total > 0, (counts[k][gram] + kinds * below) / np.maximum(total + kinds, 1), below)))
-                scores.append(float((loss[0] - loss[1]).mean()))
+        tokens = _names(texts.column("_text"), _Hashes())
+        names, _ = _counted(tokens)
+        replies = answers.sort_by("range").column("sums")
+        sums = np.frombuffer(b"".join(v.as_py() for chunk in replies.chunks for v in chunk), np.uint64).reshape(-1, 2).astype(float)
+        if len(sums) != len(names):
+            raise ValueError(f"{len(sums)} answers for {len(names)} names")
+        scores = []
+        for t in tokens:
+            if not len(t):
+                scores.append(0.0)
+                continue
+            word, pair = sums[np.searchsorted(names, t)], sums[np.searchsorted(names, _bigrams(t))]
+            history = np.roll(word, 1, axis=0)
+            below = (word + ADDED) / (np.array(totals) + ADDED * size)
+            p = (pair + PRIOR * below) / (history + PRIOR)
+            scores.append(float(np.log(p[:, 1] / p[:, 0]).mean()))
+        lengths = [max(len(t) - 1, 0) for t in tokens]
         return pa.table({"doc_id": texts.column("_id"), "n_tokens": pa.array(lengths, pa.int64()), "score": pa.array(scores, pa.float64())})
 
     return run
@@ -167,30 +149,20 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, id_col: str =
     """``doc_id, n_tokens, score`` for each document; ``targets`` has the ids whose texts train the target model.
 
     Null and wordless texts have no tokens and score 0; ids may be null (never a target) or repeated; without any
-    target text the target model is the uniform one over the shared vocabulary; an empty table gives no rows.
+    target text the target model is uniform over the shared vocabulary; an empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     good = targets.select(F.col(targets.columns[0]).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_good", F.lit(True))
     # texts meet ids by a merge at every size: how many targets there are has no bound
     marked = rows.join(good.hint("merge"), "_id", "left").select("_id", "_text", F.coalesce("_good", F.lit(False)).alias("_target"))
     blocked = scratch.written(marked.mapInArrow(_blocked, "_block long, _id long, _text string, _target boolean"), "lm-texts")
-    asked = scratch.written(bigram_counts(blocked), "lm-blocks")
-    grams = scratch.written(asked.groupBy("first", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "lm-bigrams")
-    words = scratch.written(word_counts(grams), "lm-words")
-    total = words.agg(
-        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_target", "n_background")),
-        *(F.count_if(F.col(c) > 0).alias(k) for c, k in (("n_target", "kinds_target"), ("n_background", "kinds_background"))),
-    ).first()
-    uniform = F.lit(1 / max(total.kinds_background, 1))
-    p = [_mix(F.col(f"n_{c}"), F.lit(total[f"n_{c}"]), F.lit(total[f"kinds_{c}"]), uniform) for c in ("target", "background")]
-    facts = F.array(*p, *(F.col(f"{n}_{c}").cast("double") for n in ("of", "kinds") for c in ("target", "background")))
-    known = words.select("word", facts.alias("facts"))
-    start = known.where(F.col("word") == START).first()
-    none = F.lit(None).cast("array<double>")
-    of_grams = asked.select("block", "first", "word").join(grams.hint("merge"), ["first", "word"]).select("block", _mixed_column("first", "word").alias("key"), "target", "background", none.alias("facts"))
-    of_words = asked.select("block", "word").distinct().join(known.hint("merge"), "word").select("block", F.col("word").alias("key"), F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("background"), "facts")
-    answers = of_grams.unionByName(of_words)
-    scored = blocked.select("_block", "_id", "_text").groupBy("_block").cogroup(answers.groupBy("block")).applyInArrow(_scored(list(start.facts) if start else [0.0] * 6), "doc_id long, n_tokens long, score double")
+    size = blocked.agg(F.coalesce(F.sum(F.octet_length("_text").cast("long")), F.lit(0))).first()[0]
+    asked = blocked.select("_block", "_text", "_target").groupBy("_block").applyInArrow(_asked(1 + size // RANGE), "block long, `range` long, names binary, counts binary")
+    answers = scratch.written(asked.groupBy("range").applyInArrow(_answered, "block long, `range` long, sums binary, words long, target long, background long"), "lm-answers")
+    names = ("words", "target", "background")
+    total = answers.select("range", *names).distinct().agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names)).first()
+    replies = answers.select("block", "range", "sums")
+    scored = blocked.select("_block", "_id", "_text").groupBy("_block").cogroup(replies.groupBy("block")).applyInArrow(_scored(total.words, (total.target, total.background)), "doc_id long, n_tokens long, score double")
     out = scratch.written(scored, "lm-scores")
-    scratch.drop(blocked, asked, grams, words)
+    scratch.drop(blocked, answers)
     return out
