@@ -209,11 +209,11 @@ def last_periods_dense_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.withColumn("age", F.dense_rank().over(Window.partitionBy("event_type").orderBy(F.desc("day"))).cast("long")).where("age <= 16")
 
 
-@query("""with e as (select *, strftime(ts, '%Y-%m-%d') as day from events), spec as (select distinct user_id, event_type from e where user_id % 3 = 0),
+@query("""with e as (select *, strftime(ts, '%Y-%m-%d') as day from events), spec as (select distinct user_id, event_type from e),
 m as (select user_id, event_type, max(day) as day from e join spec using (user_id, event_type) group by 1, 2)
 select user_id, event_type, day, max(value) as value from e join m using (user_id, event_type, day) group by 1, 2, 3 having count(distinct round(value, 6)) = 1""")
 def headline_single_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where("user_id % 3 = 0").select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
     now = events.withColumn("_last", F.max("day").over(Window.partitionBy("user_id", "event_type"))).where("day = _last")
     found = now.groupBy("user_id", "event_type", "day").agg(F.max("value").alias("value"), F.count_distinct(F.round("value", 6)).alias("n"))
     return found.where("n = 1").drop("n")
@@ -404,9 +404,9 @@ def catalog_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.select("conv_id", F.inline("turns"))
 
 
-@query("select conv_id, max(turn) + 1 as claimed, count(*) as retrieved from conversations where turn % 4 < 3 group by 1 having max(turn) + 1 > count(*)")
+@query("select conv_id, max(turn) + 1 as claimed, count(*) as retrieved from conversations group by 1 having max(turn) + 1 > count(*)")
 def listing_shortfall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "conversations").where("turn % 4 < 3").groupBy("conv_id").agg((F.max("turn") + 1).alias("claimed"), F.count("*").alias("retrieved"))
+    found = table(spark, sf_dir, "conversations").groupBy("conv_id").agg((F.max("turn") + 1).alias("claimed"), F.count("*").alias("retrieved"))
     return found.where("claimed > retrieved")
 
 
