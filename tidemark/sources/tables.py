@@ -24,6 +24,17 @@ def strings_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
+def json_file(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Whole JSON documents, one or an array of them a file, by an explicit schema; absent fields are null."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
+def registered(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    """Temporary views by the tables' names, for SQL of the user's own."""
+    for name in names:
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
 def optional(spark: SparkSession, path: str, schema: str, reader: str = "parquet") -> DataFrame:
     """A table, or an empty one of the schema where the path does not exist."""
     jvm = spark.sparkContext._jvm
