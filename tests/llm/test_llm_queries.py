@@ -12,7 +12,7 @@ ROWS = {"op3_warc": "pages", "op8_html": "pages"}
 KEYS = {"op3_warc": "page_id", "op8_html": "page_id"}
 
 
-@pytest.mark.parametrize("name", [n for n in Q.queries() if n not in ("op1_packing", "op6_neighbours")])
+@pytest.mark.parametrize("name", [n for n in Q.queries() if n not in ("op1_packing", "op6_neighbours", "op11_hard_negatives", "op12_conversations")])
 def test_a_row_for_each_row(spark, name):
     table, key = ROWS.get(name, "documents"), KEYS.get(name, "doc_id")
     found = Q.queries()[name](spark, DATA).toPandas()
@@ -25,6 +25,14 @@ def test_a_row_for_each_row(spark, name):
         assert rows(found) == rows(expected)
 
 
+@pytest.mark.parametrize("name, table", [("op11_hard_negatives", "embeddings"), ("op12_conversations", "conversations")])
+def test_rows_equal_sql(spark, name, table):
+    found, con = Q.queries()[name](spark, DATA).toPandas(), duckdb.connect()
+    con.execute(f"create view {table} as select * from '{DATA}/{table}.parquet'")
+    expected = con.execute(Q.oracle_sql()[name]).df()
+    assert len(found) and sorted(map(repr, found[sorted(found.columns)].astype(str).itertuples(index=False))) == sorted(map(repr, expected[sorted(expected.columns)].astype(str).itertuples(index=False)))
+
+
 def test_neighbours_are_found(spark):
     found = Q.op6_neighbours(spark, DATA).toPandas()
     table = spark.read.parquet(f"{DATA}/embeddings.parquet").toPandas()

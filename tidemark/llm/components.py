@@ -24,7 +24,9 @@ def components(edges: DataFrame) -> DataFrame:
         # both tables hold different rows each: of the same size they are equal if none is missing
         if after.count() == state.count() and not after.join(state, ["a", "b"], "left_anti").limit(1).count():
             drop(state)
-            return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            found = after.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            found.scratch_path = after.scratch_path  # the caller may drop it
+            return found
         drop(state)
         state = after
 

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, lm_scoring, neighbours, packing, quality, sharding, simhash, suffixes, warc
+from . import byte_bpe, conversations, hard_negatives, html_text, jaccard_join, lm_scoring, neighbours, packing, quality, sharding, simhash, suffixes, warc
+from .oracles import CONVERSATIONS, HARD_NEGATIVES, JACCARD
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,12 +63,28 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("label", moved), "id % 50 = 0")
+    return found.withColumn("rank", F.col("rank").cast("int"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversations.repaired_conversations(turns, gone="gone")
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(_documents(spark, sf_dir))
+    return found.select(F.col("_id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_quality, op3_warc, op4_sharding, op5_lm_scoring, op6_neighbours, op7_suffixes, op8_html, op9_simhash, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_packing, op2_quality, op3_warc, op4_sharding, op5_lm_scoring, op6_neighbours, op7_suffixes, op8_html, op9_simhash, op10_byte_bpe, op11_hard_negatives, op12_conversations, op13_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": _WARC_SQL}
+    return {"op3_warc": _WARC_SQL, "op11_hard_negatives": HARD_NEGATIVES, "op12_conversations": CONVERSATIONS, "op13_jaccard_join": JACCARD}
 
 
 #: Base32 of a SHA-1 from its hex digits: five of them are four characters.
