@@ -263,20 +263,37 @@ def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("_node"), pa.array([x.tobytes() for x in sets], pa.binary())], ["_node", "_set"])
 
 
+def _with_sets(sets: DataFrame | None, pairs: DataFrame, named: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(_node, _set)`` of all nodes of ``pairs`` and of those in ``sets``; only sets that some pair needs are made."""
+    nodes = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
+    if sets is not None:
+        nodes = written(nodes.join(sets, "_node", "left_anti"), "nodes")
+        if not nodes.limit(1).count():
+            drop(nodes)
+            return sets
+    wanted = named.join(nodes, "_node", "left_semi")
+    made = written(wanted.join(texts, "_t").dropDuplicates(["_node"]).mapInArrow(_set_bytes, "_node binary, _set binary"), "sets")
+    if sets is None:
+        return made
+    both = written(sets.union(made), "sets")
+    drop(sets, made, nodes)
+    return both
+
+
 def linked_sets(rows: DataFrame, texts: DataFrame, split: int = SPLIT) -> DataFrame:
     """``(node, root)`` for each distinct set that links with another; ``rows`` are sketches, ``texts(_t, _text)`` the texts by digest."""
     found, named = _members(rows)
     met = written(found, "met")
-    wanted = named.join(met.select("_node").distinct(), "_node", "left_semi")
-    sets = written(wanted.join(texts, "_t").dropDuplicates(["_node"]).mapInArrow(_set_bytes, "_node binary, _set binary"), "sets")
     asked = written(_starred(met).distinct(), "pairs")
+    sets = _with_sets(None, asked, named, texts)
     links = written(_links(asked, sets), "links")
-    roots, quota = components(links), _QUOTA
+    roots, quota, least = components(links), _QUOTA, 3  # of two members all pairs have been asked
     while True:
         rooted = met.join(roots.withColumnRenamed("node", "_node"), "_node", "left").withColumn("_root", F.coalesce("root", "_node")).drop("root")
-        apart = rooted.groupBy("_key").agg(F.min("_root").alias("_x"), F.max("_root").alias("_y")).where("_x < _y").select("_key")
+        apart = rooted.groupBy("_key").agg(F.min("_root").alias("_x"), F.max("_root").alias("_y"), F.count("*").alias("_m")).where((F.col("_x") < F.col("_y")) & (F.col("_m") >= least)).select("_key")
         pairs = written(_asked(rooted.join(apart, "_key"), quota, split), "asked")
         new = written(pairs.select("a", "b").distinct().join(asked, ["a", "b"], "left_anti"), "pairs")
+        sets = _with_sets(sets, new, named, texts)
         more_links = written(_links(new, sets), "links")
         open_keys = pairs.where("more").select("_key").distinct()
         done = not open_keys.limit(1).count()
