@@ -29,6 +29,8 @@ WIDTH = 3
 SHARE = (9, 10)
 #: Counters that order the shingles, and the parts in which tasks send them.
 BUCKETS, SLICES = 1 << 20, 256
+#: Bits of the filter that keeps unwanted texts out of an exchange.
+FILTER = 1 << 26
 #: Members of a shingle beyond which its pairs are dealt over tasks by blocks.
 SPLIT = 20_000
 #: Bits of a parity bitmap; pairs that a component may ask for in its first round, and their growth by round.
@@ -263,6 +265,16 @@ def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("_node"), pa.array([x.tobytes() for x in sets], pa.binary())], ["_node", "_set"])
 
 
+def _sifted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Without most of the texts that are not wanted, before they are exchanged: by one bit of ``FILTER`` for each digest."""
+    place = F.pmod(F.xxhash64("_t"), F.lit(FILTER))
+    part, bit = F.floor(place / 32768), F.pmod(place, F.lit(32768))
+    bits = wanted.groupBy(part.alias("_part")).agg(F.bitmap_construct_agg(bit).alias("_bitmap"))
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = texts.withColumn("_part", part).withColumn("_bit", bit).join(F.broadcast(bits), "_part")  # 8 MB at most
+    return found.where(F.floor(byte / F.pow(F.lit(2), F.col("_bit") % 8)) % 2 == 1).select("_t", "_text")
+
+
 def _with_sets(sets: DataFrame | None, pairs: DataFrame, named: DataFrame, texts: DataFrame) -> DataFrame:
     """``(_node, _set)`` of all nodes of ``pairs`` and of those in ``sets``; only sets that some pair needs are made."""
     nodes = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
@@ -271,8 +283,9 @@ def _with_sets(sets: DataFrame | None, pairs: DataFrame, named: DataFrame, texts
         if not nodes.limit(1).count():
             drop(nodes)
             return sets
-    wanted = named.join(nodes, "_node", "left_semi")
-    made = written(wanted.join(texts, "_t").dropDuplicates(["_node"]).mapInArrow(_set_bytes, "_node binary, _set binary"), "sets")
+    wanted = written(named.join(nodes, "_node", "left_semi"), "wanted")
+    made = written(wanted.join(_sifted(texts, wanted), "_t").dropDuplicates(["_node"]).mapInArrow(_set_bytes, "_node binary, _set binary"), "sets")
+    drop(wanted)
     if sets is None:
         return made
     both = written(sets.union(made), "sets")
