@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from tidemark.operators import warehouse as W
+from tidemark.plans import sheets  # noqa: F401  adds its queries
 from tidemark.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
