@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -220,6 +221,21 @@ def test_warc_round_trip(spark):
     assert warc.archived_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_archives_carry_uri_and_date(spark):
+    pages = [(i, f"http://example.org/{i}?a=b c", f"<p>Tel\nnumber 5000\nx {i % 3}" if i % 2 else "one\ntwo 7\nfiledesc://x 1") for i in range(300)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    records = warc.converted(warc.pages_as_arc(df)).collect()
+    assert {r.page_id: (r.uri, r.date) for r in records if r.kind == "response"} == {i: (warc._field(u), warc._iso(warc._STAMP)) for i, u, _ in pages}
+    assert sum(r.kind == "warcinfo" for r in records) == warc.pages_as_arc(df).count()
+
+
+def test_no_bytes_end_a_conversion(spark):
+    rng = random.Random(4)
+    lines = [b"a b 3", b"filedesc://x 0.0.0.0 2020 text/plain 9", b"1 0 x", b"URL Archive-date 2", b"", b"http://x 1 2 3 4", b"\xff 12", b"Tel", b"number 5000"]
+    some = [b"\n".join(rng.choice(lines) for _ in range(rng.randrange(9))) for _ in range(400)] + [bytes(rng.randrange(256) for _ in range(60)) for _ in range(100)]
+    warc.converted(spark.createDataFrame([(bytearray(x),) for x in some], "content binary")).collect()
+
+
 @pytest.mark.parametrize("version", [1, 2])
 def test_arc_records(version):
     blocks = [("http://a/ b", "20200102030405", "text/html", b"one\ntwo"), (None, "2020", "text/plain", b"")]
@@ -359,6 +375,20 @@ def test_main_text():
     assert html_text.main_text("<article><p>one<p>two</article>") == "one\ntwo"
 
 
+@pytest.mark.parametrize("shape", ["article", "main", "divs", "heading"])
+def test_no_block_of_an_article_is_lost(shape):
+    long = ["word " * 60 + f"a, b, {i}." for i in range(3)]
+    parts = [f"<section><p>{x}</p></section>" for x in long]
+    few = "<section><h2>Head</h2><p>Short one.</p></section>"
+    lists = "<div><ul><li>x one</li><li>y two</li></ul></div><div><table><tr><td>1</td><td>2</td></tr></table></div>"
+    menu = '<ul class="menu"><li><a href="/">Home</a></li></ul><div class="comments"><p>I, for one, agree.</p></div>'
+    spelt = {"article": f"<article>{parts[0]}{few}{parts[1]}{lists}</article>", "main": f"<main>{lists}{few}{parts[2]}</main>", "divs": f"<div><p>{long[0]}</p></div>{lists}", "heading": f"<div><h1>Title</h1></div><div><p>{long[0]}</p><p>{long[1]}</p></div>"}
+    table, head = ["x one", "y two", "1", "2"], ["Head", "Short one."]
+    expected = {"article": [long[0], *head, long[1], *table], "main": [*table, *head, long[2]], "divs": [long[0], *table], "heading": ["Title", long[0], long[1]]}
+    found = html_text.main_text(f"<html><body>{menu}{spelt[shape]}{menu}<footer>Foot</footer></body></html>")
+    assert found.split("\n") == expected[shape]
+
+
 def test_extract(spark):
     rows = [(1, "u", "<article><p>one &lt; two</p></article>"), (1, "u", "<article><p>one &lt; two</p></article>"), (None, None, None)]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")

@@ -213,6 +213,36 @@ def _value(node: Node) -> float:
     return node.score * (1 - node.linked / node.size if node.size else 1)
 
 
+def _article(node: Node) -> Node:
+    """The nearest article, or else the main element, that an element stands in; the element itself where there is none.
+
+    All that such an element holds outside noise is the text: short sections, lists and tables as well.
+    """
+    main, at = None, node
+    while at is not None:
+        if at.name == "article":
+            return at
+        if main is None and (at.main or at.name == "main"):
+            main = at
+        at = at.parent
+    return main or node
+
+
+def _only_headings(node: Node) -> bool:
+    """Whether all text of an element stands in headings."""
+    todo, found = [node], False
+    while todo:
+        for item in todo.pop().items:
+            if isinstance(item, str):
+                if item.strip():
+                    return False
+            elif item.name in HEADINGS:
+                found = True
+            elif not item.noise:
+                todo.append(item)
+    return found
+
+
 def _kept(root: Node) -> list[Node]:
     """The best container and the siblings that go with it, in page order."""
     nodes = _walk(root)
@@ -223,6 +253,7 @@ def _kept(root: Node) -> list[Node]:
     best = max(containers, key=_value)
     while best.parent and best.name in ("tr", "tbody", "table", "ul", "ol", "dl", "figure", "b", "i", "em", "strong", "span", "a", "font"):
         best = best.parent
+    best = _article(best)
     if best.parent is None:
         return [best]
     least = max(10.0, 0.2 * _value(best))
@@ -233,7 +264,8 @@ def _kept(root: Node) -> list[Node]:
         elif isinstance(item, Node) and not item.noise and item.size:
             dense = item.linked / item.size
             text = item.name in PARAGRAPHS and (item.size > 80 and dense < 0.25 or item.size and dense == 0 and item.name == "p")
-            if item.name in HEADINGS and dense < 0.5 or text or _value(item) >= least:
+            listed = item.name in ("ul", "ol", "dl", "table", "figure") or any(isinstance(c, Node) and c.name in ("ul", "ol", "dl", "table") for c in item.items)
+            if dense < 0.5 and (item.name in HEADINGS or _only_headings(item)) or text or listed and dense < 0.25 or _value(item) >= least:
                 out.append(item)
     return out
 

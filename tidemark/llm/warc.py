@@ -87,7 +87,8 @@ def arc_records(data: bytes) -> Iterator[dict]:
             lines = block.decode("utf-8", "replace").split("\n")
             first = lines[0].split(" ")[0]
             version = int(first) if first in ("1", "2") else 1
-            names = (lines[1].strip() if len(lines) > 1 and lines[1].strip() else FIELDS[version]).split(" ")
+            said = lines[1].split() if len(lines) > 1 else []
+            names = said if {"URL", "Archive-date"} <= {*said} else FIELDS[version].split(" ")  # any other line describes no fields
             if words[0].startswith("filedesc:"):
                 yield {"URL": words[0], "Archive-date": words[2] if len(words) > 2 else ""} | more | {"version": version, "info": True}
                 continue
@@ -279,8 +280,8 @@ def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held, size = [], 0
         for start in range(0, batch.num_rows, 128):
-            part = batch.slice(start, 128)
-            for page, url, html in zip(*(part.column(c).to_pylist() for c in ("page_id", "url")), part.column("html").cast(pa.binary()).to_pylist(), strict=True):
+            some = batch.slice(start, 128)
+            for page, url, html in zip(*(some.column(c).to_pylist() for c in ("page_id", "url")), some.column("html").cast(pa.binary()).to_pylist(), strict=True):
                 body = html or b""
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if page is None else page}\r\nContent-Length: {len(body)}\r\n\r\n"
                 held.append((url, _STAMP, "text/html", head.encode() + body))
