@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import recipes as R
 from tidemark.operators import sheets as S
 from tidemark.plans.catalogue import query
-from tidemark.sources.trade_sheets import trade_sheets
+from tidemark.sources.trade_sheets import level_sheets, trade_sheets
 
 #: Values by supplier, brand and quarter; brands with their row; columns with numbers in a fifth of the block's rows.
 _WRITTEN = """w as (
@@ -63,3 +64,32 @@ def sheet_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select 'S' || s_suppkey as sheet, case when s_suppkey % 6 = 2 then 'no data block found' else 'no row-label column' end as reason from supplier where s_suppkey % 3 = 2")
 def sheet_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.read_sheets(trade_sheets(spark, sf_dir))[1]
+
+
+#: Suppliers with sums by brand, and what their sheets are wanted for: January of even suppliers, February of odd ones, a month that none has of each thirteenth.
+_LEVELS = """s as (
+ select l_suppkey as k, p_brand, sum(l_quantity) as w, coalesce(sum(l_quantity) filter (strftime(l_shipdate, '%Y-%m') = '2000-01'), 0) as a, coalesce(sum(l_quantity) filter (strftime(l_shipdate, '%Y-%m') = '2000-02'), 0) as b
+ from lineitem join part on p_partkey = l_partkey group by all),
+n as (select *, row_number() over (partition by k order by p_brand) as i from s)
+"""
+
+
+def _levels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    cells = S.typed(level_sheets(spark, sf_dir))
+    k = F.substring("sheet", 2, 20).cast("long")
+    want = cells.select("sheet").distinct().select("sheet", F.when(k % 13 == 12, "1999-12").when(k % 2 == 0, "2000-01").otherwise("2000-02").alias("period"))
+    return R.read_recipes(cells, want)
+
+
+@query(f"""with {_LEVELS}
+select 'S' || k as sheet, (i % 3 + 1)::int as level, 'Brand ' || substr(p_brand, 7) as label_en, 'علامة ' || substr(p_brand, 7) as label_ar, w as weight, case when k % 2 = 0 then a else b end as value, (4 + k % 2)::int as "column" from n where k % 5 <> 0 and k % 7 <> 0 and k % 13 <> 12
+union all
+select 'S' || k, 0, 'All brands', 'كل العلامات', sum(w), case when k % 2 = 0 then sum(a) else sum(b) end, (4 + k % 2)::int from n where k % 5 <> 0 and k % 7 <> 0 and k % 13 <> 12 group by k""")
+def indicator_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _levels(spark, sf_dir)[0]
+
+
+@query("""select 'S' || l_suppkey as sheet, case when l_suppkey % 7 = 0 then 'no recipe claims shape h2-5/l1/n5/0' when l_suppkey % 5 = 0 then 'no index columns (all under a percent-change heading)' else 'no index column for period 1999-12' end as reason
+from (select distinct l_suppkey from lineitem) where l_suppkey % 5 = 0 or l_suppkey % 7 = 0 or l_suppkey % 13 = 12""")
+def indicator_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _levels(spark, sf_dir)[1]

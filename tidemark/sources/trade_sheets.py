@@ -5,7 +5,7 @@ By the supplier's number modulo 3: a matrix of brands by quarters, a series down
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.tables import table
@@ -58,3 +58,25 @@ def trade_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         whole = whole.union(p)
     name = F.concat(F.lit("S"), F.col("k"))
     return whole.select(name.alias("sheet"), name.alias("name"), F.inline("cells"))
+
+
+def level_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long cells of one indicator table a supplier: level, label in two columns, weight, two index months and their change.
+
+    Every fifth supplier's sheet has no index heading, every seventh's no level column.
+    """
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    line = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("k"), "p_brand", "l_quantity", F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    month = lambda m: F.sum(F.when(F.col("month") == m, F.col("l_quantity")).otherwise(0.0))
+    sums = line.groupBy("k", "p_brand").agg(F.sum("l_quantity").alias("w"), month("2000-01").alias("a"), month("2000-02").alias("b"))
+    rows = sums.withColumn("i", F.row_number().over(Window.partitionBy("k").orderBy("p_brand")))  # a few dozen rows a supplier
+    at, digits = F.col("i") + 6 + 2 * F.floor(F.col("i") / 10), F.substring("p_brand", 7, 5)
+    body = rows.select("k", F.array(_cell(at, 0, F.col("i") % 3 + 1), _cell(at, 1, F.concat(F.lit("Brand "), digits)), _cell(at, 2, F.concat(F.lit("علامة "), digits)), _cell(at, 3, F.col("w")), _cell(at, 4, F.col("a")), _cell(at, 5, F.col("b")), _cell(at, 6, F.col("b") - F.col("a"))).alias("cells"))
+    suppliers = sums.groupBy("k").agg(F.sum("w").alias("w"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    level = F.when(F.col("k") % 7 == 0, "Code").otherwise("Level الدرجة")
+    group = F.when(F.col("k") % 5 == 0, "Percent change").otherwise("Index numbers الأرقام القياسية")
+    heads = [_cell(0, 0, "Monthly index of quantities, all suppliers and brands"), _cell(2, 4, group), _cell(2, 6, "Percent change"), _cell(3, 3, "Relative weight"), _cell(3, 4, "2000"), _cell(4, 0, level), _cell(4, 1, "Name"), _cell(4, 4, "January"), _cell(4, 5, "فبراير"), _cell(4, 6, "February")]
+    total = [_cell(5, 0, "0"), _cell(5, 1, "All brands"), _cell(5, 2, "كل العلامات"), _cell(5, 3, F.col("w")), _cell(5, 4, F.col("a")), _cell(5, 5, F.col("b")), _cell(5, 6, F.col("b") - F.col("a"))]
+    framed = suppliers.select("k", F.array(*heads, *total).alias("cells"))
+    name = F.concat(F.lit("S"), F.col("k"))
+    return body.union(framed).select(name.alias("sheet"), name.alias("name"), F.inline("cells"))
