@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -36,6 +36,8 @@ SPLIT = 20_000
 #: Bits of a parity bitmap; pairs that a component may ask for in its first round, and their growth by round.
 _BITS, _QUOTA, _MORE = 1024, 8, 8
 _ROWS, _TOGETHER, _PAIRS = 256, 20_000, 200_000
+#: Shingles that a task remembers.
+_KNOWN = 4_000_000
 _FACTORS = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)))
 _MIX, _HALF, _TOP = np.uint64(0xD6E8FEB86659FD93), np.uint64(32), np.uint64(44)
 
@@ -237,32 +239,47 @@ def alike(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left, right = ([np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column(c)] for c in ("_left", "_right"))
-        some = pa.array([alike(x, y) for x, y in zip(left, right, strict=True)], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(some), batch.column("b").filter(some)], ["a", "b"])
+    known: dict[bytes, np.ndarray] = {}
+
+    def sets(nodes: list[bytes], texts: pa.Array) -> list[np.ndarray]:
+        for node, text in zip(nodes, texts, strict=True):
+            if node not in known:
+                known[node] = shingle_set(text.as_py())
+        return [known[node] for node in nodes]
+
+    for whole in batches:
+        for at in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(at, _ROWS)
+            left, right = (sets(batch.column(node).to_pylist(), batch.column(text).cast(pa.binary())) for node, text in (("a", "_left"), ("b", "_right")))
+            some = pa.array([alike(x, y) for x, y in zip(left, right, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(some), batch.column("b").filter(some)], ["a", "b"])
+            if sum(map(len, known.values())) > _KNOWN:  # bounded memory: the task begins anew
+                known.clear()
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left, right = sets.toDF("a", "_left"), sets.toDF("b", "_right")
-    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "_left", "_right").mapInArrow(_verified, "a binary, b binary")
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose sets, made anew from whole texts, are alike."""
+    left, right = texts.toDF("a", "_left"), texts.toDF("b", "_right")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "_left", "_right").mapInArrow(_verified, "a binary, b binary")
 
 
 def _members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``met``: a row for each member under each prefix shingle that it shares; ``(_node, _t)``: a text of each distinct set."""
-    some = rows.where("_n > 0")
-    groups = some.groupBy("_group").agg(F.first("_n").alias("_n"), F.first("_prefix").alias("_prefix"), F.count_distinct("_node").alias("_many"))
+    """``met``: a row for each member under each prefix shingle that it shares; ``(_node, _t)``: a text of each distinct set.
+
+    Groups go by 64 bits here: two that share them only meet more often.
+    """
+    some = rows.where("_n > 0").withColumn("_group", F.xxhash64("_group"))
+    groups = some.groupBy("_group", "_n").agg(F.first("_prefix").alias("_prefix"), F.count_distinct("_node").alias("_many"))
     postings = groups.select("_group", "_n", "_many", F.posexplode("_prefix").alias("_pos", "_key"))
     shared = postings.groupBy("_key").agg(F.count("*").alias("_of")).where("_of > 1").select("_key", F.lit(True).alias("_shared"))
     # members of one group share all of their prefix, one shingle is enough for them
-    kept = postings.join(shared, "_key", "left").where("_shared or (_many > 1 and _pos = 0)").select("_key", "_group", "_n", F.col("_pos").cast("long").alias("_pos"))
-    nodes = some.groupBy("_node").agg(F.first("_group").alias("_group"), F.first("_bits").alias("_bits"), F.min("_t").alias("_t"))
-    return kept.join(nodes.select("_node", "_group", "_bits"), "_group").select("_key", "_node", "_n", "_pos", "_bits"), nodes.select("_node", "_t")
-
-
-def _set_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, sets in _texts(batches, "_text"):
-        yield pa.RecordBatch.from_arrays([batch.column("_node"), pa.array([x.tobytes() for x in sets], pa.binary())], ["_node", "_set"])
+    kept = postings.join(shared, "_key", "left").where("_shared or (_many > 1 and _pos = 0)")
+    by_size, (a, b) = Window.partitionBy("_key").orderBy("_n"), SHARE
+    beside = (b * F.lag("_n").over(by_size) >= a * F.col("_n")) | (b * F.col("_n") >= a * F.lead("_n").over(by_size))
+    kept = kept.withColumn("_beside", F.coalesce(beside, F.lit(False)))  # the next in size is near enough if any is
+    kept = kept.where("_beside or (_many > 1 and _pos = 0)").select("_key", "_group", "_n", F.col("_pos").cast("long").alias("_pos"))
+    nodes = some.groupBy("_node").agg(F.first("_group").alias("_group"), F.first("_n").alias("_n"), F.first("_bits").alias("_bits"), F.min("_t").alias("_t"))
+    return kept.join(nodes.select("_node", "_group", "_n", "_bits"), ["_group", "_n"]).select("_key", "_node", "_n", "_pos", "_bits"), nodes.select("_node", "_t")
 
 
 def _sifted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -276,7 +293,7 @@ def _sifted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _with_sets(sets: DataFrame | None, pairs: DataFrame, named: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(_node, _set)`` of all nodes of ``pairs`` and of those in ``sets``; only sets that some pair needs are made."""
+    """``(_node, _text)`` of all nodes of ``pairs`` and of those in ``sets``; only texts that some pair needs are fetched."""
     nodes = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
     if sets is not None:
         nodes = written(nodes.join(sets, "_node", "left_anti"), "nodes")
@@ -284,11 +301,11 @@ def _with_sets(sets: DataFrame | None, pairs: DataFrame, named: DataFrame, texts
             drop(nodes)
             return sets
     wanted = written(named.join(nodes, "_node", "left_semi"), "wanted")
-    made = written(wanted.join(_sifted(texts, wanted), "_t").dropDuplicates(["_node"]).mapInArrow(_set_bytes, "_node binary, _set binary"), "sets")
+    made = written(wanted.join(_sifted(texts, wanted), "_t").dropDuplicates(["_t", "_node"]).select("_node", "_text"), "texts")
     drop(wanted)
     if sets is None:
         return made
-    both = written(sets.union(made), "sets")
+    both = written(sets.union(made), "texts")
     drop(sets, made, nodes)
     return both
 
@@ -306,20 +323,21 @@ def linked_sets(rows: DataFrame, texts: DataFrame, split: int = SPLIT) -> DataFr
         apart = rooted.groupBy("_key").agg(F.min("_root").alias("_x"), F.max("_root").alias("_y"), F.count("*").alias("_m")).where((F.col("_x") < F.col("_y")) & (F.col("_m") >= least)).select("_key")
         pairs = written(_asked(rooted.join(apart, "_key"), quota, split), "asked")
         new = written(pairs.select("a", "b").distinct().join(asked, ["a", "b"], "left_anti"), "pairs")
-        sets = _with_sets(sets, new, named, texts)
-        more_links = written(_links(new, sets), "links")
         open_keys = pairs.where("more").select("_key").distinct()
-        done = not open_keys.limit(1).count()
-        if more_links.limit(1).count():
-            before, links = links, written(links.union(more_links), "links")
-            old, roots = roots, components(links)
-            drop(before, old)
-        if done:
-            drop(met, sets, asked, pairs, new, more_links, links)
+        if new.limit(1).count():
+            sets = _with_sets(sets, new, named, texts)
+            more_links = written(_links(new, sets), "links")
+            if more_links.limit(1).count():
+                before, links = links, written(links.union(more_links), "links")
+                old, roots = roots, components(links)
+                drop(before, old)
+            drop(more_links)
+        if not open_keys.limit(1).count():
+            drop(met, sets, asked, pairs, new, links)
             return roots
         before, met = met, written(met.join(open_keys, "_key", "left_semi"), "met")
         was, asked = asked, written(asked.union(new), "pairs")
-        drop(before, was, pairs, new, more_links)
+        drop(before, was, pairs, new)
         quota *= _MORE
 
 
