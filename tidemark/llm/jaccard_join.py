@@ -259,7 +259,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose sets, made anew from whole texts, are alike."""
-    left, right = texts.toDF("a", "_left"), texts.toDF("b", "_right")
+    nodes = pairs.select(F.col("a").alias("_node")).union(pairs.select("b")).distinct()
+    wanted = texts.join(nodes, "_node", "left_semi")
+    left, right = wanted.toDF("a", "_left"), wanted.toDF("b", "_right")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "_left", "_right").mapInArrow(_verified, "a binary, b binary")
 
 
@@ -277,7 +279,12 @@ def _members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_size, (a, b) = Window.partitionBy("_key").orderBy("_n"), SHARE
     beside = (b * F.lag("_n").over(by_size) >= a * F.col("_n")) | (b * F.col("_n") >= a * F.lead("_n").over(by_size))
     kept = kept.withColumn("_beside", F.coalesce(beside, F.lit(False)))  # the next in size is near enough if any is
-    kept = kept.where("_beside or (_many > 1 and _pos = 0)").select("_key", "_group", "_n", F.col("_pos").cast("long").alias("_pos"))
+    kept = kept.where("_beside or (_many > 1 and _pos = 0)")
+    # shingles that the same groups share are one key: near copies meet once, not under each
+    of_key = Window.partitionBy("_key")
+    lists = [F.bit_xor(F.xxhash64("_group", F.lit(i))).over(of_key).alias(f"_x{i}") for i in (0, 1)]
+    kept = kept.select("_group", "_n", "_pos", F.count("*").over(of_key).alias("_of"), *lists).groupBy("_of", "_x0", "_x1", "_group", "_n").agg(F.min("_pos").cast("long").alias("_pos"))
+    kept = kept.select(F.xxhash64("_of", "_x0", "_x1").alias("_key"), "_group", "_n", "_pos")
     nodes = some.groupBy("_node").agg(F.first("_group").alias("_group"), F.first("_n").alias("_n"), F.first("_bits").alias("_bits"), F.min("_t").alias("_t"))
     return kept.join(nodes.select("_node", "_group", "_n", "_bits"), ["_group", "_n"]).select("_key", "_node", "_n", "_pos", "_bits"), nodes.select("_node", "_t")
 
