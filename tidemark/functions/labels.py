@@ -17,7 +17,7 @@ def collapsed(x: Column) -> Column:
 
 def fold(x: Column) -> Column:
     """Without footnote numbers and trailing marks, in lower case; null where nothing is left."""
-    bare = F.regexp_replace(x, r"\([0-9]+\)", "")
+    bare = F.regexp_replace(x, r"\([ \t\r\n\f]*[0-9]+[ \t\r\n\f]*\)", "")
     return F.nullif(F.lower(collapsed(F.regexp_replace(bare, r"[*٭∗·•:\-–\s]+\z", ""))), F.lit(""))
 
 

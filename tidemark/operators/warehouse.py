@@ -5,22 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.labels import joined_key
+from tidemark.functions.labels import fold, ident, joined_key
 
 #: A total order of the readings of one series and period: the latest release, then the last row in it.
 LATEST_FIRST = ("pub_id", "l_linenumber", "l_partkey", "l_suppkey", "value", "l_extendedprice")
 
 
 def admitted(facts: DataFrame, first: int = 1960, last: int = 2035) -> DataFrame:
-    """Facts with a period of a plausible year, a value and a label."""
+    """Facts with a period of a plausible year, a value and a label in either language."""
     year = F.try_to_number(F.regexp_extract("period", "^([0-9]{4})", 1), F.lit("9999"))
-    return facts.where(F.col("value").isNotNull() & (F.coalesce("row_en", F.lit("")) != "") & year.between(first, last))
+    named = (F.coalesce("row_en", F.lit("")) != "") | (_optional(facts, "row_ar") != "")
+    return facts.where(F.col("value").isNotNull() & named & year.between(first, last))
+
+
+def _optional(facts: DataFrame, name: str) -> Column:
+    """A column, empty for null, or where the facts have none of that name."""
+    return F.coalesce(F.col(name), F.lit("")) if name in facts.columns else F.lit("")
 
 
 def keyed(facts: DataFrame) -> DataFrame:
-    """Adds ``measure_key`` (what is measured) and ``series_key`` (on which base)."""
-    measure = joined_key(F.col("category_id"), F.col("row_en"), F.col("col_en"), F.col("kind"))
-    return facts.withColumn("measure_key", measure).withColumn("series_key", joined_key(F.col("measure_key"), F.col("index_base")))
+    """Adds ``measure_key`` (what is measured) and ``series_key`` (on which base).
+
+    Labels are folded first, so that a footnote, a star or capitals don't cut a series in pieces; Arabic ones count only
+    where English ones are empty. ``row_ar``, ``col_ar`` and ``table`` may be absent.
+    """
+    row, col = (ident(_optional(facts, f"{side}_en"), _optional(facts, f"{side}_ar")) for side in ("row", "col"))
+    parts = [F.col("category_id"), row, col, _optional(facts, "kind")]
+    if "table" in facts.columns:
+        parts.append(F.coalesce(fold(F.col("table")), F.lit("")))
+    return facts.withColumn("measure_key", joined_key(*parts)).withColumn("series_key", joined_key(F.col("measure_key"), _optional(facts, "index_base")))
 
 
 def ranked(readings: DataFrame, order: tuple[str, ...] = LATEST_FIRST) -> DataFrame:
@@ -38,15 +51,19 @@ def revisions(readings: DataFrame) -> DataFrame:
 
 
 def base_merge(readings: DataFrame, tolerance: float = 0.001, least: int = 2) -> DataFrame:
-    """``(measure_key, base)``: measures whose points without a base agree with those of their only declared base."""
-    points = readings.groupBy("measure_key", "index_base", "period").agg(F.max("value").alias("v"))
-    declared = points.where("index_base <> ''")
-    single = declared.groupBy("measure_key").agg(F.count_distinct("index_base").alias("n"), F.min("index_base").alias("base")).where("n = 1")
-    blank = points.where("index_base = ''").select("measure_key", "period", F.col("v").alias("b"))
-    both = blank.join(declared.select("measure_key", "period", F.col("v").alias("k")), ["measure_key", "period"])
+    """``(measure_key, base)``: measures whose points without a base agree with those of their only declared base.
+
+    One pass over the readings: both sides of a period are brought together by one aggregate, then periods by measure.
+    """
+    blank = F.coalesce("index_base", F.lit("")) == ""
+    sides = readings.groupBy("measure_key", "period").agg(
+        F.max(F.when(blank, F.col("value"))).alias("b"), F.max(F.when(~blank, F.col("value"))).alias("k"),
+        F.min(F.when(~blank, F.col("index_base"))).alias("base"), F.max(F.when(~blank, F.col("index_base"))).alias("other"),
+    )
     close = F.abs(F.col("b") - F.col("k")) <= tolerance * F.greatest(F.abs("k"), F.lit(1.0))
-    agreed = both.groupBy("measure_key").agg(F.count("*").alias("shared"), F.count_if(close).alias("near")).where((F.col("shared") >= least) & (F.col("near") == F.col("shared")))
-    return single.join(agreed, "measure_key").select("measure_key", "base")
+    both = F.col("b").isNotNull() & F.col("k").isNotNull()
+    agreed = sides.groupBy("measure_key").agg(F.min("base").alias("base"), F.max("other").alias("other"), F.count_if(both).alias("shared"), F.count_if(both & close).alias("near"))
+    return agreed.where((F.col("base") == F.col("other")) & (F.col("shared") >= least) & (F.col("near") == F.col("shared"))).select("measure_key", "base")
 
 
 def with_base(readings: DataFrame, merged: DataFrame) -> DataFrame:

@@ -15,7 +15,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-FACTS = """facts as (
+def _folded(x: str) -> str:
+    """SQL of a label folded for a key, empty where nothing is left."""
+    bare = f"regexp_replace({x}, '\\([ \\t\\r\\n\\f]*[0-9]+[ \\t\\r\\n\\f]*\\)', '', 'g')"
+    return f"lower(trim(regexp_replace(regexp_replace({bare}, '[*٭∗·•:\\-–\\s]+$', ''), '[ \\t\\r\\n\\f]+', ' ', 'g')))"
+
+
+FACTS = f"""facts as (
  select cast(r.r_regionkey as varchar) as category_id, r.r_name as product, n.n_name as place,
         lpad(cast(o.o_orderkey as varchar), 10, '0') as pub_id, p.p_type as row_en, p.p_brand as col_en,
         case l.l_returnflag when 'A' then 'index' when 'R' then 'change' else 'value' end as kind,
@@ -25,7 +31,7 @@ FACTS = """facts as (
  from lineitem l join orders o on o.o_orderkey = l.l_orderkey join part p on p.p_partkey = l.l_partkey
  join supplier s on s.s_suppkey = l.l_suppkey join nation n on n.n_nationkey = s.s_nationkey
  join region r on r.r_regionkey = n.n_regionkey),
-keyed as (select *, md5(mk || '|' || index_base) as series_key, mk as measure_key from (select *, md5(category_id || '|' || row_en || '|' || col_en || '|' || kind) as mk from facts)),
+keyed as (select *, md5(mk || '|' || index_base) as series_key, mk as measure_key from (select *, md5(category_id || '|' || {_folded('row_en')} || '|' || {_folded('col_en')} || '|' || kind) as mk from facts)),
 ranked as (select *, row_number() over (partition by series_key, period order by pub_id desc, l_linenumber desc, l_partkey desc, l_suppkey desc, value desc, l_extendedprice desc) as rn from keyed),
 latest as (select * from ranked where rn = 1)
 """
@@ -54,11 +60,11 @@ def facts_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.admitted(trade_facts(spark, sf_dir), 1996, 2000).select("category_id", "pub_id", "row_en", "col_en", "kind", "period", "value")
 
 
-@query("""with l as (select upper(p_name) || '  (1) *' as label, p_brand as other from part union all select '(2)', source from documents),
-f as (select label, nullif(lower(trim(regexp_replace(regexp_replace(regexp_replace(label, '\\([0-9]+\\)', '', 'g'), '[*٭∗·•:\\-–\\s]+$', ''), '[ \\t\\r\\n\\f]+', ' ', 'g'))), '') as folded, lower(other) as other from l)
+@query("""with l as (select upper(p_name) || '  ( 1 ) *' as label, p_brand as other from part union all select '(2)', source from documents),
+f as (select label, nullif(""" + _folded("label") + """, '') as folded, lower(other) as other from l)
 select distinct label, folded, coalesce(folded, other, '') as ident, md5(coalesce(folded, other, '')) as ident_key from f""")
 def series_fold_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select(F.concat(F.upper("p_name"), F.lit("  (1) *")).alias("label"), F.col("p_brand").alias("other"))
+    part = table(spark, sf_dir, "part").select(F.concat(F.upper("p_name"), F.lit("  ( 1 ) *")).alias("label"), F.col("p_brand").alias("other"))
     rows = part.union(table(spark, sf_dir, "documents").select(F.lit("(2)"), "source"))
     return rows.select("label", L.fold(F.col("label")).alias("folded"), L.ident(F.col("label"), F.col("other")).alias("ident")).distinct().withColumn("ident_key", F.md5("ident"))
 
