@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from tidemark.operators import warehouse as W
-from tidemark.plans import house, sheets  # noqa: F401  these add their queries
+from tidemark.plans import house, records, sheets  # noqa: F401  these add their queries
 from tidemark.plans.catalogue import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"

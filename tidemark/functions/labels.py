@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Month and quarter names by number.
-MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+#: Month names.
 MONTH_WORD = "(january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|jun|jul|aug|sep|sept|oct|nov|dec)"
 SPACE = r"[ \t\r\n\f]+"
 
@@ -42,18 +41,6 @@ def normalized(x: Column) -> Column:
     return F.translate(F.lower(x), "آأإىةـًٌٍَُِّْ", "ااايه")
 
 
-def period(x: Column) -> Column:
-    """``YYYY-Qn``, ``YYYY-MM`` or ``YYYY`` found in a label, else null."""
-    t = F.lower(x)
-    year = F.regexp_extract(t, r"(?:^|[^0-9])(19[5-9][0-9]|20[0-4][0-9])(?:[^0-9]|$)", 1)
-    quarter = F.coalesce(F.nullif(F.regexp_extract(t, r"(?:^|[^a-z])q([1-4])(?:[^0-9]|$)", 1), F.lit("")), *(F.when(F.contains(t, F.lit(w)), F.lit(str(n))) for n, w in enumerate(("الربع الاول", "الربع الثاني", "الربع الثالث", "الربع الرابع"), 1)), *(F.when(t.rlike(f"(?:^|[^a-z]){w} quarter"), F.lit(str(n))) for n, w in enumerate(("first", "second", "third", "fourth"), 1)))
-    word = F.substring(F.regexp_extract(t, f"(?:^|[^a-z]){MONTH_WORD}(?:[^a-z]|$)", 1), 1, 3)
-    month = F.coalesce(*(F.when(word == m, F.lit(f"{n:02d}")) for n, m in enumerate(MONTHS, 1)))
-    iso = F.nullif(F.regexp_extract(t, r"(?:19[5-9][0-9]|20[0-4][0-9])-(0[1-9]|1[0-2])(?:[^0-9]|$)", 1), F.lit(""))
-    found = F.when(quarter.isNotNull(), F.concat(year, F.lit("-Q"), quarter)).when(month.isNotNull(), F.concat(year, F.lit("-"), month)).when(iso.isNotNull(), F.concat(year, F.lit("-"), iso)).otherwise(year)
-    return F.when((year != "") & (F.length(x) <= 40), found)
-
-
 def period_type(p: Column) -> Column:
     return F.when(p.rlike("-Q[1-4]$"), "quarterly").when(p.rlike("^[0-9]{4}-[0-9]{2}$"), "monthly").when(p.rlike("^[0-9]{4}$"), "annual")
 
@@ -66,29 +53,17 @@ def period_order(p: Column) -> Column:
     return year * 100 + F.when(quarter != "", F.try_to_number(quarter, F.lit("9")).cast("int") * 3).when(month != "", F.try_to_number(month, F.lit("99")).cast("int")).otherwise(0)
 
 
-def kind(label: Column) -> Column:
-    """What a heading says that its column measures."""
-    t = F.lower(label)
-    change, index = t.rlike("change|growth|inflation|rate of"), t.rlike("index|indices")
-    return F.when(t.rlike("weight"), "weight").when(change & ~index, "change").when(index, "index").otherwise("value")
-
-
 def without_period(label: Column) -> Column:
     """Without one leading month, quarter or year word; as it was where nothing else is left."""
     short = F.regexp_replace(label, f"^(?i)(?:{MONTH_WORD}|q[1-4]|(?:19|20)[0-9][0-9]) ", "")
     return F.when(F.trim(short) == "", label).otherwise(short)
 
 
-def without_caption(label: Column) -> Column:
-    short = F.trim(F.regexp_replace(label, r"^(?i)\s*(?:table|جدول)\s*\(?[0-9]+(?:[-.][0-9]+)*\)?\s*[:.-]?\s*", ""))
-    return F.when(short == "", label).otherwise(short)
-
-
 def tidy(label: Column) -> Column:
-    """White space collapsed, capitals softened, a leading base year moved to the end."""
-    t = collapsed(label)
+    """White space collapsed, capitals softened, a base year that stands before the name, in brackets or not, moved behind it."""
+    t = collapsed(F.coalesce(label, F.lit("")))
     soft = F.when((F.length(t) > 3) & (t == F.upper(t)) & (t != F.lower(t)), F.initcap(F.lower(t))).otherwise(t)
-    return F.regexp_replace(soft, r"^((?:19|20)[0-9][0-9] ?= ?100) (.+)$", "$2 ($1)")
+    return F.regexp_replace(soft, r"^\(?\s*((?:19|20)[0-9]{2})\s*=\s*100\s*\)?\s*[:\-–]?\s*(\S.*)$", "$2 ($1=100)")
 
 
 def theme(label: Column, words: list[tuple[str, str]], default: str) -> Column:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import cells as C
 from tidemark.functions import labels as L
+from tidemark.operators import shapes
 from tidemark.operators import warehouse as W
 from tidemark.sources.tables import table, trade_facts
 
@@ -294,36 +296,53 @@ def label_theme(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").groupBy(L.theme(F.concat_ws(" ", "p_name", "p_type"), THEMES, "nation").alias("theme")).agg(F.count("*").alias("n"), F.count_distinct("p_brand").alias("brands"))
 
 
-#: Label, then what each label function makes of it.
-LABELS = [
-    ("2017 Q1", "2017-Q1", "value", "Q1"), ("Q1 of 2024", "2024-Q1", "value", "of 2024"), ("الربع الثاني 2024", "2024-Q2", "value", "الربع الثاني 2024"), ("Jan-26", None, "value", "Jan-26"),
-    ("January 2019", "2019-01", "value", "2019"), ("2024-01-01", "2024-01", "value", "2024-01-01"), ("2024", "2024", "value", "2024"), ("April Males", None, "value", "Males"), ("Annual change of index", None, "index", "Annual change of index"),
-    ("Relative weight", None, "weight", "Relative weight"), ("Inflation 2020", "2020", "change", "Inflation 2020"), ("Price Index 2023", "2023", "index", "Price Index 2023"),
-]
+#: How orders are dated in their labels; the last has too many words about its year to be a period.
+_DATED = """d as (select o_orderkey, year(o_orderdate) as y, month(o_orderdate) as m, quarter(o_orderdate) as q, o_orderkey % 7 as way,
+ case o_orderstatus when 'O' then 'Annual change' when 'F' then 'Price Index' else 'Relative weight' end as heading,
+ case o_orderstatus when 'O' then 'change' when 'F' then 'index' else 'weight' end as kind from orders),
+p as (select *, case when way in (0, 1) then y || '-Q' || q when way in (2, 3, 5) then y || '-' || lpad(cast(m as varchar), 2, '0') when way = 4 then cast(y as varchar) end as period from d)"""
+_QUARTERS = ("الربع الأول", "الربع الثاني", "الربع الثالث", "الربع الرابع")
+_MONTHS = ("يناير", "فبراير", "مارس", "أبريل", "مايو", "يونيو", "يوليو", "أغسطس", "سبتمبر", "أكتوبر", "نوفمبر", "ديسمبر")
 
 
-@query("select * from (values " + ", ".join("('{}', {}, '{}', '{}')".format(a, f"'{b}'" if b else "null", c, d) for a, b, c, d in LABELS) + ") t(label, period, kind, short)")
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day, way = F.col("o_orderdate"), F.col("o_orderkey") % 7
+    year, named = F.year(day).cast("string"), lambda names, n: F.element_at(F.array(*map(F.lit, names)), n)
+    label = F.when(way == 0, F.concat(year, F.lit(" Q"), F.quarter(day).cast("string"))).when(way == 1, F.concat_ws(" ", named(_QUARTERS, F.quarter(day)), year)).when(way == 2, F.date_format(day, "MMMM yyyy"))
+    label = label.when(way == 3, F.date_format(day, "yyyy-MM-01")).when(way == 4, year).when(way == 5, F.concat_ws(" ", named(_MONTHS, F.month(day)), year)).otherwise(F.concat(F.lit("Orders held over since "), year))
+    heading = F.when(F.col("o_orderstatus") == "O", "Annual change").when(F.col("o_orderstatus") == "F", "Price Index").otherwise("Relative weight")
+    return table(spark, sf_dir, "orders").groupBy(label.alias("label"), heading.alias("heading")).agg(F.count("*").alias("n"))  # each label is read once
+
+
+@query(f"with {_DATED} select period, kind, case when way = 6 then heading || ' Orders held over since' else heading end as short, count(*) as n from p group by all")
 def label_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = F.col("label")
-    return spark.createDataFrame([(r[0],) for r in LABELS], "label string").select("label", L.period(x).alias("period"), L.kind(x).alias("kind"), L.without_period(x).alias("short"))
+    whole = F.concat_ws(" ", "heading", "label")
+    read = _dated(spark, sf_dir).select(C.period(F.col("label")).alias("period"), C.kind(whole).alias("kind"), C.stable(whole).alias("short"), "n")
+    return read.groupBy("period", "kind", "short").agg(F.sum("n").alias("n"))
 
 
-@query("select * from (values ('2026', 202600, 'annual'), ('2026-03', 202603, 'monthly'), ('2026-Q1', 202603, 'quarterly'), ('2025-Q4', 202512, 'quarterly')) t(period, sort_key, period_type)")
+@query(f"with {_DATED} select period, case when way = 6 then null when way in (0, 1) then y * 100 + q * 3 when way = 4 then y * 100 else y * 100 + m end as sort_key, case when way = 6 then null when way in (0, 1) then 'quarterly' when way = 4 then 'annual' else 'monthly' end as period_type, count(*) as n from p group by all")
 def period_sort_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([("2026",), ("2026-03",), ("2026-Q1",), ("2025-Q4",)], "period string")
-    return rows.select("period", L.period_order(F.col("period")).alias("sort_key"), L.period_type(F.col("period")).alias("period_type"))
+    found = _dated(spark, sf_dir).groupBy(C.period(F.col("label")).alias("period")).agg(F.sum("n").alias("n"))
+    return found.select("period", L.period_order(F.col("period")).cast("long").alias("sort_key"), L.period_type(F.col("period")).alias("period_type"), "n")
 
 
-@query("select * from (values ('2023=100 Al Jouf', 'Al Jouf (2023=100)'), ('TOTAL  POPULATION', 'Total Population'), ('GDP', 'GDP'), ('Table 2.1 Prices', 'Table 2.1 Prices')) t(label, tidied)")
+@query("""with n as (select p_partkey, p_size, string_split(p_name, ' ') as w from part), s as (select *, upper(w[1][1]) || w[1][2:] || case when len(w) > 1 then ' ' || upper(w[2][1]) || w[2][2:] else '' end as name from n)
+select p_partkey, case p_partkey % 4 when 0 then name || ' (2023=100)' when 1 then name when 2 then array_to_string(w, ' ') || ' (' || (1990 + p_size % 40) || '=100)' else '2023=100' end as tidied from s where len(w) <= 2""")
 def tidy_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([("2023=100 Al Jouf",), ("TOTAL  POPULATION",), ("GDP",), ("Table 2.1 Prices",)], "label string")
-    return rows.select("label", L.tidy(F.col("label")).alias("tidied"))
+    way, year = F.col("p_partkey") % 4, (1990 + F.col("p_size") % 40).cast("string")
+    label = F.when(way == 0, F.concat(F.lit("2023=100  "), F.upper("p_name"))).when(way == 1, F.concat(F.lit(" "), F.replace(F.upper("p_name"), F.lit(" "), F.lit("  ")))).when(way == 2, F.concat(F.lit("("), year, F.lit(" = 100) - "), F.col("p_name"))).otherwise("2023=100")
+    rows = table(spark, sf_dir, "part").where(F.size(F.split("p_name", " ")) <= 2)
+    return rows.select("p_partkey", L.tidy(label).alias("tidied"))
 
 
-@query("select * from (values ('Table 2.1 Prices', 'Prices'), ('جدول (3-1) الاسعار', 'الاسعار'), ('Prices', 'Prices'), ('Table 4', 'Table 4')) t(label, short)")
+@query("select p_partkey, case when p_partkey % 5 = 4 then 'Table ' || p_size else p_name end as short from part")
 def strip_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([("Table 2.1 Prices",), ("جدول (3-1) الاسعار",), ("Prices",), ("Table 4",)], "label string")
-    return rows.select("label", L.without_caption(F.col("label")).alias("short"))
+    way, size = F.col("p_partkey") % 5, F.col("p_size").cast("string")
+    arabic = F.translate(size, "0123456789", "٠١٢٣٤٥٦٧٨٩")
+    label = F.when(way == 0, F.concat(F.lit("Table "), size, F.lit(".1 "), "p_name")).when(way == 1, F.concat(F.lit("جدول ("), arabic, F.lit("-٣) : "), "p_name")).when(way == 2, F.concat(F.lit("TABLE ["), size, F.lit("] – "), "p_name"))
+    label = label.when(way == 3, F.col("p_name")).otherwise(F.concat(F.lit("Table "), size))
+    return table(spark, sf_dir, "part").select("p_partkey", C.without_caption(label).alias("short"))
 
 
 @query("select doc_id, translate(lower(text), 'آأإىةـ', 'ااايه') as folded from documents")
@@ -416,9 +435,7 @@ def listing_shortfall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("claimed > retrieved")
 
 
-@query("select arc, i, cast(sum(dx) over (partition by arc order by i) * 2 + 10 as bigint) as x, cast(sum(dy) over (partition by arc order by i) * 3 + 20 as bigint) as y from (values (0, 0, 1, 1), (0, 1, 2, -1), (0, 2, 0, 4), (1, 0, 5, 5), (1, 1, -3, 2)) t(arc, i, dx, dy)")
+@query("select user_id as arc, row_number() over w - 1 as i, sum(event_id % 9 - 4) over w * 2.0 + 10 as x, sum(event_id % 5 - 2) over w * 3.0 + 20 as y from events window w as (partition by user_id order by event_id)")
 def topo_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arcs = spark.createDataFrame([(0, [[1, 1], [2, -1], [0, 4]]), (1, [[5, 5], [-3, 2]])], "arc int, deltas array<array<bigint>>")
-    window = Window.partitionBy("arc").orderBy("i")
-    points = arcs.select("arc", F.posexplode("deltas").alias("i", "d"))
-    return points.select("arc", "i", (F.sum(F.col("d")[0]).over(window) * 2 + 10).alias("x"), (F.sum(F.col("d")[1]).over(window) * 3 + 20).alias("y"))
+    deltas = table(spark, sf_dir, "events").select(F.col("user_id").alias("arc"), F.col("event_id").alias("i"), (F.col("event_id") % 9 - 4).alias("dx"), (F.col("event_id") % 5 - 2).alias("dy"))
+    return shapes.decoded(deltas, (2.0, 3.0), (10.0, 20.0)).select("arc", F.col("i").cast("long").alias("i"), "x", "y")
