@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-SCHEMA = "check string, low double, high double, found double, verdict string"
+SCHEMA = "check string, low double, high double, found double"
 
 
 class Check(NamedTuple):
@@ -47,7 +47,7 @@ def watched(rows: DataFrame, checks: list[Check]) -> tuple[DataFrame, Callable[[
     def verdicts() -> DataFrame:
         figures = seen.get
         lines = [(c.name, float(c.low), float(c.high), figures[f"c{n}"]) for n, c in enumerate(checks)]
-        made = rows.sparkSession.createDataFrame(lines, SCHEMA.rsplit(",", 1)[0])
+        made = rows.sparkSession.createDataFrame(lines, SCHEMA)
         return made.withColumn("verdict", verdict(F.col("low"), F.col("found"), F.col("high")))
 
     return kept, verdicts

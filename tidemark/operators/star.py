@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.labels import joined_key
@@ -42,7 +42,7 @@ class Warehouse:
         """
         spark = facts.sparkSession
         name = database or f"tidemark_{uuid.uuid4().hex}"
-        spark.sql(f"create database if not exists {name} location '{folder(spark)}/{name}'")
+        spark.sql(f"create database if not exists {name}")
         house, n = cls(spark, name), buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         keyed = staged(W.keyed(W.admitted(facts)).withColumn("release_key", joined_key(F.col("category_id"), F.col("pub_id"))).withColumn("product_key", F.md5("category_id")), "keyed")
         based = W.with_base(keyed, W.base_merge(keyed, tolerance)).withColumn("series_key", joined_key(F.col("measure_key"), F.col("base_norm")))
@@ -56,15 +56,20 @@ class Warehouse:
         )
         links = (spark.createDataFrame([], "category_id string, sha256 string, url string") if files is None else files).where("sha256 is not null and url is not null")
         links = links.groupBy("category_id", F.col("sha256").alias("source_sha256")).agg(F.min("url").alias("source_url"))
-        release.join(links, ["category_id", "source_sha256"], "left").write.mode("overwrite").saveAsTable(f"{name}.dim_release")
+        house._save(release.join(links, ["category_id", "source_sha256"], "left").write, "dim_release")
         by_product = house.table("dim_release").groupBy(F.md5("category_id").alias("product_key"), "category_id")
-        by_product.agg(*(F.min(c).alias(c) for c in ("product", "domain", "subdomain")), F.count("*").alias("n_releases")).write.mode("overwrite").saveAsTable(f"{name}.dim_product")
+        house._save(by_product.agg(*(F.min(c).alias(c) for c in ("product", "domain", "subdomain")), F.count("*").alias("n_releases")).write, "dim_product")
         return house
 
     def _write(self, df: DataFrame, name: str, buckets: int, *parts: str) -> None:
         by = ["series_key", "period"] if "period" in df.columns else ["series_key"]
-        rows = df.write.mode("overwrite").option("compression", "zstd").bucketBy(buckets, "series_key").sortBy(*by)
-        (rows.partitionBy(*parts) if parts else rows).saveAsTable(f"{self.database}.{name}")
+        rows = df.write.bucketBy(buckets, "series_key").sortBy(*by)
+        self._save(rows.partitionBy(*parts) if parts else rows, name)
+
+    def _save(self, rows: DataFrameWriter, name: str) -> None:
+        """By its path, so that a build of the same name in another session replaces the files, too."""
+        where = f"{folder(self.spark)}/{self.database}/{name}"
+        rows.mode("overwrite").option("compression", "zstd").option("path", where).saveAsTable(f"{self.database}.{name}")
 
     def _series(self) -> DataFrame:
         """A label that some release leaves out does not blank the name that others carry."""
