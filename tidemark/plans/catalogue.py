@@ -11,6 +11,7 @@ from tidemark.functions import cells as C
 from tidemark.functions import labels as L
 from tidemark.operators import shapes
 from tidemark.operators import warehouse as W
+from tidemark.sinks.staging import staged
 from tidemark.sources.tables import table, trade_facts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,7 +231,8 @@ def headline_single_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""select category_id, period, series_key, value, rn from (select category_id, period, series_key, value, row_number() over (partition by category_id order by abs(value) desc, series_key) as rn
 from (select *, max(period) over (partition by category_id) as p from latest) where period = p) where rn <= 20""", facts=True)
 def breakdown_top_abs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    now = _latest(spark, sf_dir).withColumn("_last", F.max("period").over(Window.partitionBy("category_id"))).where("period = _last").select("category_id", "period", "series_key", "value")
+    readings = staged(_latest(spark, sf_dir).select("category_id", "period", "series_key", "value"), "latest")
+    now = readings.join(readings.groupBy("category_id").agg(F.max("period").alias("period")), ["category_id", "period"])  # one row a category, in place of a window over all its readings
     return W.top(now, ["category_id"], [F.desc(F.abs("value")), F.col("series_key")], 20).withColumn("rn", F.col("rn").cast("long"))
 
 
@@ -257,8 +259,9 @@ b as (select *, cast(substr(max(last_period) over (partition by category_id), 1,
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
     tier = F.when(F.col("kind") == "index", 0).when(F.col("kind") == "value", 1).otherwise(2).alias("tier")
     rows = _latest(spark, sf_dir).groupBy("category_id", "series_key", tier).agg(F.count("*").alias("n_points"), F.max("period").alias("last_period"))
-    newest = F.max("last_period").over(Window.partitionBy("category_id"))
-    return rows.withColumn("behind", F.substring(newest, 1, 4).cast("int") - F.substring("last_period", 1, 4).cast("int"))
+    series = staged(rows, "series")
+    newest = series.groupBy("category_id").agg(F.max("last_period").alias("_newest"))
+    return series.join(newest, "category_id").withColumn("behind", F.substring("_newest", 1, 4).cast("int") - F.substring("last_period", 1, 4).cast("int")).drop("_newest")
 
 
 @query(f", {SERIES} select category_id, series_key, tier, n_points, last_period, behind, place from (select *, row_number() over (partition by category_id order by behind, tier, n_points desc, series_key) as place from b) where place <= 45", facts=True)
