@@ -52,6 +52,18 @@ def test_products_stay_exact():
     assert (H.product(a, a) == a @ a.T).all() and (H._tile(H._planes(H.product(a, a)), 2) == a @ a.T).all()
 
 
+def test_tiles_are_added_where_they_arise(spark):
+    """Panels are exchanged, partial tiles are not: above the step that makes scores there is no exchange."""
+    rows = spark.createDataFrame([(i % 2, i, i % 3, [i, 1 - i, 2]) for i in range(12)], "at long, id long, label long, v array<long>")
+    grid = H._blocks(rows, 3)
+    along = grid.withColumn("j", H.F.explode(H.F.array(H.F.lit(0).cast("long"), H.F.lit(1).cast("long")))).drop("at")
+    tiles = H._summed_tiles(along, grid, 3, 2, H.partial(H.nearest_of_label, count=9), ["anchor", "id", "score"])
+    plan = tiles._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Exchange")
+    v = {i: np.array([i, 1 - i, 2]) for i in range(12)}
+    assert sorted(map(tuple, tiles.collect())) == sorted((a, b, int(v[a] @ v[b])) for a in v for b in v if a != b and a % 3 == b % 3)
+
+
 def _cheapest(rows):
     """The least (cost, audit) over all edits of ``(role, fault)`` rows, by trying them all."""
     best = []

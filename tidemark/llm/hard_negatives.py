@@ -1,9 +1,10 @@
 """Hard negatives by a two-dimensional block matrix product.
 
 Rows are dealt into shards, their integer components into chunks of dimensions.  Blocks of anchors go along the row of
-the grid, blocks of rows stand in its columns; each (anchor block, row block, chunk) gives a partial tile of int64
-scores, the partial tiles of one place are exchanged and added, and the tile is reduced at once: to the nearest rows of
-an anchor's own label, then to the first rows of other labels inside the window under each positive.
+the grid, blocks of rows stand in its columns; at each place (anchor block, row block) every chunk gives a partial tile of
+int64 scores, which is added to the place's sum as it arises.  Only panels are exchanged, never tiles: an anchor block
+goes to each column once, a row block to one task.  The sum is reduced at once: to the nearest rows of an anchor's own
+label, then to the first rows of other labels inside the window under each positive, and these are brought together.
 
 Shards follow the labels, so positives are looked for only in the shards of their own bucket of labels, and a frequent
 label has as many shards as it needs.  Blocks have about ``ROWS`` and ``ANCHORS`` rows at any size of the input; no task
@@ -50,15 +51,14 @@ def _padded(rows: pa.StructArray, width: int) -> np.ndarray:
     return out
 
 
-_PANEL = "at long, k int, ids binary, labels binary, wanted binary, panel binary"
+_PANEL = "at long, n int, ids binary, labels binary, wanted binary, panel binary"
 
 
-def _panels(batches: Iterator[pa.RecordBatch], width: int, chunk: int, wanted: int) -> Iterator[pa.RecordBatch]:
-    """Blocks cut into chunks of dimensions; only the first chunk carries ids, labels and the ``wanted`` positives."""
+def _panels(batches: Iterator[pa.RecordBatch], width: int, wanted: int) -> Iterator[pa.RecordBatch]:
+    """A row for each block: its ids, labels, components and the ``wanted`` positives."""
     for batch in batches:
         for at, block in zip(batch.column("at").to_pylist(), batch.column("rows"), strict=True):
             rows = block.values
-            matrix = _padded(rows, width)
             extra = None
             if wanted:  # per anchor so many ids, then so many scores; absent ones have a negative score, whose window is empty
                 pos = np.zeros((len(rows), 2, wanted), np.int64)
@@ -67,10 +67,9 @@ def _panels(batches: Iterator[pa.RecordBatch], width: int, chunk: int, wanted: i
                     for j, p in enumerate(found or ()):
                         pos[i, 0, j], pos[i, 1, j] = p["id"], p["score"]
                 extra = pos.tobytes()
-            for k, start in enumerate(range(0, max(width, 1), chunk)):
-                meta = [rows.field(c).to_numpy().astype(np.int64).tobytes() for c in ("id", "label")] + [extra] if not k else [None] * 3
-                cells = [at, k, *meta, np.ascontiguousarray(matrix[:, start : start + chunk]).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, (pa.int64(), pa.int32(), *[pa.binary()] * 4), strict=True)], ["at", "k", "ids", "labels", "wanted", "panel"])
+            ids, labels = (rows.field(c).to_numpy().astype(np.int64).tobytes() for c in ("id", "label"))
+            cells = [at, len(rows), ids, labels, extra, _planes(_padded(rows, width))]
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, (pa.int64(), pa.int32(), *[pa.binary()] * 4), strict=True)], ["at", "n", "ids", "labels", "wanted", "panel"])
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -82,52 +81,36 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _planes(tile: np.ndarray) -> bytes:
-    """Bytes of equal weight stand together: those of small scores compress to nothing."""
+    """Bytes of equal weight stand together: those of small numbers compress to nothing."""
     return tile.reshape(-1).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def _tile(planes: bytes, width: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64).reshape(-1, width)
+    flat = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.int64)
+    return flat.reshape(-1, width) if width else flat.reshape(0, 0)
 
 
-_PARTIAL = "i long, j long, k int, ids binary, labels binary, wanted binary, other_ids binary, other_labels binary, width int, tile binary"
+def _matrix(row: dict[str, pa.Scalar], panel: str, n: str, width: int) -> np.ndarray:
+    return _tile(row[panel].as_buffer(), width) if width else np.zeros((row[n].as_py(), 0), np.int64)
 
 
-def _products(batches: Iterator[pa.RecordBatch], width: int, chunk: int) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterator[pa.RecordBatch], width: int, chunk: int, reduce: Callable[..., dict[str, np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Each row is a place of the grid: the partial tiles of its chunks are added, and the sum is reduced as soon as it is whole."""
+    column, b = None, None
     for batch in batches:
         for r in range(batch.num_rows):
             row = {c: batch.column(c)[r] for c in batch.schema.names}
-            dims = min(chunk, width - row["k"].as_py() * chunk) if width else 0
-            a, b = (np.frombuffer(row[c].as_buffer(), np.int64) for c in ("panel", "other_panel"))
-            n, m = row["n"].as_py(), row["m"].as_py()
-            tile = product(a.reshape(n, dims), b.reshape(m, dims))
-            cells = [row[c].as_py() for c in ("i", "j", "k", "ids", "labels", "wanted", "other_ids", "other_labels")] + [m, _planes(tile)]
-            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, (pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.int32(), pa.binary()), strict=True)], [f.split()[0] for f in _PARTIAL.split(", ")])
-
-
-def _added(batches: Iterator[pa.RecordBatch], reduce: Callable[..., dict[str, np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Partial tiles come sorted by place; each sum is reduced as soon as it is whole."""
-    place, total, meta = None, None, {}
-
-    def whole() -> Iterator[pa.RecordBatch]:
-        if place is not None:
-            found = reduce(total, **{k: np.frombuffer(v, np.int64) if v is not None else None for k, v in meta.items()})
+            if row["j"].as_py() != column:  # places come column by column
+                column, b = row["j"].as_py(), _matrix(row, "other_panel", "m", width)
+            a = _matrix(row, "panel", "n", width)
+            total = np.zeros((len(a), len(b)), np.int64)
+            for start in range(0, width, chunk):
+                total += product(a[:, start : start + chunk], b[:, start : start + chunk])
+            meta = {c: np.frombuffer(row[c].as_buffer(), np.int64) if row[c].is_valid else None for c in ("ids", "labels", "wanted", "other_ids", "other_labels")}
+            found = reduce(total, **meta)
             if len(found[names[0]]):
                 yield pa.RecordBatch.from_arrays([pa.array(found[c], pa.int64()) for c in names], names)
 
-    for batch in batches:
-        for r in range(batch.num_rows):
-            here = batch.column("i")[r].as_py(), batch.column("j")[r].as_py()
-            part = _tile(batch.column("tile")[r].as_py(), batch.column("width")[r].as_py())
-            if here != place:
-                yield from whole()
-                place, total, meta = here, part.copy(), {}
-            else:
-                total += part
-            if batch.column("k")[r].as_py() == 0:
-                meta = {c: batch.column(c)[r].as_py() for c in ("ids", "labels", "wanted", "other_ids", "other_labels")}
-    yield from whole()
-
 
 def _first(score: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
     """Places of the ``n`` highest scores, ties to smaller ids."""
@@ -164,21 +147,16 @@ def first_in_windows(tile: np.ndarray, ids, labels, wanted, other_ids, other_lab
 
 def _summed_tiles(anchors: DataFrame, panels: DataFrame, width: int, chunk: int, reduce: Callable[..., dict[str, np.ndarray]], names: list[str]) -> DataFrame:
     """``anchors`` are panels with the place ``j`` of each row block they meet."""
-    own = anchors.select("i", "j", "k", "ids", "labels", "wanted", "panel", "n")
-    other = panels.select(F.col("at").alias("j"), "k", F.col("ids").alias("other_ids"), F.col("labels").alias("other_labels"), F.col("panel").alias("other_panel"), F.col("n").alias("m"))
-    partials = own.join(other.hint("merge"), ["j", "k"]).mapInArrow(partial(_products, width=width, chunk=chunk), _PARTIAL)
-    return partials.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(partial(_added, reduce=reduce, names=names), ", ".join(f"{n} long" for n in names))
+    own = anchors.select("j", "ids", "labels", "wanted", "panel", "n")
+    other = panels.select(F.col("at").alias("j"), F.col("ids").alias("other_ids"), F.col("labels").alias("other_labels"), F.col("panel").alias("other_panel"), F.col("n").alias("m"))
+    return own.join(other.hint("merge"), "j").mapInArrow(partial(_places, width=width, chunk=chunk, reduce=reduce, names=names), ", ".join(f"{n} long" for n in names))
 
 
-def _blocks(rows: DataFrame, width: int, chunk: int, wanted: int = 0) -> DataFrame:
-    """Panels of the rows of each block ``at``; blocks have a bounded number of rows."""
+def _blocks(rows: DataFrame, width: int, wanted: int = 0) -> DataFrame:
+    """The panel of the rows of each block ``at``; blocks have a bounded number of rows."""
     columns = ["id", "label", "v"] + (["pos"] if wanted else [])
     held = rows.groupBy("at").agg(F.collect_list(F.struct(*columns)).alias("rows"))
-    sizes = held.select("at", F.size("rows").alias("n"))
-    panels = written(held.mapInArrow(partial(_panels, width=width, chunk=chunk, wanted=wanted), _PANEL), "panels")
-    out = panels.join(sizes.select(F.col("at").alias("_at"), "n"), F.col("at") == F.col("_at")).drop("_at")
-    out.scratch_path = panels.scratch_path
-    return out
+    return written(held.mapInArrow(partial(_panels, width=width, wanted=wanted), _PANEL), "panels")
 
 
 def _dealt(rows: DataFrame, buckets: int, most: int) -> DataFrame:
@@ -205,16 +183,16 @@ def hard_negatives(
     n, width = own.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     buckets = max(1, -(-n // rows))
     dealt = written(_dealt(own, buckets, rows), "dealt")
-    grid = _blocks(dealt.select("at", "id", "label", "v"), width, chunk)
+    grid = _blocks(dealt.select("at", "id", "label", "v"), width)
     picked = dealt.where(anchors)
     number = picked.count()
     # positives: anchors in blocks of their bucket meet the shards of that bucket
     near = picked.withColumnsRenamed({"at": "_at", "first": "_first", "parts": "_parts"})
     sizes = near.groupBy("bucket").agg(F.ceil(F.count("*") / anchor_rows).alias("_n"), F.min("_first").alias("from"), F.max("_parts").alias("to"))
     placed = near.join(sizes, "bucket").withColumn("_part", F.pmod(F.xxhash64("id"), F.col("_n")))
-    own_blocks = _blocks(placed.select((F.col("bucket") * (1 << 32) + F.col("_part")).alias("at"), "id", "label", "v"), width, chunk)
+    own_blocks = _blocks(placed.select((F.col("bucket") * (1 << 32) + F.col("_part")).alias("at"), "id", "label", "v"), width)
     where = sizes.select(F.col("bucket").alias("_b"), "from", "to")
-    along = own_blocks.join(where, F.shiftright("at", 32) == F.col("_b")).select(F.col("at").alias("i"), F.explode(F.sequence("from", F.col("from") + F.col("to") - 1)).alias("j"), "k", "ids", "labels", "wanted", "panel", "n")
+    along = own_blocks.join(where, F.shiftright("at", 32) == F.col("_b")).select(F.explode(F.sequence("from", F.col("from") + F.col("to") - 1)).alias("j"), "ids", "labels", "wanted", "panel", "n")
     tiles = _summed_tiles(along, grid, width, chunk, partial(nearest_of_label, count=positives), ["anchor", "id", "score"])
     order = Window.partitionBy("anchor").orderBy(F.desc("score"), "id")
     first = tiles.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= positives)
@@ -222,9 +200,9 @@ def hard_negatives(
     # negatives: every block of anchors with its windows meets every shard
     wide = picked.select("id", "label", "v").join(found.withColumnRenamed("anchor", "id"), "id")
     parts = max(1, -(-number // anchor_rows))
-    all_blocks = _blocks(wide.select(F.pmod(F.xxhash64("id"), F.lit(parts)).alias("at"), "id", "label", "v", "pos"), width, chunk, positives)
+    all_blocks = _blocks(wide.select(F.pmod(F.xxhash64("id"), F.lit(parts)).alias("at"), "id", "label", "v", "pos"), width, positives)
     shards = dealt.agg(F.coalesce(F.max("at"), F.lit(-1))).first()[0] + 1
-    across = all_blocks.select(F.col("at").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("j"), "k", "ids", "labels", "wanted", "panel", "n")
+    across = all_blocks.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("j"), "ids", "labels", "wanted", "panel", "n")
     if not shards:
         across = across.limit(0)
     names = ["anchor", "positive", "positive_score", "id", "score"]
