@@ -67,7 +67,10 @@ def base_merge(readings: DataFrame, tolerance: float = 0.001, least: int = 2) ->
 
 
 def with_base(readings: DataFrame, merged: DataFrame) -> DataFrame:
-    """Adds ``base_norm``: none but for indices, the declared base, or the one that a blank reading was merged into."""
+    """Adds ``base_norm``: none but for indices, the declared base, or the one that a blank reading was merged into.
+
+    Give ``merged`` as a table of files: Spark then knows that it is small, and readings meet it without an exchange.
+    """
     base = F.when(F.col("kind") != "index", "").when(F.col("index_base") != "", F.col("index_base")).otherwise(F.coalesce("base", F.lit("")))
     return readings.join(merged, "measure_key", "left").withColumn("base_norm", base).drop("base")
 
@@ -98,6 +101,19 @@ def chartable(readings: DataFrame, suspects: DataFrame, doubtful: DataFrame, hid
     return fit.join(suspects, "series_key", "left_anti").join(doubtful, "series_key", "left_anti").select("series_key", "kind", "n_points")
 
 
+def chartable_at_once(readings: DataFrame, low: float, high: float, doubtful: int, order: tuple[str, ...] = LATEST_FIRST, hidden: str = "change", least: int = 3) -> DataFrame:
+    """``chartable`` from one pass: periods are brought together with their current value, then series.
+
+    Left out are series that mix magnitudes (see ``suspect``) and those of which more than ``doubtful`` periods have several values.
+    """
+    rounded = F.round("value", 3)
+    cells = readings.groupBy("series_key", "kind", "period").agg(F.max_by("value", F.struct(*order)).alias("value"), (F.min(rounded) != F.max(rounded)).alias("several"))
+    found = cells.groupBy("series_key", "kind").agg(F.count("*").alias("n_points"), F.min("value").alias("low"), F.max("value").alias("high"), F.count_if("several").alias("n"))
+    enough = F.col("n_points") >= least
+    fit = enough & (F.col("kind") != hidden) & (F.col("low") != F.col("high")) & (F.col("n") <= doubtful)
+    return found.where(fit & ~((F.col("low") < low) & (F.col("high") > high))).select("series_key", "kind", "n_points")
+
+
 def place_coverage(facts: DataFrame, least: int = 8) -> DataFrame:
     """Metrics and periods that at least so many places report."""
     return facts.groupBy("row_en", "kind", "period").agg(F.count_distinct("place").alias("n_places")).where(F.col("n_places") >= least)

@@ -102,9 +102,11 @@ def revision_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 join (select category_id, min(product) as product, count(distinct pub_id) as n_releases from facts group by 1) p using (category_id)
 join (select category_id, pub_id, max(period) as max_period from facts group by 1, 2) r on r.category_id = l.category_id and r.pub_id = l.pub_id""", facts=True)
 def star_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = _latest(spark, sf_dir).select("series_key", "category_id", "pub_id", "period", "value")
-    product = product_dim(spark, sf_dir).drop("product_key")
-    release = release_dim(spark, sf_dir).drop("n_facts")
+    facts = staged(trade_facts(spark, sf_dir).drop("place"), "facts")
+    fact = W.latest(W.keyed(facts)).select("series_key", "category_id", "pub_id", "period", "value")
+    named = staged(facts.groupBy("category_id", "pub_id").agg(F.max("period").alias("max_period"), F.min("product").alias("product")), "releases")
+    product = named.groupBy("category_id").agg(F.min("product").alias("product"), F.count("*").alias("n_releases"))
+    release = named.drop("product")
     return fact.join(product, "category_id").join(release, ["category_id", "pub_id"]).select("series_key", "period", "value", "product", "n_releases", "max_period")
 
 
@@ -136,9 +138,7 @@ and series_key not in (select series_key from latest group by 1 having min(value
 and series_key not in (select series_key from {AMBIGUOUS} where n_periods_ambiguous > 4)
 group by 1, 2 having count(*) >= 3 and min(value) <> max(value)""", facts=True)
 def chartable_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = _keyed(spark, sf_dir)
-    now = W.latest(readings)
-    return W.chartable(now, W.suspect(now, ["series_key"], 10, 49), W.ambiguous(readings).where("n_periods_ambiguous > 4"))
+    return W.chartable_at_once(_keyed(spark, sf_dir), 10, 49, 4)
 
 
 MERGED = """(select measure_key, base from
@@ -156,8 +156,9 @@ def base_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""select measure_key, case when kind <> 'index' then '' when index_base <> '' then index_base else coalesce(base, '') end as base_norm, count(*) as n_obs, sum(value) as total
 from keyed left join {MERGED} using (measure_key) group by 1, 2""", facts=True)
 def base_norm_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = _keyed(spark, sf_dir)
-    return W.with_base(readings, W.base_merge(readings, 0.9)).groupBy("measure_key", "base_norm").agg(F.count("*").alias("n_obs"), F.sum("value").alias("total"))
+    points = _keyed(spark, sf_dir).groupBy("measure_key", "kind", "index_base", "period").agg(F.max("value").alias("value"), F.count("*").alias("n"), F.sum("value").alias("s"))
+    points = staged(points, "points")
+    return W.with_base(points, staged(W.base_merge(points, 0.9), "bases")).groupBy("measure_key", "base_norm").agg(F.sum("n").alias("n_obs"), F.sum("s").alias("total"))
 
 
 @query("""select row_en, col_en, kind, max(case when y = '1995-02' then n end) as n_first, max(case when y = '2001-10' then n end) as n_last
