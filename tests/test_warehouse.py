@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import warehouse as W
 from tidemark.operators.gate import Check, gate, watched
 from tidemark.operators.star import Warehouse
+from tidemark.sinks.staging import staged
 from tidemark.sources.tables import FACTS
 from tidemark.sources.trade_releases import RELEASE_ORDER, trade_files, trade_releases
 
@@ -68,6 +69,33 @@ def test_a_second_build_replaces_the_first(spark):
         assert house.observations().count() == n
 
 
+def test_a_build_makes_only_what_is_asked_for(spark):
+    house = build(spark, fact(), fact(pub_id="11"), tables=("dim_release",))
+    assert house.releases().count() == 2
+    assert [t.name for t in spark.catalog.listTables(house.database)] == ["dim_release"]
+
+
+def test_readings_are_exchanged_by_series_alone_and_staged_without_long_keys(spark, monkeypatch):
+    from tidemark.operators import star
+
+    made = {}
+    monkeypatch.setattr(star, "staged", lambda df, name: made.setdefault(name, staged(df, name)))
+    monkeypatch.setattr(Warehouse, "_write", lambda self, df, name, *_: made.setdefault(name, df))
+    build(spark, fact(), fact(kind="value"), tables=("reading", "dim_series"))
+    assert {"measure_key", "value"} <= {*made["keyed"].columns} and not {"series_key", "release_key", "product_key", "product", "source_sha256"} & {*made["keyed"].columns}
+    assert plan(made["reading"]).count("Exchange ") == plan(made["reading"]).count("BroadcastExchange ") + 1
+
+
+def test_chartable_at_once_equals_the_rules_one_by_one(spark):
+    from tidemark.sources.tables import trade_facts
+
+    readings = W.keyed(trade_facts(spark, DATA)).withColumn("series_key", F.concat("category_id", "kind"))
+    now = W.latest(readings)
+    apart = W.chartable(now, W.suspect(now, ["series_key"], 2, 49), W.ambiguous(readings).where("n_periods_ambiguous > 82"))
+    once = W.chartable_at_once(readings, 2, 49, 82)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, apart.collect())) and 0 < once.count() < readings.select("series_key").distinct().count()
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -19,11 +19,27 @@ from tidemark.sinks.staging import folder, staged
 #: Exported columns of a fact.
 FACT = ("series_key", "release_key", "product_key", "period", "period_type", "value", "weight_pct", "table_name")
 
+#: What a build writes, by default all of it.
+TABLES = ("reading", "dim_series", "dim_release", "dim_product")
+#: Columns of a fact that tell its series and reading, and those of its release.
+_SAID = ("category_id", "pub_id", "table", "row_en", "row_ar", "col_en", "col_ar", "kind", "index_base", "period", "period_type", "value", "weight_pct")
+_RELEASED = ("release_title", "source_file", "source_sha256", "product", "domain", "subdomain")
+
 
 def _stated(name: str) -> Column:
     return F.coalesce(F.max(F.nullif(F.col(name), F.lit(""))), F.lit("")).alias(name)
 
 
+def _release_key() -> Column:
+    return joined_key(F.col("category_id"), F.col("pub_id"))
+
+
+def _series(based: DataFrame) -> DataFrame:
+    """A label that some release leaves out does not blank the name that others carry."""
+    by = based.groupBy("series_key", F.md5("category_id").alias("product_key"), "category_id", F.coalesce("kind", F.lit("")).alias("kind"), F.col("base_norm").alias("index_base"))
+    return by.agg(*map(_stated, ("row_en", "row_ar", "col_en", "col_ar")), F.min("period_type").alias("period_type"), F.min("table_name").alias("table_name"))
+
+
 class Warehouse:
     """A database of the tables ``reading``, ``dim_series``, ``dim_release`` and ``dim_product``, and the views over them."""
 
@@ -31,34 +47,46 @@ class Warehouse:
         self.spark, self.database = spark, database
 
     @classmethod
-    def build(cls, facts: DataFrame, files: DataFrame | None = None, database: str | None = None, order: tuple[str, ...] = ("pub_id",), tolerance: float = 0.001, buckets: int | None = None) -> Warehouse:
-        """Writes the tables, replacing those of an earlier build; ``facts`` is read once.
+    def build(cls, facts: DataFrame, files: DataFrame | None = None, database: str | None = None, order: tuple[str, ...] = ("pub_id",), tolerance: float = 0.001, buckets: int | None = None, tables: tuple[str, ...] = TABLES) -> Warehouse:
+        """Writes the ``tables``, replacing those of an earlier build; ``facts`` is read once.
 
         ``facts`` has the columns of a facts file, nulls allowed but in ``category_id`` and ``pub_id``; rows that admission
         refuses leave no trace. ``files`` gives links by ``category_id`` and ``sha256``, the least of several is taken.
         ``order`` tells the readings of a series and period apart, latest last: it must be total for a defined result.
         ``buckets`` is the number of buckets, by default that of shuffle partitions; give more for more data.
-        Facts may be empty: the tables are then empty, too.
+        Facts may be empty: the tables are then empty, too. Views of tables that were left out can't be asked for;
+        ``dim_product`` is made of ``dim_release``.
+
+        Keys are long and don't compress, so but for that of the measure they are made where they are needed and not staged;
+        a reading is exchanged once, without what its series or its release says.
         """
         spark = facts.sparkSession
         name = database or f"tidemark_{uuid.uuid4().hex}"
         spark.sql(f"create database if not exists {name}")
         house, n = cls(spark, name), buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        keyed = staged(W.keyed(W.admitted(facts)).withColumn("release_key", joined_key(F.col("category_id"), F.col("pub_id"))).withColumn("product_key", F.md5("category_id")), "keyed")
-        based = W.with_base(keyed, W.base_merge(keyed, tolerance)).withColumn("series_key", joined_key(F.col("measure_key"), F.col("base_norm")))
-        ranked = W.ranked(based.repartition(n, "series_key"), order).withColumn("superseded", F.col("rn") > 1).withColumnRenamed("table", "table_name")
-        kept = ranked.select(*FACT, "category_id", "row_en", "row_ar", "col_en", "col_ar", F.coalesce("kind", F.lit("")).alias("kind"), F.col("base_norm").alias("index_base"), "rn", "superseded")
-        house._write(kept, "reading", n, "superseded")
-        house._write(house._series(), "dim_series", n)
-        release = keyed.groupBy("release_key", "category_id", "pub_id").agg(
-            F.min("release_title").alias("title"), F.min("source_file").alias("source_file"), F.min("source_sha256").alias("source_sha256"), F.max("period").alias("max_period"),
-            *(F.min(c).alias(c) for c in ("product", "domain", "subdomain")),
-        )
-        links = (spark.createDataFrame([], "category_id string, sha256 string, url string") if files is None else files).where("sha256 is not null and url is not null")
-        links = links.groupBy("category_id", F.col("sha256").alias("source_sha256")).agg(F.min("url").alias("source_url"))
-        house._save(release.join(links, ["category_id", "source_sha256"], "left").write, "dim_release")
-        by_product = house.table("dim_release").groupBy(F.md5("category_id").alias("product_key"), "category_id")
-        house._save(by_product.agg(*(F.min(c).alias(c) for c in ("product", "domain", "subdomain")), F.count("*").alias("n_releases")).write, "dim_product")
+        known, by_series = W.admitted(facts), {"reading", "dim_series"} & {*tables}
+        if by_series:
+            wanted = [c for c in facts.columns if c in {*_SAID, *order} or ("dim_release" in tables and c in _RELEASED)]
+            known = staged(W.keyed(known.select(*wanted)).drop("series_key"), "keyed")
+            based = W.with_base(known, staged(W.base_merge(known, tolerance), "bases")).withColumn("series_key", joined_key(F.col("measure_key"), F.col("base_norm"))).withColumnRenamed("table", "table_name")
+        if "dim_series" in tables:
+            house._write(_series(based), "dim_series", n)
+        if "reading" in tables:
+            carried = {"series_key", "period", "period_type", "value", "weight_pct", "table_name", "category_id", "pub_id", *order}
+            ranked = W.ranked(based.select(*(c for c in based.columns if c in carried)).repartition(n, "series_key"), order).withColumn("superseded", F.col("rn") > 1)
+            house._write(ranked.withColumn("release_key", _release_key()).withColumn("product_key", F.md5("category_id")).select(*FACT, "rn", "superseded"), "reading", n, "superseded")
+        if "dim_release" in tables:
+            release = known.groupBy("category_id", "pub_id").agg(
+                F.min("release_title").alias("title"), F.min("source_file").alias("source_file"), F.min("source_sha256").alias("source_sha256"), F.max("period").alias("max_period"),
+                *(F.min(c).alias(c) for c in ("product", "domain", "subdomain")),
+            )
+            release = release.select(_release_key().alias("release_key"), "*")
+            links = (spark.createDataFrame([], "category_id string, sha256 string, url string") if files is None else files).where("sha256 is not null and url is not null")
+            links = links.groupBy("category_id", F.col("sha256").alias("source_sha256")).agg(F.min("url").alias("source_url"))
+            house._save(release.join(links, ["category_id", "source_sha256"], "left").write, "dim_release")
+        if "dim_product" in tables:
+            by_product = house.table("dim_release").groupBy(F.md5("category_id").alias("product_key"), "category_id")
+            house._save(by_product.agg(*(F.min(c).alias(c) for c in ("product", "domain", "subdomain")), F.count("*").alias("n_releases")).write, "dim_product")
         return house
 
     def _write(self, df: DataFrame, name: str, buckets: int, *parts: str) -> None:
@@ -71,11 +99,6 @@ class Warehouse:
         where = f"{folder(self.spark)}/{self.database}/{name}"
         rows.mode("overwrite").option("compression", "zstd").option("path", where).saveAsTable(f"{self.database}.{name}")
 
-    def _series(self) -> DataFrame:
-        """A label that some release leaves out does not blank the name that others carry."""
-        by = self.table("reading").groupBy("series_key", "product_key", "category_id", "kind", "index_base")
-        return by.agg(*map(_stated, ("row_en", "row_ar", "col_en", "col_ar")), F.min("period_type").alias("period_type"), F.min("table_name").alias("table_name"))
-
     def table(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{name}")
 
