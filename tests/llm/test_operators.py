@@ -181,6 +181,20 @@ def test_pipeline_drops_near_copies(spark, none):
     assert corpus_pipeline.near_duplicates(spark, none, "").count() == 0
 
 
+def test_near_copies_come_through_the_gray_order_index(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(near_copies, "gray_pairs", lambda marked, real=near_copies.gray_pairs: asked.append(real(marked)) or asked[-1])
+    monkeypatch.setattr(near_copies, "band_keys", lambda s: np.arange(near_copies.BANDS) * 1_000_003 + len(s) * 7919 if len(s) else np.zeros(near_copies.BANDS, np.int64))
+    words = _prose(41, 3000).split()
+    changed = [*words[:1500], "other", *words[1500:]]
+    other = _prose(42, 500)
+    rows = [(0, " ".join(words)), (1, " ".join(changed)), (2, other), (3, None), (4, " ")]
+    found = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    root = {r._id: r.root for r in found}
+    assert asked and root[0] == root[1] != root[2] and root[3] == root[4]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
 @pytest.mark.parametrize("odd", ["If x <y, it's so.", '<a href="/x>link</a>', "<svg class='i'/>", "<math/>", "<canvas>", "<object data=x>", "<video src=x>", "</ >", "a <b it's", "<canvas><canvas></canvas>"])
 def test_html_goes_on_after_odd_tags(odd):
     blocks = [_prose(n, 40) for n in range(3)]

@@ -1,12 +1,14 @@
-"""Near copies by the exact similarity of their word shingles.
+"""Near copies by SimHash's Gray-order index, MinHash keys and the exact similarity of their word shingles.
 
 Two texts link when the sets of their shingles of five words have a Jaccard similarity of 0.8 at least.
-Candidates meet under ``BANDS`` keys, each of ``ROWS`` least values (MinHash): a pair of similarity s meets with
-probability 1 - (1 - s**6)**32, which is 0.99994 at 0.8 and more above.  A 64-bit SimHash can't find them: such pairs differ
-by up to 11 bits and more, and ranges for so many bits are too short to be exchange keys.
-
-Every candidate is verified on the whole texts.  First each text is held against the least text under its keys; then all
-pairs under one key that the links so far leave in different components, so a chain whose ends are unlike is found too.
+Candidates come from two indexes.  The Gray-order index of ``simhash`` finds texts whose fingerprints differ in at most two
+bits; each is held against the least text of its group.  Pairs near 0.8 differ by up to 11 bits and more, and ranges for
+so many bits are too short to be exchange keys, so these meet under ``BANDS`` keys, each of ``ROWS`` least values (MinHash): a
+pair of similarity s meets with probability 1 - (1 - s**6)**32, which is 0.99994 at 0.8 and more above.
+
+Every candidate is verified on the whole texts.  First each text is held against the least text of its fingerprints' group
+and of its keys; then all pairs under one key that the links so far leave in different components, so a chain whose ends are
+unlike is found too.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .scratch import written
-from .simhash import one_of_each, shingle_hashes
+from .scratch import drop, written
+from .simhash import fingerprinted, links, one_of_each, shingle_hashes
 
 WIDTH, BANDS, ROWS = 5, 32, 6
 #: Similarity that links, as a fraction.
@@ -28,8 +30,8 @@ SHARE = (4, 5)
 _FACTORS, _SHIFTS = np.random.default_rng(42).integers(0, 1 << 32, (2, BANDS * ROWS), np.uint32)
 _FACTORS |= np.uint32(1)
 _CHUNK, _BATCH = 4096, 256
-#: Sets that a task remembers.
-_KNOWN = 10_000
+#: Shingles that a task remembers.
+_KNOWN = 1_000_000
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
@@ -63,11 +65,14 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[int, np.ndarray] = {}
+    held = 0
 
     def sets(nodes: list[int], texts: pa.Array) -> list[np.ndarray]:
+        nonlocal held
         for i, node in enumerate(nodes):
             if node not in known:
                 known[node] = np.unique(shingle_hashes(texts[i].as_py(), WIDTH))
+                held += len(known[node])
         return [known[node] for node in nodes]
 
     for whole in batches:
@@ -76,8 +81,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = (sets(batch.column(node).to_pylist(), batch.column(text).cast(pa.binary())) for node, text in (("a", "_left"), ("b", "_right")))
             some = pa.array([alike(x, y) for x, y in zip(left, right, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(some), batch.column("b").filter(some)], ["a", "b"])
-            if len(known) > _KNOWN:  # bounded memory: the task begins anew
+            if held > _KNOWN:  # bounded memory: the task begins anew
                 known.clear()
+                held = 0
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -86,6 +92,15 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "_left", "_right").mapInArrow(_verified, "a long, b long")
 
 
+def gray_pairs(marked: DataFrame) -> DataFrame:
+    """``(a, b)`` from ``marked(_h, _fp)``: each text with the least of those that the Gray-order index links it to."""
+    once = marked.select("_h", "_fp").distinct()
+    roots = written(components(links(once.select("_fp").distinct())), "roots")
+    grouped = once.join(roots.withColumnRenamed("node", "_fp"), "_fp", "left").select("_h", F.coalesce("root", "_fp").alias("_group"))
+    least = grouped.groupBy("_group").agg(F.min("_h").alias("b"), F.count("*").alias("n")).where("n > 1").select("_group", "b")
+    return grouped.join(least, "_group").where(F.col("_h") != F.col("b")).select(F.col("_h").alias("a"), "b")
+
+
 def _sizes_fit() -> F.Column:
     """Sets whose sizes differ by more than the share can't reach it."""
     return F.least("_size", "_other") * SHARE[1] >= F.greatest("_size", "_other") * SHARE[0]
@@ -98,24 +113,29 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_text"))
-    rows = written(source.mapInArrow(_sketched, "_id long, _h long, _size long, _keys array<long>"), "sketches")
+    rows = written(source.mapInArrow(_sketched, "_id long, _h long, _size long, _keys array<long>"), "sketches", _BATCH)
     once = rows.groupBy("_h").agg(F.min("_size").alias("_size"), F.min("_keys").alias("_keys"))
     every = once.select("_h", "_size", F.explode("_keys").alias("_key"))
     least = every.groupBy("_key").agg(F.min(F.struct("_h", "_size")).alias("m"), F.count("*").alias("n")).where("n > 1").select("_key", F.col("m._h").alias("b"), F.col("m._size").alias("_other"))
     met = written(every.join(least, "_key"), "met")
-    first = written(met.where((F.col("_h") != F.col("b")) & _sizes_fit()).select(F.col("_h").alias("a"), "b").distinct(), "pairs")
-    texts = source.select("_h", "_text").join(met.select("_h").distinct(), "_h", "left_semi").groupBy("_h").agg(F.first("_text").alias("_text"))
+    marked = fingerprinted(docs, id_col, text_col)
+    under_keys = met.where((F.col("_h") != F.col("b")) & _sizes_fit()).select(F.col("_h").alias("a"), "b")
+    first = written(under_keys.union(gray_pairs(marked)).distinct(), "pairs")
+    wanted = met.select("_h").union(first.select("a")).union(first.select("b")).distinct()
+    texts = source.select("_h", "_text").join(wanted, "_h", "left_semi").groupBy("_h").agg(F.first("_text").alias("_text"))
     texts = written(texts, "texts")
-    links = written(_links(first, texts), "links")
+    found = written(_links(first, texts), "links", _BATCH)
     # keys that the first links leave in more than one component: all pairs across these
-    roots = written(components(links), "roots")
+    roots = written(components(found), "roots")
     labelled = met.join(roots.withColumnRenamed("node", "_h"), "_h", "left").select("_key", "_h", "_size", F.coalesce("root", "_h").alias("_root"))
     several = labelled.groupBy("_key").agg(F.min("_root").alias("x"), F.max("_root").alias("y")).where("x < y").select("_key")
     open_rows = written(labelled.join(several, "_key"), "open")
     other = open_rows.select("_key", F.col("_h").alias("b"), F.col("_size").alias("_other"), F.col("_root").alias("_far"))
     across = open_rows.withColumnRenamed("_h", "a").join(other, "_key").where((F.col("_root") < F.col("_far")) & _sizes_fit())
     pairs = written(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    rooted = components(links.union(_links(pairs, texts))).select(F.col("node").alias("_h"), "root")
+    more = written(_links(pairs, texts), "links", _BATCH)
+    rooted = components(found.union(more)).select(F.col("node").alias("_h"), "root")
+    drop(met, marked, first, texts, found, roots, open_rows, pairs, more)
     return rows.select("_id", "_h").join(rooted, "_h", "left").select("_id", "_h", F.coalesce("root", "_h").alias("root"))
 
 

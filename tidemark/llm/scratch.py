@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Spark's setting that removes the shuffle files of a query when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's setting of the rows that go to a Python worker at once.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,15 +34,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again."""
+def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read again; ``batch`` rows at most go to a Python worker at once, where they are large."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    settings = {_CLEANUP: "true"} | ({_BATCH: str(batch)} if batch else {})
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
