@@ -80,3 +80,10 @@ def test_each_sheet_has_facts_or_one_reject(spark):
     assert {*facts.sheet} == {"matrix", "series"}
     facts, rejects = _read(spark, cells.limit(0))
     assert not len(facts) and not rejects
+
+
+def test_sheets_are_written_once_from_the_trade_tables(spark):
+    from tidemark.plans import sheets
+
+    for query in (sheets.sheet_headings, sheets.sheet_rejects):
+        assert "lineitem.parquet" not in query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import recipes as R
 from tidemark.operators import sheets as S
 from tidemark.plans.catalogue import query
+from tidemark.sinks.staging import staged
 from tidemark.sources.trade_sheets import level_sheets, trade_sheets
 
 #: Values by supplier, brand and quarter; brands with their row; columns with numbers in a fifth of the block's rows.
@@ -42,8 +43,8 @@ select 'S' || s_suppkey, 30, 'Index Numbers 2001 Total', 'الأرقام الق
 union all
 select 'S' || s_suppkey, c, en, ar, null from supplier, (values (2, 'Returned quantity', 'المرتجع'), (3, 'Change in open quantity', ''), (4, 'Accepted index', '')) n(c, en, ar) where s_suppkey % 3 = 1""")
 def sheet_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = S.typed(trade_sheets(spark, sf_dir))
-    return S.headings(cells, S.blocks(cells)).select("sheet", "c", "en", "ar", "period")
+    cells = staged(S.typed(trade_sheets(spark, sf_dir)), "cells")
+    return S.headings(cells, staged(S.blocks(cells), "blocks")).select("sheet", "c", "en", "ar", "period")
 
 
 @query(f"""with {_WRITTEN},
@@ -57,13 +58,13 @@ union all
 select 'S' || k, 'row-series-v1', case flag when 'R' then 'Returned quantity' when 'N' then 'Change in open quantity' else 'Accepted index' end, case flag when 'R' then 'المرتجع' else '' end, '', '',
  case flag when 'R' then 'value' when 'N' then 'change' else 'index' end, {_PERIOD}, sum(v), '' from w where k % 3 = 1 group by k, flag, q""")
 def sheet_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, _ = S.read_sheets(trade_sheets(spark, sf_dir))
+    facts, _ = S.read_sheets(staged(trade_sheets(spark, sf_dir), "sheets"))
     return facts.drop("weight")
 
 
 @query("select 'S' || s_suppkey as sheet, case when s_suppkey % 6 = 2 then 'no data block found' else 'no row-label column' end as reason from supplier where s_suppkey % 3 = 2")
 def sheet_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.read_sheets(trade_sheets(spark, sf_dir))[1]
+    return S.read_sheets(staged(trade_sheets(spark, sf_dir), "sheets"))[1]
 
 
 #: Suppliers with sums by brand, and what their sheets are wanted for: January of even suppliers, February of odd ones, a month that none has of each thirteenth.
