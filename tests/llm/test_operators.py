@@ -418,3 +418,32 @@ def test_stages_bear_clashing_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = spark.createDataFrame(stage(spark, docs, "").collect(), docs.schema)
     assert docs.count() == 80 and corpus_pipeline.packing(spark, docs, "").count() == 80
+
+
+@pytest.mark.parametrize("block", [near_copies.BLOCK, 7])
+def test_near_copies_compare_blocks_without_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    monkeypatch.setattr(near_copies, "band_keys", lambda s: np.arange(near_copies.BANDS) * 1_000_003)  # all under the same keys
+    rows = []
+    for i in range(80):  # chains of texts like the next alone, and texts that are like none
+        words = _prose(51, 150).split()
+        for at in (0, 12, 24, 36, 48, 110, 122, 134):
+            words[at + i // 8] = f"chain{i // 8}"
+        for at in range(60, 60 + 6 * (i % 8)):
+            words[at] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    label = [*range(len(rows))]
+    while True:
+        after = [min(label[j] for j, b in enumerate(sets) if 5 * len(a & b) >= 4 * len(a | b)) for a in sets]
+        if after == label:
+            break
+        label = after
+    made = {}
+    monkeypatch.setattr(near_copies, "written", lambda df, name, batch=None, real=near_copies.written: made.setdefault(name, []).append(real(df, name, batch)) or made[name][-1])
+    monkeypatch.setattr(near_copies, "drop", lambda *tables: None)
+    found = {r._id: r.root for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    groups = lambda of: sorted(sorted(i for i in of if of[i] == r) for r in set(of.values()))
+    assert groups(found) == groups(dict(enumerate(label))) and 1 < len(set(label)) < len(rows)
+    assert len(made["pairs"]) == 1  # no table of all pairs
+    assert all(t.count() < 40 * len(rows) for t in made["links"])

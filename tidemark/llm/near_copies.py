@@ -8,7 +8,8 @@ pair of similarity s meets with probability 1 - (1 - s**6)**32, which is 0.99994
 
 Every candidate is verified on the whole texts.  First each text is held against the least text of its fingerprints' group
 and of its keys; then all pairs under one key that the links so far leave in different components, so a chain whose ends are
-unlike is found too.
+unlike is found too.  The texts of such a key are dealt into blocks, and a task holds two blocks at a time: it counts what
+all their pairs share by products of matrices and gives at most one link a text, so that rows grow with texts times blocks, not with pairs.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ _FACTORS |= np.uint32(1)
 _CHUNK, _BATCH = 4096, 256
 #: Shingles that a task remembers.
 _KNOWN = 1_000_000
+#: Texts and shingles that a block of the texts under one key holds, about.
+BLOCK, _HELD = 256, 1 << 17
+_LAST = np.iinfo(np.int64).max
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
@@ -101,6 +105,52 @@ def gray_pairs(marked: DataFrame) -> DataFrame:
     return grouped.join(least, "_group").where(F.col("_h") != F.col("b")).select(F.col("_h").alias("a"), "b")
 
 
+def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of shingles that the sets ``left`` have in common with the sets ``right``."""
+    every, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[which]  # a shingle of one set is shared with none
+    row = np.repeat(np.arange(len(sets)), [*map(len, sets)])[number >= 0]
+    number = number[number >= 0]
+    order = np.argsort(number)
+    row, number = row[order], number[order]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int((count > 1).sum()), _CHUNK):
+        a, b = np.searchsorted(number, [at, at + _CHUNK])
+        ones = np.zeros((len(sets), _CHUNK), np.float32)
+        ones[row[a:b], number[a:b] - at] = 1
+        both += (ones[left] @ ones[right].T).astype(np.int64)  # up to 4,096, so exact
+    return both
+
+
+def _tile(group: pa.Table) -> pa.Table:
+    """Each text of two blocks with the least text that links between the blocks lead to; those that lead to none have no row."""
+    node, root, own, i, j = (group.column(c).to_numpy() for c in ("_h", "_root", "_own", "_i", "_j"))
+    left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
+    label = node.copy()
+    if len(left) and len(right):
+        sets = [np.unique(shingle_hashes(t, WIDTH)) for t in group.column("_text").cast(pa.binary()).to_pylist()]
+        size = np.array([*map(len, sets)])
+        both = shared_counts(sets, left, right)
+        linked = SHARE[1] * both >= SHARE[0] * (size[left][:, None] + size[right] - both)
+        linked &= root[left][:, None] != root[right]
+        before = None
+        while linked.any() and not np.array_equal(label, before):
+            before = label.copy()
+            label[left] = np.minimum(label[left], np.where(linked, label[right], _LAST).min(axis=1))
+            label[right] = np.minimum(label[right], np.where(linked, label[left][:, None], _LAST).min(axis=0))
+    some = label != node
+    return pa.table({"a": node[some], "b": label[some]})
+
+
+def links_across(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(a, b)`` from ``rows(_key, _h, _size, _root)``: links that bring together all texts under one key that are alike and have different roots."""
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_size") / _HELD), F.lit(1))
+    dealt = rows.join(rows.groupBy("_key").agg(blocks.alias("_blocks")), "_key").withColumn("_own", F.expr("pmod(xxhash64(_h), _blocks)"))
+    tiles = dealt.select("_key", "_h", "_root", "_own", F.explode(F.expr("sequence(0L, _blocks - 1)")).alias("_with"))
+    tiles = tiles.select("_key", "_h", "_root", "_own", F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j"))
+    return tiles.join(texts.hint("merge"), "_h").groupBy("_key", "_i", "_j").applyInArrow(_tile, "a long, b long").distinct()
+
+
 def _sizes_fit() -> F.Column:
     """Sets whose sizes differ by more than the share can't reach it."""
     return F.least("_size", "_other") * SHARE[1] >= F.greatest("_size", "_other") * SHARE[0]
@@ -130,12 +180,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     labelled = met.join(roots.withColumnRenamed("node", "_h"), "_h", "left").select("_key", "_h", "_size", F.coalesce("root", "_h").alias("_root"))
     several = labelled.groupBy("_key").agg(F.min("_root").alias("x"), F.max("_root").alias("y")).where("x < y").select("_key")
     open_rows = written(labelled.join(several, "_key"), "open")
-    other = open_rows.select("_key", F.col("_h").alias("b"), F.col("_size").alias("_other"), F.col("_root").alias("_far"))
-    across = open_rows.withColumnRenamed("_h", "a").join(other, "_key").where((F.col("_root") < F.col("_far")) & _sizes_fit())
-    pairs = written(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    more = written(_links(pairs, texts), "links", _BATCH)
+    more = written(links_across(open_rows, texts), "links")
     rooted = components(found.union(more)).select(F.col("node").alias("_h"), "root")
-    drop(met, marked, first, texts, found, roots, open_rows, pairs, more)
+    drop(met, marked, first, texts, found, roots, open_rows, more)
     return rows.select("_id", "_h").join(rooted, "_h", "left").select("_id", "_h", F.coalesce("root", "_h").alias("root"))
 
 
