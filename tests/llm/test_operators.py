@@ -447,3 +447,26 @@ def test_near_copies_compare_blocks_without_pairs(spark, monkeypatch, block):
     assert groups(found) == groups(dict(enumerate(label))) and 1 < len(set(label)) < len(rows)
     assert len(made["pairs"]) == 1  # no table of all pairs
     assert all(t.count() < 40 * len(rows) for t in made["links"])
+
+
+@pytest.mark.parametrize("piece", [suffixes.PIECE, 6])
+def test_repeated_strings_of_a_hot_core(spark, monkeypatch, piece):
+    monkeypatch.setattr(suffixes, "PIECE", piece)
+    monkeypatch.setattr(suffixes, "BUCKET", 20)
+    size, base = suffixes.LENGTH, _prose(61, 60)
+    rows = [(i, f"{_prose(100 + i % 17, 9)} {base[i % 5 * 9 : len(base) - i % 7 * 11]} {_prose(200 + i % 23, 9)}") for i in range(60)]
+    seen = Counter(t[i : i + size] for _, t in rows for i in range(len(t) - size + 1))
+    expected = set()
+    for doc, text in rows:
+        gone = np.zeros(len(text), bool)
+        for i in range(len(text) - size + 1):
+            if seen[text[i : i + size]] > 1:
+                gone[i : i + size] = True
+        expected.add((doc, hashlib.sha256(bytes(b for b, g in zip(text.encode(), gone) if not g)).hexdigest()))
+    made = {}
+    monkeypatch.setattr(suffixes, "written", lambda df, name, real=suffixes.written: made.setdefault(name, real(df, name)))
+    monkeypatch.setattr(suffixes, "drop", lambda *tables: None)
+    found = suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.kept_sha256) for r in found} == expected and len({k for _, k in expected}) > 1
+    strings = made["sorted"].selectExpr("inline(strings)").count()
+    assert (strings == 0) if piece == suffixes.PIECE and piece > 60 else strings > 0

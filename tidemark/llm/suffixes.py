@@ -8,13 +8,13 @@ about 72, and of these only those with a half whose core occurs again, by a 64-b
 
 * The bytes that the strings of a half reach are its context.  Equal contexts are first brought together (by a 128-bit
   digest): each is then sorted once, with its number of copies.
-* Sampled splitters range-partition the suffixes by their leading bytes, then the core's hash, then a digest as salt, so
-  a core that a third of all rows hold is dealt over as many buckets as its rows fill.
+* Sampled splitters range-partition the suffixes by their leading bytes, then the core's hash, so a bucket holds whole cores.
+  Only a core of more than ``PIECE`` contexts is cut, by a digest as salt, into as many pieces as its contexts fill.
 * A bucket sorts its suffixes by multikey quicksort, eight bytes a key, and again by the bytes
   before the anchor, read backwards.  A string that starts ``o`` bytes before the anchor occurs
   again if both orders put the suffix in a common run: ``LENGTH - o`` common bytes after, ``o`` before.
-* The first and the last core of a bucket may go on in the buckets beside it: their strings are compared across
-  boundaries, as 128-bit digests counted with pre-aggregation.
+* The strings of a core that is cut are compared across its pieces, as 128-bit digests counted with pre-aggregation;
+  a piece gives each of its different strings once.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ from .scratch import drop, free_prefix, written
 LENGTH, GRAM = 200, 32
 #: Contexts that a bucket holds, about, and contexts that it sorts together.
 BUCKET, _SORTED = 50_000, 10_000
+#: Contexts of one core beyond which it is cut, and that a piece of it holds, about.
+PIECE = 10_000
 _HALF = (LENGTH - GRAM) // 2 + 1
 _ROWS = 256
 _LOW = np.uint64((1 << 21) - 1)
@@ -270,35 +272,55 @@ _SORT = "c1 long, c2 long, runs array<struct<first:int,last:int>>, strings array
 
 
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorts one range of suffixes: runs of starts that occur again, but for the first and the last core the digests of all strings."""
+    """Sorts one range of suffixes: runs of starts that occur again in it, and for pieces of a core that is cut the digests of their different strings."""
     held = [b for b in batches if b.num_rows]
     if not held:
         return
     table = pa.Table.from_batches(held)
-    words = np.stack([table.column(k).to_numpy().view(np.uint64) ^ _TOP for k in ("first8", "core")], axis=1)
+    words = np.stack([table.column(k).to_numpy().view(np.uint64) ^ _TOP for k in ("first8", "core", "piece")], axis=1)
     order, common = multikey_order(words)
-    heads = np.flatnonzero(common < 2)
-    inner = order[heads[1] : heads[-1]] if len(heads) > 2 else order[:0]
-    ends = order if len(heads) <= 2 else np.concatenate([order[: heads[1]], order[heads[-1] :]])
-    at = 0
-    cuts = heads[1:-1] - (heads[1] if len(heads) > 1 else 0)
-    while at < len(inner):  # whole cores at a time
-        stop = np.searchsorted(cuts, at + _SORTED)
-        end = int(cuts[stop]) if stop < len(cuts) else len(inner)
-        rows = table.take(pa.array(inner[at:end])).to_pydict()
-        found = repeated_starts(rows["bytes"], np.array(rows["lead"]), np.array(rows["span"]), np.array(rows["copies"]))
-        some = [i for i, f in enumerate(found) if len(f)]
-        yield _sorted_rows([rows["c1"][i] for i in some], [rows["c2"][i] for i in some], [_runs(found[i]) for i in some], None)
-        at = end
-    for at in range(0, len(ends), 256):
-        rows = table.take(pa.array(ends[at : at + 256])).to_pydict()
-        strings = [[dict(zip(("start", "h1", "h2"), (s, *_digest(data[s : s + LENGTH])), strict=True)) for s in range(span + 1)] for data, span in zip(rows["bytes"], rows["span"], strict=True)]
-        whole = [[{"first": 0, "last": span}] if n > 1 else None for n, span in zip(rows["copies"], rows["span"], strict=True)]
-        yield _sorted_rows(rows["c1"], rows["c2"], whole, strings)
-
-
-def _sorted_rows(c1: list, c2: list, runs: list, strings: list | None) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(runs, _RUN), pa.array(strings or [None] * len(c1), _STRING)], ["c1", "c2", "runs", "strings"])
+    cut = table.column("piece").to_numpy()[order] >= 0
+    for some, most in ((~cut, _SORTED), (cut, 1)):  # whole cores, some at a time; pieces one by one
+        inner = order[some]
+        heads = np.append(np.flatnonzero(common[some] < 3), len(inner))
+        at = 0
+        while at < len(inner):
+            end = int(heads[min(np.searchsorted(heads, at + most), len(heads) - 1)])
+            rows = table.take(pa.array(inner[at:end])).to_pydict()
+            at = end
+            if most == 1:
+                yield from _piece(rows)
+                continue
+            found = repeated_starts(rows["bytes"], np.array(rows["lead"]), np.array(rows["span"]), np.array(rows["copies"]))
+            again = [i for i, f in enumerate(found) if len(f)]
+            yield _sorted_rows([rows["c1"][i] for i in again], [rows["c2"][i] for i in again], [_runs(found[i]) for i in again], None)
+
+
+def _piece(rows: dict[str, list]) -> Iterator[pa.RecordBatch]:
+    """Runs of starts that occur again in a piece, and where each of its different strings stands first."""
+    sizes = np.array(rows["span"]) + 1
+    begin = np.append(0, np.cumsum(sizes))
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    start = np.arange(len(of)) - begin[of]
+    pairs = (_digest(data[s : s + LENGTH]) for data, n in zip(rows["bytes"], sizes.tolist(), strict=True) for s in range(n))
+    h1, h2 = np.fromiter(pairs, np.dtype((np.int64, 2)), len(of)).T
+    order = np.lexsort((h2, h1))  # stable: equal strings stay in order
+    new = np.ones(len(of), bool)
+    new[1:] = (h1[order[1:]] != h1[order[:-1]]) | (h2[order[1:]] != h2[order[:-1]])
+    first, again = np.empty(len(of), bool), np.empty(len(of), bool)
+    first[order], again[order] = new, ~(new & np.append(new[1:], True))
+    again |= np.array(rows["copies"])[of] > 1
+    strings = pa.StructArray.from_arrays([pa.array(start[first], pa.int32()), pa.array(h1[first]), pa.array(h2[first])], fields=list(_STRING.value_type))
+    offsets = np.append(0, np.cumsum(first))[begin]
+    for at in range(0, len(sizes), 256):
+        end = min(at + 256, len(sizes))
+        lists = pa.ListArray.from_arrays(pa.array(offsets[at : end + 1], pa.int32()), strings)
+        runs = [_runs(start[a:b][again[a:b]]) or None for a, b in zip(begin[at:end].tolist(), begin[at + 1 : end + 1].tolist(), strict=True)]
+        yield _sorted_rows(rows["c1"][at:end], rows["c2"][at:end], runs, lists)
+
+
+def _sorted_rows(c1: list, c2: list, runs: list, strings: pa.Array | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(runs, _RUN), pa.nulls(len(c1), _STRING) if strings is None else strings], ["c1", "c2", "runs", "strings"])
 
 
 def text_key(text: Column) -> list[Column]:
@@ -328,7 +350,10 @@ def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     once = [F.first(c).alias(c) for c in ("lead", "span", "first8", "core", "bytes")]
     pool = written(members.groupBy("c1", "c2").agg(F.sum(F.size("lows")).alias("copies"), *once), "pool")
     buckets = max(1, -(-pool.count() // BUCKET))
-    dealt = pool.repartitionByRange(buckets, "first8", "core", "c1", "c2")
+    large = pool.groupBy("first8", "core").count().where(F.col("count") > PIECE).select("first8", "core", F.ceil(F.col("count") / PIECE).alias("pieces"))
+    # at most one row for PIECE contexts, so a broadcast; -1 where a core stays whole
+    parted = pool.join(F.broadcast(large), ["first8", "core"], "left").withColumn("piece", F.coalesce(F.expr("pmod(c1, pieces)"), F.lit(-1).cast("long"))).drop("pieces")
+    dealt = parted.repartitionByRange(buckets, "first8", "core", "piece")
     ranked = written(dealt.mapInArrow(_bucket, _SORT), "sorted")
     strings = ranked.where("strings is not null").select("c1", "c2", F.inline("strings"))
     twice = strings.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
