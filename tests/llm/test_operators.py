@@ -470,3 +470,21 @@ def test_repeated_strings_of_a_hot_core(spark, monkeypatch, piece):
     assert {(r.doc_id, r.kept_sha256) for r in found} == expected and len({k for _, k in expected}) > 1
     strings = made["sorted"].selectExpr("inline(strings)").count()
     assert (strings == 0) if piece == suffixes.PIECE and piece > 60 else strings > 0
+
+
+def test_byte_bpe_splits_plain_chunks_without_the_pattern():
+    import pyarrow as pa
+
+    ranks = byte_bpe.ranks_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    random.seed(5)
+    texts = ["".join(random.choices([*"aZéßªŁɐΣ中1²'.,;:!?-\t\n \x0b\x1c ́", "'s", " ", " ", " haus,"], k=random.randint(0, 30))) for _ in range(3000)]
+    words = byte_bpe._Words(ranks, byte_bpe._PATTERN)
+    names = {number: raw for raw, number in ranks.items()}
+    codes, cuts = words.codes(pa.array(texts))
+    names |= {max(ranks.values()) + 1 + i: raw for i, raw in enumerate(words.new)}
+    pattern = words.split
+    assert [[names[c] for c in codes[a:b].tolist()] for a, b in zip(cuts[:-1], cuts[1:])] == [[w.encode() for w in pattern(t)] for t in texts]
+    asked = []
+    words.split = lambda text: asked.append(text) or pattern(text)
+    words.codes(pa.array(["one Straßenzug, Überfluß. Zoë naïf"]))
+    assert asked == ["one"]

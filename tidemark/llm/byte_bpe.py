@@ -15,9 +15,9 @@ from __future__ import annotations
 
 import base64
 import functools
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ _WINDOW = 4096  # places tried together
 _TOGETHER = 1 << 22
 #: Fixed value: the pattern whose matches never reach over a space that a further character follows.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters below this are letters to Python and to the pattern alike; marks that no other alternative of the pattern begins with.
+_LATIN, _MARKS = "\u0250", frozenset(",.;:!?")
 _Batches = Iterator[pa.RecordBatch]
 
 
@@ -135,7 +137,9 @@ class _Words:
         self.ranks, self.split, self.next = ranks, regex.compile(pattern).findall, max(ranks.values()) + 1
         self.by_chunks = pattern == _PATTERN
         self.numbers: dict[str, int] = {}
-        self.chunks: dict[str, list[int]] = {}
+        #: Chunks by number; the words of each stand in ``flat`` up to its end.
+        self.chunks: dict[str, int] = {}
+        self.flat, self.ends = array("i"), array("q", [0])
         self.new: list[bytes] = []
 
     def of(self, words: list[str]) -> list[int]:
@@ -151,6 +155,19 @@ class _Words:
         self.numbers[word] = number
         return number
 
+    def _chunk(self, chunk: str) -> None:
+        """Takes up a chunk and the space before it; one that is empty or begins with white space has no words, its texts are split whole."""
+        if chunk and not chunk[0].isspace():
+            words = None
+            if chunk.isascii() or max(chunk) < _LATIN:  # a run of letters is one match, as is a mark after it
+                if chunk.isalpha():
+                    words = [" " + chunk]
+                elif chunk[-1] in _MARKS and chunk[:-1].isalpha():
+                    words = [" " + chunk[:-1], chunk[-1]]
+            self.flat.extend(self.of(words or self.split(" " + chunk)))
+        self.chunks[chunk] = len(self.ends) - 1
+        self.ends.append(len(self.flat))
+
     def codes(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all words of all texts, and where each text's begin and end."""
         if not self.by_chunks:
@@ -158,25 +175,16 @@ class _Words:
             return np.concatenate([np.empty(0, np.int32), *found]), np.cumsum([0, *map(len, found)])
         parts = pc.split_pattern(texts.cast(pa.large_string()), " ")
         every = parts.flatten().dictionary_encode()
-        known, lists, odd = self.chunks, [], []
-        for k, c in enumerate(every.dictionary.to_pylist()):
-            if not c or c[0].isspace():
-                odd.append(k)
-                lists.append([])
-                continue
-            found = known.get(c)
-            if found is None:
-                words = [" " + c] if c.isascii() and c.isalpha() else self.split(" " + c)  # a run of letters is one match
-                found = known[c] = self.of(words)
-            lists.append(found)
+        known, chunks = self.chunks, every.dictionary.to_pylist()
+        for c in [c for c in chunks if c not in known]:
+            self._chunk(c)
+        flat, bounds = np.array(self.flat, np.int32), np.array(self.ends, np.int64)
+        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))[every.indices.to_numpy()]
         cuts = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
-        at = every.indices.to_numpy()
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        ends, sizes = bounds[1:], np.diff(bounds)
         # texts that hold an odd chunk, and the first chunk of every text, which no space precedes, go one by one
-        odd_at = np.isin(at, np.array(odd, at.dtype)) if odd else np.zeros(len(at), bool)
+        odd_at = sizes[at] == 0
         whole = np.add.reduceat(np.append(odd_at, False), cuts[:-1]) > 0 if len(cuts) > 1 else np.zeros(0, bool)
-        ends = np.cumsum(sizes)
         out, counts = [], []
         strings = texts.to_pylist()
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
