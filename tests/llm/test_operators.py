@@ -8,12 +8,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
 from tokenizers import Tokenizer
 
-from tidemark.llm import byte_bpe, html_text, lm_scoring, near_copies, neighbours, packing, quality, sharding, simhash, suffixes, warc
+from tidemark.llm import byte_bpe, grouped, html_text, lm_scoring, near_copies, neighbours, packing, quality, sharding, simhash, suffixes, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, component long, _fp string"
 WORDS = "amber basin cedar delta ember fjord grove haven inlet jetty knoll lagoon marsh notch oasis prairie quarry ridge shoal tundra".split()
@@ -488,3 +489,25 @@ def test_byte_bpe_splits_plain_chunks_without_the_pattern():
     words.split = lambda text: asked.append(text) or pattern(text)
     words.codes(pa.array(["one Straßenzug, Überfluß. Zoë naïf"]))
     assert asked == ["one"]
+
+
+def test_groups_are_whole_whatever_batches_cut_them():
+    keys = [("a", 1), ("a", 1), ("a", 2), ("b", 2), ("b", 2), ("b", 2), ("c", 2)]
+    whole = pa.RecordBatch.from_pydict({"k": [k for k, _ in keys], "j": [j for _, j in keys], "n": list(range(7))})
+    for size in range(1, 8):
+        batches = [whole.slice(0, 0), *(whole.slice(at, size) for at in range(0, 7, size)), whole.slice(7, 0)]
+        assert [g.column("n").to_pylist() for g in grouped.whole_groups(iter(batches), ["k", "j"])] == [[0, 1], [2], [3, 4, 5], [6]]
+    assert not list(grouped.whole_groups(iter([]), ["k"]))
+
+
+def test_groups_share_a_stream_of_their_task(spark):
+    """An executor's memory outside the heap grew with the number of groups where each had vectors of its own."""
+    texts = spark.createDataFrame([(i, _prose(i // 2, 40)) for i in range(6)], "_h long, _text string")
+    rows = spark.createDataFrame([(k, h, 36, h) for k in range(3) for h in range(6)], "_key long, _h long, _size long, _root long")
+    linked = near_copies.links_across(rows, texts)
+    features = spark.createDataFrame([(f"g{i % 3}", *(float((i * p) % 11) for p in (1, 2, 3, 5))) for i in range(300)], "_group string, length double, symbols double, lines double, repeats double")
+    estimated = quality.estimates(features)
+    for plan in (x._jdf.queryExecution().toString() for x in (linked, estimated)):
+        assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+    assert {tuple(r) for r in linked.collect()} == {(1, 0), (3, 2), (5, 4)}
+    assert {r._group for r in estimated.collect()} == {"g0", "g1", "g2"}

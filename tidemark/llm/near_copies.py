@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
+from .grouped import by_group
 from .scratch import drop, written
 from .simhash import fingerprinted, links, one_of_each, shingle_hashes
 
@@ -148,7 +149,7 @@ def links_across(rows: DataFrame, texts: DataFrame) -> DataFrame:
     dealt = rows.join(rows.groupBy("_key").agg(blocks.alias("_blocks")), "_key").withColumn("_own", F.expr("pmod(xxhash64(_h), _blocks)"))
     tiles = dealt.select("_key", "_h", "_root", "_own", F.explode(F.expr("sequence(0L, _blocks - 1)")).alias("_with"))
     tiles = tiles.select("_key", "_h", "_root", "_own", F.least("_own", "_with").alias("_i"), F.greatest("_own", "_with").alias("_j"))
-    return tiles.join(texts.hint("merge"), "_h").groupBy("_key", "_i", "_j").applyInArrow(_tile, "a long, b long").distinct()
+    return by_group(tiles.join(texts.hint("merge"), "_h"), ["_key", "_i", "_j"], _tile, "a long, b long").distinct()
 
 
 def _sizes_fit() -> F.Column:
@@ -180,7 +181,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     labelled = met.join(roots.withColumnRenamed("node", "_h"), "_h", "left").select("_key", "_h", "_size", F.coalesce("root", "_h").alias("_root"))
     several = labelled.groupBy("_key").agg(F.min("_root").alias("x"), F.max("_root").alias("y")).where("x < y").select("_key")
     open_rows = written(labelled.join(several, "_key"), "open")
-    more = written(links_across(open_rows, texts), "links")
+    more = written(links_across(open_rows, texts), "links", _BATCH)
     rooted = components(found.union(more)).select(F.col("node").alias("_h"), "root")
     drop(met, marked, first, texts, found, roots, open_rows, more)
     return rows.select("_id", "_h").join(rooted, "_h", "left").select("_id", "_h", F.coalesce("root", "_h").alias("root"))

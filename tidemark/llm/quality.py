@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .grouped import by_group
 from .scratch import drop, free_prefix, written
 
 FEATURES = ("length", "symbols", "lines", "repeats")
@@ -102,6 +103,7 @@ def _vector() -> list[F.Column]:
 _P = len(FEATURES)
 _CROSS = [(i, j) for i in range(_P) for j in range(i, _P)]
 _PARAMS = "_group string, start int, det double, scale double, centre array<double>, inverse array<double>"
+_ARROW = pa.schema([("_group", pa.string()), ("start", pa.int32()), ("det", pa.float64()), ("scale", pa.float64()), ("centre", pa.list_(pa.float64())), ("inverse", pa.list_(pa.float64()))])
 
 
 def _moments(prefix: str = "") -> list[F.Column]:
@@ -123,24 +125,29 @@ def _param(group: str, start: int, centre: np.ndarray, cov: np.ndarray, scale: f
     return {"_group": group, "start": start, "det": float(np.linalg.det(cov)), "scale": scale, "centre": centre.tolist(), "inverse": np.linalg.inv(cov).ravel().tolist()}
 
 
-def _starts(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _table(params: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(params, _ARROW)
+
+
+def _starts(group: pa.Table) -> pa.Table:
+    rows = group.to_pandas()
     centre, cov = _estimate(rows)
     row = rows.iloc[0]
     median = np.array([row[f"m{i}"] for i in range(_P)], float)
     spread = np.maximum([(row[f"u{i}"] - row[f"l{i}"]) / 1.349 for i in range(_P)], FLOOR)
-    return pd.DataFrame([_param(key[0], 0, centre, cov, 1.0), _param(key[0], 1, median, np.diag(np.square(spread)), 1.0)])
+    return _table([_param(row["_group"], 0, centre, cov, 1.0), _param(row["_group"], 1, median, np.diag(np.square(spread)), 1.0)])
 
 
-def _concentrated(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _concentrated(group: pa.Table) -> pa.Table:
     """From the bins of one group and start: the estimate over the rows with the least distances."""
-    rows = rows.sort_values("_bin")
+    rows = group.to_pandas().sort_values("_bin")
     total = rows["n"].sum()
     reach = rows["n"].cumsum().to_numpy()
     half = int(np.searchsorted(reach, 0.5 * total))
     median = float(np.exp((rows["_bin"].to_numpy()[half] + 0.5) / _BIN))
     last = int(np.searchsorted(reach, SUPPORT * total))
     centre, cov = _estimate(rows.iloc[: last + 1])
-    return pd.DataFrame([_param(key[0], int(key[1]), centre, cov, median / _CHI_MEDIAN)])
+    return _table([_param(rows["_group"].iloc[0], int(rows["start"].iloc[0]), centre, cov, median / _CHI_MEDIAN)])
 
 
 def _distance() -> F.Column:
@@ -156,9 +163,9 @@ def _binned(rows: DataFrame, params: DataFrame) -> DataFrame:
 def estimates(rows: DataFrame) -> DataFrame:
     """``(_group, centre, inverse, scale)`` from ``_group`` and the features: minimum covariance determinant of each group."""
     quartiles = [F.percentile_approx(f, p, 1000).alias(f"{n}{i}") for i, f in enumerate(FEATURES) for n, p in (("l", 0.25), ("m", 0.5), ("u", 0.75))]
-    params = written(rows.groupBy("_group").agg(*_moments(), *quartiles).groupBy("_group").applyInPandas(_starts, _PARAMS), "start")
+    params = written(by_group(rows.groupBy("_group").agg(*_moments(), *quartiles), ["_group"], _starts, _PARAMS), "start")
     for _ in range(STEPS):
-        after = written(_binned(rows, params).groupBy("_group", "start").applyInPandas(_concentrated, _PARAMS), "step")
+        after = written(by_group(_binned(rows, params), ["_group", "start"], _concentrated, _PARAMS), "step")
         was = params.select("_group", "start", F.col("det").alias("_was"))
         moved = after.join(was, ["_group", "start"]).where(F.abs(F.col("det") / F.col("_was") - 1) > _STILL).limit(1).count()
         drop(params)
@@ -167,15 +174,15 @@ def estimates(rows: DataFrame) -> DataFrame:
             break
     best = params.withColumn("_place", F.row_number().over(Window.partitionBy("_group").orderBy("det", "start"))).where("_place = 1").select("_group", "centre", "inverse", F.lit(0).alias("start"), "det", "scale")
     # the spread of the estimate follows from the median distance under it
-    final = _binned(rows, best).groupBy("_group", "start").applyInPandas(_scaled, "_group string, scale double")
+    final = by_group(_binned(rows, best), ["_group", "start"], _scaled, "_group string, scale double")
     return best.select("_group", "centre", "inverse").join(final, "_group")
 
 
-def _scaled(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("_bin")
+def _scaled(group: pa.Table) -> pa.Table:
+    rows = group.to_pandas().sort_values("_bin")
     half = int(np.searchsorted(rows["n"].cumsum().to_numpy(), 0.5 * rows["n"].sum()))
     # at least 1: a middle that is narrower than the floor says nothing about the rest
-    return pd.DataFrame([{"_group": key[0], "scale": max(1.0, float(np.exp((rows["_bin"].to_numpy()[half] + 0.5) / _BIN)) / _CHI_MEDIAN)}])
+    return pa.table({"_group": [rows["_group"].iloc[0]], "scale": [max(1.0, float(np.exp((rows["_bin"].to_numpy()[half] + 0.5) / _BIN)) / _CHI_MEDIAN)]})
 
 
 def _grouped(rows: DataFrame, least: int) -> DataFrame:
