@@ -73,6 +73,24 @@ def test_packing(docs, none):
     assert packing.packed_documents(none, path).count() == 0
 
 
+def test_packing_worker_keeps_few_words(monkeypatch):
+    """A worker outlives the task: what it remembers afterwards must not grow with the texts it has seen."""
+    monkeypatch.setattr(packing, "KEPT", 50, raising=False)
+    monkeypatch.setattr(packing, "_ROWS", 4)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packing._word_ids.cache_clear()
+    texts = [_prose(seed, 200).replace(" ", ", ") + f" é{seed}x don't" for seed in range(20)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(texts)], ["_id", "_text"])
+    for most in (1 << 20, 100):  # caches that are never full, and full ones
+        monkeypatch.setattr(packing, "CACHE", most)
+        found = [x for out in packing._pieces(path, 4096, 2, True)(iter([batch])) for x in out.column("ids").to_pylist()]
+        plain = Tokenizer.from_file(path)
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        words = packing._word_ids(path)
+        assert 0 < len(words.known) <= 50 and len(words.words) <= 50
+    packing._word_ids.cache_clear()
+
+
 def test_patterns_use_every_piece_once():
     histogram = {4096: 3, 3000: 5, 1000: 7, 96: 11, 5: 100}
     used = Counter()

@@ -13,6 +13,7 @@ from __future__ import annotations
 import array
 import functools
 import heapq
+import itertools
 import json
 import operator
 import os
@@ -31,12 +32,12 @@ from pyspark.sql import functions as F
 from .scratch import written
 
 SIZE, END = 4096, 2
-#: Entries of a worker's word cache; beyond, it starts anew.
-CACHE = 1_000_000
+#: Entries of a task's caches, about, and of them that a worker keeps when they are full or the task ends.
+CACHE, KEPT = 1 << 18, 1 << 16
 #: Pieces in one bucket of the numbering.
 BUCKET = 50_000
 #: Rows taken together.
-_ROWS = 4096
+_ROWS = 2048
 
 
 class WordIds:
@@ -66,11 +67,15 @@ class WordIds:
             found = self.words[word] = _little(map(_ID, self.tokenize(spelt)))
         return found
 
+    def forget(self, most: int) -> None:
+        """Caches of more than ``most`` entries keep ``KEPT``, those met first, among which are the frequent ones."""
+        for name in ("known", "words"):
+            if len(cache := getattr(self, name)) > most:
+                setattr(self, name, dict(itertools.islice(cache.items(), KEPT)))
+
     def chunks(self, chunks: list[str]) -> list[bytes]:
         """Plain words go to the tokenizer's model at once, whatever else a chunk holds through the whole tokenizer."""
-        for cache in (self.known, self.words):
-            if len(cache) > CACHE:
-                cache.clear()
+        self.forget(CACHE)
         known, word_ids, rest = self.known, self._word, []
         for c in chunks:
             if c not in known:
@@ -151,6 +156,7 @@ def _pieces(path: str, size: int, end: int | None, keep_ids: bool):
                             column.append(value)
                 kinds = (*[pa.int64()] * 5, pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+        words.forget(KEPT)  # the worker lives on, with whatever tasks come next
 
     return run
 
