@@ -33,11 +33,11 @@ from .scratch import written
 
 SIZE, END = 4096, 2
 #: Entries of a task's caches, about, and of them that a worker keeps when they are full or the task ends.
-CACHE, KEPT = 1 << 18, 1 << 16
+CACHE, KEPT = 1 << 19, 1 << 17
 #: Pieces in one bucket of the numbering.
 BUCKET = 50_000
 #: Rows taken together.
-_ROWS = 2048
+_ROWS = 4096
 
 
 class WordIds:
