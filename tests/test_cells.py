@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import cells as C
+from tidemark.operators import sheets as S
+from tidemark.sinks.staging import staged
 
 
 def _all(spark, f, values):
@@ -40,3 +42,20 @@ def test_release_periods(spark):
     cases = [("2024", "March", "Prices", "2024-03"), ("2024", None, "GDP Q4", "2024-Q4"), ("2025", "", "Inflation Sept. report q1", "2025-09"), ("2022", "x", "Yearbook", "2022"), ("n/a", "May", "", None), (None, "May", "", None)]
     rows = spark.createDataFrame(cases, "y string, m string, t string, p string")
     assert [r[0] for r in rows.select(C.release_period(F.col("y"), F.col("m"), F.col("t"))).collect()] == [c[3] for c in cases]
+
+
+def test_a_cell_is_folded_once_for_its_period(spark):
+    for reads in (C.period, C.period_part):
+        assert str(reads(F.col("t"))).count("translate(") == 1
+    rows = spark.createDataFrame([("20 24",), ("1850-01-02",), ("12024",), ("Q9",)], "t string")
+    assert [r.p and tuple(r.p) for r in rows.select(C.period_part(F.col("t")).alias("p")).collect()] == [("year", 2024, None), ("month", None, 1), None, None]
+
+
+def test_a_heading_that_sheets_share_is_read_once(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(S, "staged", lambda df, name: made.setdefault(name, staged(df, name)))
+    grid = [["Group", "Year 2020", "Year 2021"], ["Food and drink", 1, 2], ["Clothing", 3, 4]]
+    cells = S.typed(spark.createDataFrame([(f"s{n}", "n", r, c, str(v)) for n in range(5) for r, line in enumerate(grid) for c, v in enumerate(line)], "sheet string, name string, r int, c int, value string"))
+    heads = S.headings(cells, S.blocks(cells)).collect()
+    assert sorted((h.sheet, h.c, h.period) for h in heads) == sorted((f"s{n}", c, p) for n in range(5) for c, p in ((1, "2020"), (2, "2021")))
+    assert made["header"].count() == 15 and sorted(r.t for r in made["said"].collect()) == ["Group", "Year 2020", "Year 2021"]

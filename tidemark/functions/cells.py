@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +34,19 @@ def text(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), SPACES, " "))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def number(x: Column) -> Column:
     """The finite number that a cell is, thousands marked by commas or not; else null."""
-    bare = F.regexp_replace(text(x), ",", "")
+    return number_in(text(x))
+
+
+def number_in(t: Column) -> Column:
+    """``number`` of what ``text`` gave."""
+    bare = F.replace(t, F.lit(","), F.lit(""))
     return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 
@@ -66,29 +78,45 @@ def _of(y: Column, q: Column, m: Column) -> Column:
 
 def period(x: Column) -> Column:
     """``YYYY-Qn``, ``YYYY-MM`` or ``YYYY`` that a cell states, else null; a bare year only where at most 12 characters stand on either side."""
-    t = normalized(text(x))
-    q, m = quarter(t), month(t)
+    return bound(normalized(text(x)), lambda t: F.when((F.length(t) <= 40) & t.rlike(YEAR), bound(F.struct(year(t).alias("y"), quarter(t).alias("q"), month(t).alias("m")), lambda said: _stated(t, said))))
+
+
+def _stated(t: Column, said: Column) -> Column:
     iso = F.nullif(F.regexp_extract(t, r"^(\d{4}-\d{2})(-\d{2})?", 1), F.lit(""))
-    bare = F.when(t.rlike(r"^\D{0,12}\d{4}\D{0,12}\z"), year(t).cast("string"))
-    return F.when((F.length(t) <= 40) & year(t).isNotNull(), F.when(q.isNotNull() | m.isNotNull(), _of(year(t), q, m)).otherwise(F.coalesce(iso, bare)))
+    bare = F.when(t.rlike(r"^\D{0,12}\d{4}\D{0,12}\z"), said["y"].cast("string"))
+    return F.when(said["q"].isNotNull() | said["m"].isNotNull(), _of(said["y"], said["q"], said["m"])).otherwise(F.coalesce(iso, bare))
 
 
 def period_type(p: Column) -> Column:
     return F.when(p.contains("-Q"), "quarterly").when(F.length(p) == 7, "monthly").when(p.isNotNull(), "annual")
 
 
+_MARKS = r"[*٭∗†‡\s]*"
+#: What any cell that adds to a period holds: a year at its beginning, a date, the word of a quarter, or that of a month.
+_PART = "|".join((rf"^{_MARKS}(?:1{_MARKS}9{_MARKS}[5-9]|2{_MARKS}0{_MARKS}[0-4])", r"^\d{4}-\d{2}-\d{2}", "q[1-4]", "quarter", "الربع", *(w for names in MONTH_NAMES for w in names)))
+
+
 def period_part(x: Column) -> Column:
     """What one cell adds to a period: ``(kind, year, sub)`` with kind year, quarter or month; null for none."""
-    t = normalized(text(x))
+    return period_part_in(text(x))
+
+
+def period_part_in(t: Column) -> Column:
+    """``period_part`` of what ``text`` gave."""
+    return bound(normalized(t), lambda t: F.when((F.length(t) <= 30) & t.rlike(_PART), _part(t)))
+
+
+def _part(t: Column) -> Column:
     alone = F.regexp_extract(F.regexp_replace(t, r"[*٭∗†‡\s]+", ""), r"^(19[5-9]\d|20[0-4]\d)(\.0)?\z", 1).try_cast("int")
     y = F.regexp_extract(t, r"(19[5-9]\d|20[0-4]\d)", 1).try_cast("int")
     iso = F.regexp_extract(t, r"^\d{4}-(\d{2})-\d{2}\z", 1).try_cast("int")
     ordinal = F.coalesce(*(F.when(t.rlike(rf"(?<![a-z]){w}\s+quarter"), n) for n, w in enumerate(ORDINALS, 1)))
     arabic = F.when(t.contains("الربع"), F.coalesce(*(F.when(t.contains(w), n) for n, w in enumerate(ARABIC_ORDINALS, 1))))
-    q, none = F.coalesce(quarter(t), ordinal, arabic), F.lit(None).cast("int")
+    none = F.lit(None).cast("int")
     part = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), a.alias("year"), b.alias("sub"))
-    found = F.when(iso.isNotNull(), part("month", y, iso)).when(alone.isNotNull(), part("year", alone, none)).when(q.isNotNull(), part("quarter", y, q)).when(month(t).isNotNull(), part("month", y, month(t)))
-    return F.when((t != "") & (F.length(t) <= 30), found)
+    named = lambda n: F.when(n["q"].isNotNull(), part("quarter", n["y"], n["q"])).when(n["m"].isNotNull(), part("month", n["y"], n["m"]))
+    words = bound(F.struct(y.alias("y"), F.coalesce(quarter(t), ordinal, arabic).alias("q"), month(t).alias("m")), named)
+    return bound(F.struct(iso.alias("iso"), alone.alias("alone")), lambda d: F.when(d["iso"].isNotNull(), part("month", y, d["iso"])).when(d["alone"].isNotNull(), part("year", d["alone"], none)).otherwise(words))
 
 
 def joined_period(y: Column, part: Column) -> Column:

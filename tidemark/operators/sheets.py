@@ -26,8 +26,9 @@ FACTS = ("sheet", "recipe", "row_en", "row_ar", "col_en", "col_ar", "kind", "per
 
 
 def typed(cells: DataFrame) -> DataFrame:
-    """``(sheet, name, r, c, t, x)``: text and number of each cell that isn't blank."""
-    return cells.select("sheet", "name", "r", "c", C.text(F.col("value")).alias("t"), C.number(F.col("value")).alias("x")).where("t <> ''")
+    """``(sheet, name, r, c, t, x, p)``: text and number of each cell that isn't blank, and its ``period_part`` in columns that may be the axis."""
+    texts = cells.select("sheet", "name", "r", "c", C.text(F.col("value")).alias("t")).where("t <> ''")
+    return texts.select("*", C.number_in(F.col("t")).alias("x"), F.when(F.col("c") < AXIS, C.period_part_in(F.col("t"))).alias("p"))
 
 
 def bounds(cells: DataFrame) -> DataFrame:
@@ -63,10 +64,9 @@ def blocks(cells: DataFrame) -> DataFrame:
     body = cells.join(found, "sheet").where(F.col("r").between(F.col("first"), F.col("last")))
     words = F.when(F.col("x").isNull(), F.col("t"))
     whole_year = F.when((F.col("x") == F.floor("x")) & F.col("x").between(1960, 2035), 1)
-    part = C.period_part(F.col("t"))
     stats = body.groupBy("sheet", "header_start", "first", "last", "c").agg(
         F.collect_set(words).alias("texts"), F.count(words).alias("n_texts"), F.count(F.when(words.rlike(C.ARABIC.replace("ﭐ-﻿", "")), 1)).alias("n_arabic"),
-        F.count("x").alias("numbers"), F.count(whole_year).alias("years"), F.count(F.when(F.col("c") < AXIS, part)).alias("periods"),
+        F.count("x").alias("numbers"), F.count(whole_year).alias("years"), F.count("p").alias("periods"),
     )
     name = lambda v: v.rlike(C.LETTER) & (v.contains(" ") | (F.length(F.regexp_replace(v, r"^[ .)(\-:،]+|[ .)(\-:،]+\z", "")) > 3))
     one = stats.select(
@@ -98,6 +98,13 @@ def blocks(cells: DataFrame) -> DataFrame:
     )
 
 
+def _said(cells: DataFrame) -> DataFrame:
+    """What each different text of headings says: sheets repeat them, so each is read once."""
+    folded = normalized(F.col("t"))
+    found = cells.select("t").distinct().select("t", C.is_caption(F.col("t")).alias("caption"), C.bilingual(F.col("t")).alias("w"), C.year(folded).alias("y"), C.month(folded).alias("m"), C.quarter(folded).alias("q"), C.period(F.col("t")).alias("own"))
+    return staged(found, "said")
+
+
 def headings(cells: DataFrame, found: DataFrame) -> DataFrame:
     """``(sheet, c, en, ar, period, text)`` of each value column: its headings stacked down, and the period that they state.
 
@@ -105,15 +112,14 @@ def headings(cells: DataFrame, found: DataFrame) -> DataFrame:
     month or quarter only together with a year; a bare year is a column's period only if nothing below says more.
     """
     rows = cells.join(found.select("sheet", "header_start", "first"), "sheet").where((F.col("r") >= F.col("header_start")) & (F.col("r") < F.col("first")))
-    lines = rows.groupBy("sheet", "r").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("line"))
+    rows = staged(rows.select("sheet", "r", "c", "t"), "header")
+    read = ("t", "caption", "w", "y", "m", "q", "own")
+    lines = rows.join(_said(rows), "t").groupBy("sheet", "r").agg(F.sort_array(F.collect_list(F.struct("c", *read))).alias("line"))
     columns = found.select("sheet", F.explode("value_cols").alias("c"))
     spread = columns.join(lines, "sheet").withColumn("cell", F.try_element_at(F.filter("line", lambda x: x["c"] <= F.col("c")), F.lit(-1))).where("cell is not null")
-    spread = spread.select("sheet", "c", "r", F.col("cell.t").alias("t"), (F.col("cell.c") == F.col("c")).alias("owned"))
-    folded = normalized(F.col("t"))
-    said = spread.select(
-        "sheet", "c", "r", "t", C.is_caption(F.col("t")).alias("caption"), C.bilingual(F.col("t")).alias("w"), C.year(folded).alias("y"),
-        F.when(F.col("owned") | C.year(folded).isNotNull(), C.month(folded)).alias("m"), F.when(F.col("owned") | C.year(folded).isNotNull(), C.quarter(folded)).alias("q"), F.when(F.col("owned"), C.period(F.col("t"))).alias("own"),
-    )
+    spread = spread.select("sheet", "c", "r", *(F.col(f"cell.{x}").alias(x) for x in read), (F.col("cell.c") == F.col("c")).alias("owned"))
+    dated = F.col("owned") | F.col("y").isNotNull()
+    said = spread.select("sheet", "c", "r", "t", "caption", "w", "y", F.when(dated, F.col("m")).alias("m"), F.when(dated, F.col("q")).alias("q"), F.when(F.col("owned"), F.col("own")).alias("own"))
     stacked = said.groupBy("sheet", "c").agg(F.sort_array(F.collect_list(F.struct("r", "t", "caption", "w", "y", "m", "q", "own"))).alias("h"))
     kept = F.filter("h", lambda x: ~x["caption"])
     parts = lambda of: F.array_distinct(F.filter(F.transform(kept, lambda x: x["w"][of]), lambda p: p != ""))
@@ -149,10 +155,9 @@ def read_sheets(cells: DataFrame, fallback: DataFrame | None = None) -> tuple[Da
     # a year column further right is an axis only if its heading says so
     yearly = found.select("sheet", F.explode("year_cols").alias("c")).withColumn("_year", F.lit(True))
     named = over.join(yearly, ["sheet", "c"], "left").where(F.col("_year").isNull() | ~F.col("text").rlike("year|سنه|العام"))
-    body = some.select("sheet", "r", "c", "t", "x").join(found, "sheet").where(F.col("r").between(F.col("first"), F.col("last")))
+    body = some.select("sheet", "r", "c", "t", "x", "p").join(found, "sheet").where(F.col("r").between(F.col("first"), F.col("last")))
     # periods down the rows
-    part = C.period_part(F.col("t"))
-    spans = body.where((F.size("axis") > 0) & F.col("c").between(F.array_min("axis"), F.array_max("axis"))).withColumn("p", part).where("p is not null")
+    spans = body.where((F.size("axis") > 0) & F.col("c").between(F.array_min("axis"), F.array_max("axis"))).where("p is not null")
     sub = F.when(F.col("p.kind") != "year", F.col("p"))
     down = spans.groupBy("sheet", "r").agg(F.min_by("p.year", F.when(F.col("p.year").isNotNull(), F.col("c"))).alias("y"), F.min_by(sub, F.when(sub.isNotNull(), F.col("c"))).alias("s"))
     down = down.select("sheet", "r", C.joined_period(F.col("y"), F.coalesce("s", F.struct(F.lit("year").alias("kind"), F.col("y").alias("year"), F.lit(None).cast("int").alias("sub")))).alias("down")).where("down is not null")

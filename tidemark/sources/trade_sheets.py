@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.sinks.staging import staged
 from tidemark.sources.tables import table
 
 #: Quarter names in Arabic; the first year of the trade tables and the number of their quarters.
@@ -21,7 +22,7 @@ def _cell(r: Column | int, c: Column | int, value: Column | str) -> Column:
 
 
 def trade_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long cells ``(sheet, name, r, c, value)``."""
+    """Long cells ``(sheet, name, r, c, value)``; the lines are read once for each form, all cells are made of their sums."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("sheet"), F.col("s_suppkey").alias("k"))
     line = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), "l_partkey", "l_returnflag", "l_quantity", ((F.year("l_shipdate") - START) * 4 + F.quarter("l_shipdate") - 1).alias("q"))
@@ -29,7 +30,7 @@ def trade_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = part.select("p_brand").distinct()  # a few dozen by definition
     order = brands.agg(F.sort_array(F.collect_list("p_brand")).alias("all")).select(F.posexplode("all").alias("i", "p_brand"))
     at = F.col("i") + 6 + 2 * F.floor(F.col("i") / 10)
-    sums = matrix.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("k", "p_brand", "q").agg(F.sum("l_quantity").alias("v"))
+    sums = staged(matrix.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("k", "p_brand", "q").agg(F.sum("l_quantity").alias("v")), "sums")
     inner = sums.join(F.broadcast(order), "p_brand").select("k", F.array(_cell(at, F.col("q") + 2, F.col("v"))).alias("cells"))
     total = sums.groupBy("k", "q").agg(F.sum("v").alias("v")).select("k", F.array(_cell(5, F.col("q") + 2, F.col("v"))).alias("cells"))
     by_brand = sums.groupBy("k", "p_brand").agg(F.sum("v").alias("v"))
@@ -43,11 +44,11 @@ def trade_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     foot = F.col("_last") + 5
     ends = F.broadcast(order.agg((F.max(at)).alias("_last")))
     framed = suppliers.withColumn("all", F.lit(1)).join(ends.withColumn("all", F.lit(1)), "all").select("k", F.array(*heads, _cell(foot, 0, "Source: trade tables"), _cell(foot, 2, "1"), _cell(foot, 3, "2")).alias("cells"))
-    flags = series.groupBy("k", "q", "l_returnflag").agg(F.sum("l_quantity").alias("v"))
+    flags = staged(series.groupBy("k", "q", "l_returnflag").agg(F.sum("l_quantity").alias("v")), "flags")
     column = F.when(F.col("l_returnflag") == "R", 2).when(F.col("l_returnflag") == "N", 3).otherwise(4)
     down = flags.select("k", F.array(_cell(F.col("q") + 2, column, F.col("v"))).alias("cells"))
     year = F.floor(F.col("q") / 4) + START
-    times = series.select("k", "q").distinct().select("k", F.array(_cell(F.col("q") + 2, 0, F.concat(year, F.when(year == 2001, "*").otherwise(""))), _cell(F.col("q") + 2, 1, F.concat(F.lit("Q"), F.col("q") % 4 + 1))).alias("cells"))
+    times = flags.select("k", "q").distinct().select("k", F.array(_cell(F.col("q") + 2, 0, F.concat(year, F.when(year == 2001, "*").otherwise(""))), _cell(F.col("q") + 2, 1, F.concat(F.lit("Q"), F.col("q") % 4 + 1))).alias("cells"))
     names = ("Year", "Quarter", "Returned quantity المرتجع", "Change in open quantity", "Accepted index")
     topped = supplier.where("k % 3 = 1").select("k", F.array(_cell(0, 0, "Quarterly quantities by state, at constant prices"), *(_cell(1, c, n) for c, n in enumerate(names))).alias("cells"))
     notes = supplier.where("k % 6 = 2").select("k", F.array(_cell(0, 0, "Notes"), _cell(2, 0, F.concat(F.lit("Supplier "), "k")), _cell(3, 1, "1")).alias("cells"))
