@@ -130,3 +130,17 @@ def test_gate_and_its_observed_form_agree(spark):
     kept, verdicts = watched(rows, checks)
     kept.write.format("noop").mode("overwrite").save()
     assert [(r.check, r.found, r.verdict) for r in verdicts().collect()] == expected
+
+
+def test_a_label_is_folded_once_and_only_indices_are_looked_through_for_bases(spark, monkeypatch):
+    from tidemark.functions import labels as L
+    from tidemark.operators import star
+
+    assert str(L.fold(F.col("x"))).count("translate(") == 1 and str(L.fold(F.col("x"))).count("lower(") == 1
+    odd = [("Food ( 1 )\t *", "food"), ("A\x0b", "a"), (" a \n b\r-", "a b"), ("( x 1)", "( x 1)"), ("*٭ –", None), ("É (2)(3)", "é"), (None, None)]
+    assert [r[0] for r in spark.createDataFrame(odd, "x string, y string").coalesce(1).select(L.fold(F.col("x"))).collect()] == [y for _, y in odd]
+    seen = []
+    merge = W.base_merge
+    monkeypatch.setattr(star.W, "base_merge", lambda readings, tolerance: seen.append({r.kind for r in readings.select("kind").distinct().collect()}) or merge(readings, tolerance))
+    build(spark, fact(), fact(kind="value"), fact(kind=None), tables=("reading",))
+    assert seen == [{"index"}]

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.labels import normalized
+from tidemark.functions.labels import bound, normalized
 
 # The words of the sheets, folded as ``normalized`` folds them.
 MONTH_NAMES = (
@@ -34,11 +32,6 @@ def text(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), SPACES, " "))
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is made once, however often ``body`` names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def number(x: Column) -> Column:
     """The finite number that a cell is, thousands marked by commas or not; else null."""
     return number_in(text(x))

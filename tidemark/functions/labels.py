@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,10 +16,21 @@ def collapsed(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, SPACE, " "))
 
 
+#: What is cut from a label's end: marks, and white space as ``\\s`` of a pattern.
+_TRAILING = "*٭∗·•:-– \t\n\x0b\f\r"
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def fold(x: Column) -> Column:
-    """Without footnote numbers and trailing marks, in lower case; null where nothing is left."""
-    bare = F.regexp_replace(x, r"\([ \t\r\n\f]*[0-9]+[ \t\r\n\f]*\)", "")
-    return F.nullif(F.lower(collapsed(F.regexp_replace(bare, r"[*٭∗·•:\-–\s]+\z", ""))), F.lit(""))
+    """Without footnote numbers and trailing marks, in lower case; null where nothing is left. Patterns run only on labels that hold what they look for."""
+    footnote = lambda x: F.when(F.contains(x, F.lit("(")), F.regexp_replace(x, r"\([ \t\r\n\f]*[0-9]+[ \t\r\n\f]*\)", "")).otherwise(x)
+    spaces = lambda x: F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x)
+    ended = F.translate(F.rtrim(bound(x, footnote), F.lit(_TRAILING)), "\t\r\n\f", "    ")
+    return bound(F.lower(F.trim(bound(ended, spaces))), lambda x: F.nullif(x, F.lit("")))
 
 
 def ident(first: Column, second: Column) -> Column:

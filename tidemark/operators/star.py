@@ -68,7 +68,7 @@ class Warehouse:
         if by_series:
             wanted = [c for c in facts.columns if c in {*_SAID, *order} or ("dim_release" in tables and c in _RELEASED)]
             known = staged(W.keyed(known.select(*wanted)).drop("series_key"), "keyed")
-            based = W.with_base(known, staged(W.base_merge(known, tolerance), "bases")).withColumn("series_key", joined_key(F.col("measure_key"), F.col("base_norm"))).withColumnRenamed("table", "table_name")
+            based = W.with_base(known, staged(W.base_merge(known.where("kind = 'index'"), tolerance), "bases")).withColumn("series_key", joined_key(F.col("measure_key"), F.col("base_norm"))).withColumnRenamed("table", "table_name")
         if "dim_series" in tables:
             house._write(_series(based), "dim_series", n)
         if "reading" in tables:

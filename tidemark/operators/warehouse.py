@@ -13,9 +13,9 @@ LATEST_FIRST = ("pub_id", "l_linenumber", "l_partkey", "l_suppkey", "value", "l_
 
 def admitted(facts: DataFrame, first: int = 1960, last: int = 2035) -> DataFrame:
     """Facts with a period of a plausible year, a value and a label in either language."""
-    year = F.try_to_number(F.regexp_extract("period", "^([0-9]{4})", 1), F.lit("9999"))
+    plausible = F.col("period").rlike("^[0-9]{4}") & F.substring("period", 1, 4).between(f"{first:04d}", f"{last:04d}")
     named = (F.coalesce("row_en", F.lit("")) != "") | (_optional(facts, "row_ar") != "")
-    return facts.where(F.col("value").isNotNull() & named & year.between(first, last))
+    return facts.where(F.col("value").isNotNull() & named & plausible)
 
 
 def _optional(facts: DataFrame, name: str) -> Column:
